@@ -65,10 +65,10 @@ def with_tids(rows: DataFrame, names: DataFrame) -> DataFrame:
     return out
 
 
-def header_block(lines: DataFrame) -> DataFrame:
-    """The unbroken run of header lines at the start of each file."""
+def header_block(lines: DataFrame, order: tuple[str, ...] = ("line_no",)) -> DataFrame:
+    """The unbroken run of header lines at the start of each file, its lines in `order`."""
     files = ["file"] if "file" in lines.columns else ["__all"]
-    rows = lines if "file" in lines.columns else lines.withColumn("__all", F.lit(0))
-    other = rows.where(~X.is_header(F.col("line"))).groupBy(*files).agg(F.min("line_no").alias("__end"))  # a row a file
+    rows = (lines if "file" in lines.columns else lines.withColumn("__all", F.lit(0))).withColumn("__at", F.struct(*order))
+    other = rows.where(~X.is_header(F.col("line"))).groupBy(*files).agg(F.min("__at").alias("__end"))  # a row a file
     joined = rows.join(other, files, "left")
-    return joined.where(X.is_header(F.col("line")) & (F.col("__end").isNull() | (F.col("line_no") < F.col("__end")))).select(*lines.columns)
+    return joined.where(X.is_header(F.col("line")) & (F.col("__end").isNull() | (F.col("__at") < F.col("__end")))).select(*lines.columns)

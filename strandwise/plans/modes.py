@@ -40,12 +40,7 @@ MARKED_ORDER = ["tid", "pos", "mate_tid", "pnext", "orientation", "line_no"]
 def mark_file(lines: DataFrame, policy: str = S.COMPAT, presorted: bool = False) -> DataFrame:
     """(section, sort columns, line): the header block, then the marked records; write ordered by all but line."""
     marked = mark_lines(lines, policy, presorted=presorted)
-    source = O.with_coordinates(lines) if presorted else lines
-    if presorted:  # the header block of the sorted file: headers before the first other line in coordinate order
-        keyed = source.withColumn("line_no", F.when(F.col("valid"), F.lit(1 << 45)).otherwise(F.lit(0)) + F.col("line_no")).drop("valid", "rname", "pos")
-        head = D.header_block(keyed)
-    else:
-        head = D.header_block(lines)
+    head = D.header_block(O.with_coordinates(lines), tuple(O.COORDINATE_ORDER)) if presorted else D.header_block(lines)
     zero = [F.lit(0).cast("long").alias(c) for c in MARKED_ORDER[:-1]]
     head = head.select(F.lit(0).alias("section"), *zero, "line_no", "line")
     body = marked.select(F.lit(1).alias("section"), *MARKED_ORDER, F.col("line_out").alias("line"))
