@@ -99,7 +99,7 @@ def _mixing_sql() -> str:
   coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) + 1 AS BIGINT) AS n_tokens FROM documents),
 leaves AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS leaf_tokens FROM d GROUP BY ALL),
 total AS (SELECT {SHARE}::DOUBLE * sum(leaf_tokens)::DOUBLE AS budget FROM leaves)"""]
-    names, above = ["domain", "lang", "source"], None
+    names = ["domain", "lang", "source"]
     for k, level in enumerate(names):
         path, parent = ", ".join(names[: k + 1]), ", ".join(names[:k])
         weight = " ".join(f"WHEN '{v}' THEN {x}::DOUBLE" for v, x in WEIGHTS.get(level, {}).items())
@@ -139,13 +139,14 @@ def _repetition_sql() -> str:
 w AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS pos FROM (SELECT doc_id, regexp_extract_all(text, '{WORD}') AS ws FROM t)),
 base AS (SELECT doc_id, count(*) AS n_words, sum(length(w)) AS word_chars FROM w GROUP BY 1),
 l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM t)),
-lw AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) AS rn, count(*) OVER (PARTITION BY doc_id, line) AS times,
+lw AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) AS rn,
   length(regexp_replace(line, '{BLANKS}', '', 'g')) AS chars FROM l WHERE regexp_matches(line, '{WORD}')),
-dl AS (SELECT doc_id, count(*) FILTER (rn > 1) AS n_dup_lines, coalesce(sum(chars) FILTER (times > 1), 0) AS line_chars FROM lw GROUP BY 1)"""]
+dl AS (SELECT doc_id, count(*) FILTER (rn > 1) AS n_dup_lines, coalesce(sum(chars) FILTER (rn > 1), 0) AS line_chars FROM lw GROUP BY 1)"""]
     for n in (3, *repetition.COVERAGE):
+        found = "count(*) OVER (PARTITION BY doc_id, g) > 1" if n == 3 else "row_number() OVER (PARTITION BY doc_id, g ORDER BY pos) > 1"
         gram = " || ' ' || ".join(["w", *(f"lead(w, {k}) OVER o" for k in range(1, n))])
         parts.append(f"""g{n} AS (SELECT doc_id, pos, w, {gram} AS g FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
-h{n} AS (SELECT doc_id, pos, w, CASE WHEN g IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, g) > 1 THEN 1 ELSE 0 END AS dup FROM g{n}),
+h{n} AS (SELECT doc_id, pos, w, CASE WHEN g IS NOT NULL AND {found} THEN 1 ELSE 0 END AS dup FROM g{n}),
 c{n} AS (SELECT doc_id, sum(cov) AS words, sum(cov * length(w)) AS chars FROM (SELECT doc_id, w, max(dup) OVER (PARTITION BY doc_id ORDER BY pos ROWS {n - 1} PRECEDING) AS cov FROM h{n}) GROUP BY 1)""")
     bad = " OR ".join(f"coalesce(c{n}.chars, 0)::DOUBLE / total > {most}::DOUBLE" for n, most in repetition.COVERAGE.items())
     joins = " ".join(f"LEFT JOIN c{n} USING (doc_id)" for n in (3, *repetition.COVERAGE))

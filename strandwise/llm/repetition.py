@@ -1,7 +1,8 @@
 """Quality rules: repetition coverage.
 
 Hashes of all windows of several n-gram lengths are rolled in numpy over a run of documents at once; a document's
-coverage is the share of its word characters inside n-grams (and lines) that occur twice or more in it."""
+coverage is the share of its word characters inside n-grams (and lines) that repeat earlier ones of the same document.
+First occurrences do not count, so one sentence said twice leaves a document of usual length alone."""
 
 from __future__ import annotations
 
@@ -14,10 +15,10 @@ from pyspark.sql import DataFrame
 from .common import Hashed, buffers, slices
 
 SYMBOLS = b"#*$%&|<>"
-#: n-gram length -> largest share of word characters inside repeated n-grams (the published thresholds of Gopher's rules).
+#: n-gram length -> largest share of word characters inside n-grams said before (the published thresholds of Gopher's rules).
 COVERAGE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 LINE_COVERAGE = 0.30
-SYMBOLS_PER_WORD = 0.5
+SYMBOLS_PER_WORD = 0.1
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, dup_line_share double, dup_gram_share double, base_failed boolean, kept boolean"
@@ -38,10 +39,20 @@ def _repeated(hashes: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return twice[np.minimum(at, len(twice) - 1)] == keys
 
 
-def _covered(run: Hashed, n: int) -> np.ndarray:
-    """True for words inside an n-word window found twice or more in their document, first one included."""
+def _later(hashes: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """True where (document, hash) occurred before."""
+    out = _repeated(hashes, docs)
+    at = np.flatnonzero(out)
+    if len(at):
+        _, once = np.unique(hashes[at] + docs[at].astype(np.uint64) * _DOC, return_index=True)
+        out[at[once]] = False
+    return out
+
+
+def _covered(run: Hashed, n: int, repeats=_repeated) -> np.ndarray:
+    """True for words inside an n-word window that `repeats` names: found twice or more in the document, or before."""
     at, hashes = run.grams(n)
-    hit = at[_repeated(hashes, run.doc[at])] if len(at) else at
+    hit = at[repeats(hashes, run.doc[at])] if len(at) else at
     change = np.zeros(len(run.words) + 1, np.int32)
     np.add.at(change, hit, 1)
     np.add.at(change, hit + n, -1)
@@ -60,11 +71,7 @@ def measure(data: np.ndarray, offsets: np.ndarray, coverage: dict[int, float], l
     # lines: from a document's start or after \n, to the next \n or the document's end
     breaks = np.flatnonzero(body == 10)
     starts = np.sort(np.concatenate([run.offsets[:-1], breaks + 1]))
-    keep = np.ones(len(starts), bool)
-    doc = np.searchsorted(run.offsets, starts, "right") - 1
     real = np.bincount(np.searchsorted(run.offsets, breaks, "right") - 1, minlength=run.docs) + 1
-    if int(real.sum()) != len(starts):  # a break at the very end of a document starts an empty line there, not in the next one
-        raise AssertionError("line count")
     doc = np.repeat(np.arange(run.docs), real)
     ends = np.empty_like(starts)
     ends[:-1] = starts[1:] - 1
@@ -74,23 +81,16 @@ def measure(data: np.ndarray, offsets: np.ndarray, coverage: dict[int, float], l
     end_word = np.searchsorted(run.starts, ends)
     keep = end_word > first_word
     doc, starts, ends, first_word, end_word = doc[keep], starts[keep], ends[keep], first_word[keep], end_word[keep]
-    hashes = run.span(starts, ends)
-    twice = _repeated(hashes, doc) if len(hashes) else np.zeros(0, bool)
-    later = np.zeros(len(hashes), bool)
-    if twice.any():
-        at = np.flatnonzero(twice)
-        _, once = np.unique(hashes[at] + doc[at].astype(np.uint64) * _DOC, return_index=True)
-        later[at] = True
-        later[at[once]] = False
+    later = _later(run.span(starts, ends), doc)
     n_dup_lines = np.bincount(doc[later], minlength=run.docs)
     word_sum = np.zeros(len(chars) + 1, np.int64)
     np.cumsum(chars, out=word_sum[1:])
-    line_chars = np.bincount(doc[twice], weights=(word_sum[end_word] - word_sum[first_word])[twice], minlength=run.docs)
+    line_chars = np.bincount(doc[later], weights=(word_sum[end_word] - word_sum[first_word])[later], minlength=run.docs)
     n_repeat = run.per_doc_words(_covered(run, 3))
     bad = np.zeros(run.docs, bool)
     worst = np.zeros(run.docs)
     for k, most in coverage.items():
-        share = run.per_doc_words(chars * _covered(run, k)) / total
+        share = run.per_doc_words(chars * _covered(run, k, _later)) / total
         bad |= share > most
         worst = np.maximum(worst, share)
     n_symbols = run.per_doc(_IS_SYMBOL[body])
