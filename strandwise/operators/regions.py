@@ -171,7 +171,7 @@ def static_assign(lines: DataFrame, chroms: DataFrame, tiles: int = S.TILES) ->
     """Add g (global coordinate from 0) and rid to reads; null where unmapped or on another chromosome.
 
     A position beyond a chromosome's end runs into the next one's tile."""
-    total, width = tile_width(chroms, tiles)
+    _, width = tile_width(chroms, tiles)
     at = offsets(chroms).select(F.col("name").alias("rname"), "offset")
     reads = loose_reads(lines).join(F.broadcast(at), "rname", "left")
     mapped = (F.col("rname") != S.UNSET) & (F.col("pos") > 0)
