@@ -12,7 +12,6 @@ import bisect
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +29,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col:
         encoder = loaded(ByteLevelEncoder, tokenizer)
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), end_marked(encoder, (t.as_py() for t in batch.column(1)), end_id)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), end_marked(encoder, batch.column(1).to_pylist(), end_id)):
                 n, start, k = len(ids) // 4, 0, 0
                 while start < n:
                     size = (n - start) % capacity or capacity

@@ -7,28 +7,47 @@ other white space at a unit's edge, or with special strings, take the library's
 from __future__ import annotations
 
 import json
+import re
+import struct
 from collections.abc import Iterable
 
 import numpy as np
 
-LIMIT = 300_000  # cached units a worker
+LIMIT = 200_000  # units in each half of a worker's cache
 
 
 class _Miss(dict):
-    """A bounded cache: `make(key)` fills what is missing; it is emptied when full (it refills from the next texts)."""
+    """A bounded cache: `make(key)` fills what is missing. When full it becomes the older half, from which what is
+    still asked for comes back."""
 
     def __init__(self, make, limit: int = LIMIT):
         super().__init__()
-        self._make, self._limit = make, limit
+        self._make, self._limit, self._older = make, limit, {}
 
     def __missing__(self, key):
-        value = self._make(key)
+        value = self._older.get(key)
+        if value is None:
+            value = self._make(key)
         if len(self) >= self._limit:
+            self._older = dict(self)
             self.clear()
         self[key] = value
         return value
 
 
+#: The split of byte-level BPE for texts of Latin-1 characters, with its classes spelt out (fixed values: letters,
+#: numbers and white space of Unicode below U+0100).
+_LETTER, _NUMBER, _BLANK = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t\n\x0b\x0c\r \x85\xa0"
+LATIN = f"'(?:[sdmt]|ll|ve|re)| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_BLANK}{_LETTER}{_NUMBER}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"
+
+
+def byte_characters() -> dict[int, str]:
+    """Byte-level BPE's character for each byte: printable Latin-1 stands for itself, the rest follows U+0100 in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class ByteLevelEncoder:
     """Token ids of the `tokenizers` library, as little-endian unsigned 32-bit bytes."""
 
@@ -45,16 +64,30 @@ class ByteLevelEncoder:
             and spec.get("truncation") is None and spec.get("padding") is None
         )
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._model, self._pre = self.tokenizer.model, self.tokenizer.pre_tokenizer
-        self._pieces = _Miss(lambda p: np.array([t.id for t in self._model.tokenize(p)], "<u4").tobytes())
+        self._model, self._pre, self._split = self.tokenizer.model, self.tokenizer.pre_tokenizer, re.compile(LATIN).findall
+        self._characters = byte_characters()
+        self._mapped = _Miss(self._ids)
+        self._pieces = _Miss(lambda p: self._ids(p.encode().decode("latin-1").translate(self._characters)))
         self._later = _Miss(lambda u: self._unit(u, " "))
         self._first = _Miss(lambda u: self._unit(u, ""), 20_000)
 
+    def _ids(self, piece: str) -> bytes:
+        ids = [t.id for t in self._model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _unit(self, unit: str, blank: str) -> bytes | None:
         if not unit or unit[0].isspace() or unit[-1].isspace():
             return None
-        pieces = self._pieces
-        return b"".join([pieces[p] for p, _ in self._pre.pre_tokenize_str(blank + unit)])
+        return self._pieced(blank + unit)
+
+    def _pieced(self, text: str) -> bytes:
+        """Ids by pieces, which the library itself cuts where the text goes beyond Latin-1."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            mapped = self._mapped
+            return b"".join([mapped[p] for p, _ in self._pre.pre_tokenize_str(text)])
+        return b"".join(map(self._pieces.__getitem__, self._split(text)))
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -72,8 +105,7 @@ class ByteLevelEncoder:
                 return head + b"".join(map(self._later.__getitem__, units[1:]))
             except TypeError:  # a unit with white space at its edge
                 pass
-        pieces = self._pieces
-        return b"".join([pieces[p] for p, _ in self._pre.pre_tokenize_str(text)])
+        return self._pieced(text)
 
 
 class PieceCounter:
@@ -82,8 +114,6 @@ class PieceCounter:
     MARK = "▁"
 
     def __init__(self, path: str, frequent: dict[str, int] | None = None):
-        import re
-
         import sentencepiece
         from sentencepiece import sentencepiece_model_pb2
 
