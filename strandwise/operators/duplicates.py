@@ -2,7 +2,8 @@
 
 Records of one key (name, position, mate name, mate position, orientation) form a group. The first eligible record
 leads; of those from the leader on, the best score survives and the earliest wins ties. Both decisions are partial
-aggregates joined back to the records, so a key that very many records share is never gathered in one task."""
+aggregates joined back to the records, so a key that very many records share is never gathered in one task. The parsed
+records are written once: the decisions then read only the key, FLAG, score and arrival."""
 
 from __future__ import annotations
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from strandwise import schema as S
 from strandwise.functions import fields as X
+from strandwise.sources.files import materialize, small
 
 KEY = ["rname", "pos", "mate", "pnext", "orientation"]
 _ARRIVAL_BITS = 46  # with 16 bits of score one long; line numbers stay below 2^46
@@ -28,10 +30,11 @@ def mark_duplicates(rows: DataFrame, policy: str = S.COMPAT, arrival: str = "lin
     compete nor are marked. A bit set before stays set. `names` (name, tid): a dictionary with a cap, whose names of
     tid -1 count as '*'."""
     files = [c for c in ("file",) if c in rows.columns]
+    rows = materialize(rows, "records")
     if names is not None:
         over = names.where("tid < 0").select(*files, F.col("name"), F.lit(True).alias("over"))
         for c in ("rname", "mate"):
-            rows = rows.join(F.broadcast(over.withColumnRenamed("name", c)), [*files, c], "left").withColumn(c, F.when(F.col("over"), F.lit(S.UNSET)).otherwise(F.col(c))).drop("over")
+            rows = rows.join(small(over.withColumnRenamed("name", c)), [*files, c], "left").withColumn(c, F.when(F.col("over"), F.lit(S.UNSET)).otherwise(F.col(c))).drop("over")
     key = files + KEY
     eligible = F.col("flag").bitwiseAND(F.lit(S.NOT_PRIMARY)) == 0
     marked = rows.withColumn("__eligible", eligible).withColumn("__rank", F.shiftleft("score", _ARRIVAL_BITS) + (F.lit((1 << _ARRIVAL_BITS) - 1) - F.col(arrival)))
@@ -59,9 +62,9 @@ def duplicate_groups(marked: DataFrame) -> DataFrame:
 def with_tids(rows: DataFrame, names: DataFrame) -> DataFrame:
     """Add tid and mate_tid (-1 for '*'); the dictionary is a row a name."""
     files = [c for c in ("file",) if c in rows.columns and c in names.columns]
-    out = rows
+    out, size = rows, names.count()
     for c, t in (("rname", "tid"), ("mate", "mate_tid")):
-        out = out.join(names.select(*files, F.col("name").alias(c), F.col("tid").alias(t)), [*files, c], "left").withColumn(t, F.coalesce(t, F.lit(-1).cast("long")))
+        out = out.join(small(names.select(*files, F.col("name").alias(c), F.col("tid").alias(t)), size), [*files, c], "left").withColumn(t, F.coalesce(t, F.lit(-1).cast("long")))
     return out
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandwise import schema as S
 from strandwise.functions import fields as X
-from strandwise.sources.files import scratch_path
+from strandwise.sources.files import materialize
 
 
 def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
@@ -15,11 +15,8 @@ def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
 
     Rows are range-partitioned, sorted and written with their partition and place, so that both are fixed; the
     partitions' counts (a row a partition) give the offsets."""
-    spark = df.sparkSession
     rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    path = scratch_path(spark, "numbered")
-    rows.withColumn("__p", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id()).write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = materialize(rows.withColumn("__p", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id()), "numbered")
     counts = rows.groupBy("__p").agg(F.min("__m").alias("__first"), F.count(F.lit(1)).alias("__n"))
     shift = F.sum("__n").over(Window.orderBy("__p")) - F.col("__n") - F.col("__first")
     return rows.join(counts.select("__p", shift.alias("__s")), "__p").withColumn(name, F.col("__m") + F.col("__s")).drop("__p", "__m", "__s")
@@ -58,7 +55,7 @@ def reference_dictionary(records: DataFrame, arrival: list[str], most: int | Non
     first = F.struct(*arrival, F.col("side"))
     names = records.select(*files, *arrival, F.explode(F.array(F.struct(F.col("rname").alias("name"), F.lit(0).alias("side")), F.struct(F.col("rnext").alias("name"), F.lit(1).alias("side")))).alias("x"))
     names = names.select(*files, *arrival, "x.name", "x.side").where("name is not null and name <> '*' and not (side = 1 and name = '=')")
-    seen = names.groupBy(*files, "name").agg(F.min(first).alias("first"))
+    seen = materialize(names.groupBy(*files, "name").agg(F.min(first).alias("first")), "names")  # a row a name
     tid = F.row_number().over(Window.partitionBy(*(files or [F.lit(0)])).orderBy("first")) - 1  # a row a name
     if most is not None:
         tid = F.when(tid < most, tid).otherwise(-1)

@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from strandwise import schema as S
 from strandwise.functions import fields as X
 from strandwise.operators.order import with_coordinates
+from strandwise.sources.files import materialize, small
 
 
 def used_reads(lines: DataFrame, chroms: DataFrame) -> DataFrame:
     """Reads on the given chromosomes with a position inside them, with the chromosome's length."""
     rows = with_coordinates(lines, headers_first=True).where("valid").drop("valid")
     sizes = chroms.select(F.col("name").alias("rname"), "length")
-    return rows.join(sizes, "rname").where(F.col("pos").between(1, F.col("length")))
+    return rows.join(small(sizes), "rname").where(F.col("pos").between(1, F.col("length")))
 
 
 def bin_weights(reads: DataFrame, width: int = S.BIN_WIDTH) -> DataFrame:
@@ -76,12 +77,13 @@ def assign(points: DataFrame, regions: DataFrame, how: str = "inner") -> DataFra
 
     Regions are spread over tiles about as wide as the mean region, so that a point meets a few regions however many
     there are: the join is an equality on (chromosome, tile) with a range check. Regions must not overlap."""
+    regions = materialize(regions, "regions")
     span = regions.agg(F.max("region_end"), F.count(F.lit(1)), F.count_distinct("chr")).first()
     width = max(1, math.ceil((span[0] or 1) * max(span[2], 1) / max(span[1], 1)))
     tiles = regions.withColumn("tile", F.explode(F.sequence(F.floor(F.col("region_start") / width), F.floor(F.col("region_end") / width))))
     left = points.withColumn("tile", F.floor(F.col("pos") / width))
     match = (F.col("rname") == F.col("chr")) & (left["tile"] == tiles["tile"]) & F.col("pos").between(F.col("region_start"), F.col("region_end"))
-    return left.join(tiles, match, how).drop("tile")
+    return left.join(small(tiles, 2 * span[1] + span[2]), match, how).drop("tile")  # a region meets two tiles on average
 
 
 def assign_probing(points: DataFrame, regions: DataFrame) -> DataFrame:
@@ -150,11 +152,11 @@ def static_regions(chroms: DataFrame, tiles: int = S.TILES) -> DataFrame:
     A tile that crosses a chromosome's end is named by its first chromosome, to that one's end; tiles beyond the end
     stand for the last base."""
     total, width = tile_width(chroms, tiles)
-    at = offsets(chroms)
+    at = materialize(offsets(chroms), "offsets")
     spread = chroms.sparkSession.range(tiles).select(
         F.col("id").alias("rid"), F.least(F.col("id") * width, F.lit(total - 1)).alias("first"), (F.least((F.col("id") + 1) * width, F.lit(total)) - 1).alias("last")
     )
-    hit = spread.join(F.broadcast(at), (F.col("first") >= F.col("offset")) & (F.col("first") < F.col("offset") + F.col("length")))  # a row a chromosome, against the tiles
+    hit = spread.join(small(at), (F.col("first") >= F.col("offset")) & (F.col("first") < F.col("offset") + F.col("length")))  # a row a chromosome, against the tiles
     end = F.least(F.col("last") - F.col("offset") + 1, F.col("length"))
     return hit.select("rid", F.col("name").alias("chr"), (F.col("first") - F.col("offset") + 1).alias("region_start"), end.alias("region_end"))
 
@@ -173,7 +175,7 @@ def static_assign(lines: DataFrame, chroms: DataFrame, tiles: int = S.TILES) ->
     A position beyond a chromosome's end runs into the next one's tile."""
     _, width = tile_width(chroms, tiles)
     at = offsets(chroms).select(F.col("name").alias("rname"), "offset")
-    reads = loose_reads(lines).join(F.broadcast(at), "rname", "left")
+    reads = loose_reads(lines).join(small(at), "rname", "left")
     mapped = (F.col("rname") != S.UNSET) & (F.col("pos") > 0)
     g = F.when(mapped, F.col("offset") + F.col("pos") - 1)
     return reads.withColumn("g", g).withColumn("rid", F.when(F.col("g").isNotNull(), F.least(F.floor(F.col("g") / width), F.lit(tiles - 1))).cast("long")).drop("offset")

@@ -42,3 +42,19 @@ def scratch_path(spark, label: str) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="strandwise-"))
         base = context.getCheckpointDir()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` once in the shared folder and read it again: later uses neither recompute it nor read more columns
+    than they need, and a lost executor costs a re-read."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A join side that is broadcast where it has at most BROADCAST_ROWS rows (counted unless given); else Spark's choice."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
