@@ -1,7 +1,8 @@
 """Token-id files: each document is one zstandard frame, all with one shared dictionary.
 
 A file set is a folder: `dictionary` (bytes and sha256) and `blocks`, Parquet rows of about BLOCK_BYTES that hold whole
-frames one after another (`frames`), with an index (doc ids, frame ends, token counts) and the dictionary's hash. Blocks
+frames one after another (`frames`), with an index (doc ids, frame ends, token counts, the tokens of the part before
+the block) and the dictionary's hash. Blocks
 follow in ascending doc_id order over (part, block). One short document is read from one block's index and one frame.
 Everything goes through Spark's reader and writer, so any store works and a lost task is written again."""
 
@@ -17,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import materialize
 from .encoding import ByteLevelEncoder, end_marked, loaded
 
 DICTIONARY_BYTES = 64 << 10
@@ -24,7 +26,8 @@ SAMPLE_DOCS = 400  # the dictionary alone is trained on a bounded sample: it cha
 BLOCK_BYTES = 1 << 20
 BLOCK_DOCS = 4096
 LEVEL = 3
-BLOCKS = "part int, block int, dictionary_sha256 string, doc_ids array<long>, ends array<long>, n_tokens array<long>, tokens long, frames binary"
+BROADCAST_PARTS = 1_000_000  # 12 MB; more files are joined by shuffling
+BLOCKS = "part int, block int, before long, dictionary_sha256 string, doc_ids array<long>, ends array<long>, n_tokens array<long>, tokens long, frames binary"
 
 
 def serialized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
@@ -33,7 +36,7 @@ def serialized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_c
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(ByteLevelEncoder, tokenizer)
         for batch in batches:
-            ids = list(end_marked(encoder, (t.as_py() for t in batch.column(1)), end_id))
+            ids = list(end_marked(encoder, batch.column(1).to_pylist(), end_id))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(rows, "doc_id long, ids binary")
@@ -69,23 +72,23 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(ByteLevelEncoder, tokenizer)
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary), write_content_size=True)
-        part, block, held, size = TaskContext.get().partitionId(), 0, [], 0
+        part, block, before, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
 
         def cut() -> pa.RecordBatch:
             ends = np.cumsum([len(f) for _, _, f in held]).tolist()
-            values = [part, block, digest, [d for d, _, _ in held], ends, [n for _, n, _ in held], sum(n for _, n, _ in held), b"".join(f for _, _, f in held)]
-            kinds = [pa.int32(), pa.int32(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
-            names = ["part", "block", "dictionary_sha256", "doc_ids", "ends", "n_tokens", "tokens", "frames"]
+            values = [part, block, before, digest, [d for d, _, _ in held], ends, [n for _, n, _ in held], sum(n for _, n, _ in held), b"".join(f for _, _, f in held)]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()]
+            names = ["part", "block", "before", "dictionary_sha256", "doc_ids", "ends", "n_tokens", "tokens", "frames"]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), end_marked(encoder, (t.as_py() for t in batch.column(1)), end_id)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), end_marked(encoder, batch.column(1).to_pylist(), end_id)):
                 frame = press.compress(ids)
                 held.append((doc_id, len(ids) // 4, frame))
                 size += len(frame)
                 if size >= BLOCK_BYTES or len(held) >= BLOCK_DOCS:
                     yield cut()
-                    block, held, size = block + 1, [], 0
+                    block, before, held, size = block + 1, before + sum(n for _, n, _ in held), [], 0
         if held:
             yield cut()
 
@@ -121,10 +124,8 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
     opened = _frames(spark, path)
     blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    parts = blocks.groupBy("part").agg(F.sum("tokens").alias("n")).select("part", before.alias("part_start"))  # a row a file
-    inner = F.coalesce(F.sum("tokens").over(Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = blocks.select("part", "block", inner.alias("block_start")).join(parts, "part")
-    starts = starts.select("part", "block", (F.col("part_start") + F.col("block_start")).alias("start"))
+    parts = materialize(blocks.groupBy("part").agg(F.sum("tokens").alias("n")).select("part", before.alias("part_start")), "parts")  # a row a file
+    starts = F.broadcast(parts) if parts.count() <= BROADCAST_PARTS else parts
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = opened()
@@ -141,7 +142,8 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
                     columns, names = [*columns, pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in ids], pa.list_(pa.int32()))], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    joined = blocks.join(starts, ["part", "block"]).select("dictionary_sha256", "doc_ids", "ends", "n_tokens", "frames", "start")
+    joined = blocks.join(starts, "part").withColumn("start", F.col("part_start") + F.col("before"))
+    joined = joined.select("dictionary_sha256", "doc_ids", "ends", "n_tokens", "frames", "start")
     return joined.mapInArrow(rows, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
