@@ -13,7 +13,7 @@ from collections.abc import Iterable
 
 import numpy as np
 
-LIMIT = 200_000  # units in each half of a worker's cache
+LIMIT = 400_000  # units in each half of a worker's cache, about 100 MB a half
 
 
 class _Miss(dict):
