@@ -27,16 +27,16 @@ def number(c: Column) -> Column:
 
 
 def kd_shards(rows: DataFrame, dims: list[str], weight: str, target: int | None = None, levels: int | None = None, tie: str = "tie") -> DataFrame:
-    """Add `node` (long: the path of cuts as bits) to materialised `rows`.
+    """Add `node` (long: the path of cuts as bits) to `rows`, which are written once.
 
     dims: double columns without nulls; weight: bytes, at least 1; tie: a long, spread evenly, that splits equal values.
     The depth is `levels`, or the least that brings the mean leaf to `target` bytes or below. Each cut leaves half of a
     node's bytes, less at most what the bin of the median holds of ties in value and hash, on either side."""
-    total = rows.agg(F.sum(weight), *(F.max(d) - F.min(d) for d in dims)).first()
+    nodes = materialize(rows.withColumn("node", F.lit(0).cast("long")), "metadata")
+    total = nodes.agg(F.sum(weight), *(F.max(d) - F.min(d) for d in dims)).first()
     if levels is None:
         levels = max(0, math.ceil(math.log2(max(1, (total[0] or 0) / target))))
     extents = [float(x or 0) or 1.0 for x in total[1:]]
-    nodes = rows.withColumn("node", F.lit(0).cast("long"))
     spread = F.shiftrightunsigned(F.xxhash64(tie), 1)
     for _ in range(levels if total[0] else 0):
         stats = nodes.groupBy("node").agg(*(f(d).alias(f"{n}_{k}") for k, d in enumerate(dims) for n, f in (("lo", F.min), ("hi", F.max))))
@@ -100,7 +100,7 @@ def document_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
         F.col(id_col).cast("long").alias("doc_id"), size.alias("size"), utf8_crc32(F.col(text_col)).alias("text_crc32"),
         F.log1p(size.cast("double")).alias("d0"), text_number(lang).alias("d1"), text_number(source).alias("d2"), number(F.col(id_col)).alias("d3"),
     ).withColumn("tie", F.xxhash64("doc_id", "text_crc32", "size"))
-    nodes = kd_shards(materialize(rows, "metadata"), ["d0", "d1", "d2", "d3"], "size", levels=levels)
+    nodes = kd_shards(rows, ["d0", "d1", "d2", "d3"], "size", levels=levels)
     nodes = nodes.withColumn("shard", F.col("node").cast("int"))
     return gapless_rank(nodes, ["shard"], ["tie", "doc_id"], "slot").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BATCH_BYTES = 4 << 20  # of blobs handled at once
 SPANS = "array<struct<type:string,offset:long,length:long,width:long,height:long>>"
 
 
@@ -152,6 +153,15 @@ MAGIC: dict[bytes, tuple[str, Callable]] = {
 WEBP = ("image/webp", _webp)  # shares RIFF with wav
 
 
+def parts(batches: Iterator[pa.RecordBatch], column: int | str) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of about BATCH_BYTES of a column, one row at least, so that few blobs are held at once."""
+    for batch in batches:
+        n = batch.num_rows
+        step = max(1, int(n * BATCH_BYTES / max(batch.column(column).nbytes, 1)))
+        for i in range(0, n, step):
+            yield batch.slice(i, step)
+
+
 def automaton():
     import ahocorasick
 
@@ -186,7 +196,7 @@ def sniff_media(df: DataFrame, blob_col: str, declared_col: str) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = automaton()
-        for batch in batches:
+        for batch in parts(batches, blob_col):
             spans = [sniff(b.as_py() or b"", finder) for b in batch.column(blob_col)]
             kinds = [s[0].type if s else None for s in spans]
             wrong = [k is not None and k != d.as_py() for k, d in zip(kinds, batch.column(declared_col))]
@@ -248,7 +258,7 @@ def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     The text alone decides the format, the bytes around the medium and the declared type, which is wrong for some."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 1):
             counts, blobs, declared = [], [], []
             for t in batch.column(1):
                 text = (t.as_py() or "").encode()
@@ -268,15 +278,15 @@ def carved(sniffed: DataFrame) -> DataFrame:
     names = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, "blob"):
             made: list[list] = [[] for _ in range(6)]
             for blob, declared, media, wrong in zip(*(batch.column(c) for c in ("blob", "declared", "media", "type_corrected"))):
                 span = media.as_py()[0]
                 medium = blob.as_py()[span["offset"] : span["offset"] + span["length"]]
                 payload = samples(medium, span["type"])
                 values = np.frombuffer(payload, np.uint8)
-                parts = [declared.as_py(), span["type"], "corrected" if wrong.as_py() else "confirmed", span["offset"], span["length"], span["width"], span["height"], int(values.sum(dtype=np.int64)), int(values.max()), int((np.bincount(values, minlength=256) > 0).sum())]
-                row = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(medium), hashlib.sha256(medium).hexdigest(), "|".join(map(str, parts)))
+                facts = [declared.as_py(), span["type"], "corrected" if wrong.as_py() else "confirmed", span["offset"], span["length"], span["width"], span["height"], int(values.sum(dtype=np.int64)), int(values.max()), int((np.bincount(values, minlength=256) > 0).sum())]
+                row = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(medium), hashlib.sha256(medium).hexdigest(), "|".join(map(str, facts)))
                 for column, v in zip(made, row):
                     column.append(v)
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())

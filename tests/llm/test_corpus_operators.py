@@ -217,7 +217,7 @@ def test_kd_shards(spark, docs, empty):
     sizes = [r.s for r in kdshard.document_shards(distinct, 8).groupBy("shard").agg(F.sum("size").alias("s")).collect()]
     assert len(sizes) == 8 and max(sizes) - min(sizes) <= 0.02 * sum(sizes) / 8 + 200
     assert kdshard.document_shards(empty, 8).count() == 0
-    by_target = kdshard.kd_shards(common.materialize(distinct.selectExpr("doc_id", "cast(doc_id as double) d", "10L w", "xxhash64(doc_id) tie"), "t"), ["d"], "w", target=6000)
+    by_target = kdshard.kd_shards(distinct.selectExpr("doc_id", "cast(doc_id as double) d", "10L w", "xxhash64(doc_id) tie"), ["d"], "w", target=6000)
     assert by_target.groupBy("node").agg(F.sum("w").alias("w")).where("w > 6000").isEmpty()
 
 
