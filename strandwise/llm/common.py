@@ -85,6 +85,8 @@ def connected_components(edges: DataFrame, label: str = "components", rounds: in
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         cur = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), label)
+    else:
+        raise RuntimeError(f"components of {label} not found in {rounds} rounds")
     roots = cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import Hashed, buffers, connected_components, materialize, mix, slices
 
-ROWS = 4  # minima a band
+ROWS = 6  # minima a band: texts that share a hundredth of their shingles meet in a band once in 1e10 pairs
 BITS = 4  # low bits kept of each minimum
 MISS = 1e-7  # chance that no band shows a pair at the threshold
 BLOCK_ROWS = 1000
@@ -35,9 +35,10 @@ BROADCAST_ROWS = 1_000_000  # 8 MB of ids
 
 
 def band_count(similarity: float) -> int:
-    """Bands for a miss chance of MISS at `similarity`; a multiple of 4, so that minima fill whole longs."""
+    """Bands for a miss chance of MISS at `similarity`, as many as fill whole longs with their minima's low bits."""
     need = math.log(MISS) / math.log(1 - similarity**ROWS)
-    return 4 * math.ceil(need / 4)
+    step = (64 // BITS) // math.gcd(ROWS, 64 // BITS)
+    return step * math.ceil(need / step)
 
 
 def _factors(hashes: int) -> np.ndarray:
