@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import gapless_rank, materialize
+from .common import gapless_rank, materialize, small_batches
 from .encoding import ByteLevelEncoder, end_marked, loaded
 
 CAPACITY = 2048
@@ -29,7 +29,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col:
         encoder = loaded(ByteLevelEncoder, tokenizer)
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), end_marked(encoder, batch.column(1).to_pylist(), end_id)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), end_marked(encoder, batch.column(1), end_id)):
                 n, start, k = len(ids) // 4, 0, 0
                 while start < n:
                     size = (n - start) % capacity or capacity
@@ -39,6 +39,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col:
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return source.mapInArrow(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+BATCH_SETTING, DEFAULT_BATCH, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4m"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where it is unset."""
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -35,6 +38,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's bytes an Arrow batch from Spark's default, so that batches of texts take little of a worker's
+    memory and of the executor's buffers; a setting of the session's own stays."""
+    if spark.conf.get(BATCH_SETTING) == DEFAULT_BATCH:
+        spark.conf.set(BATCH_SETTING, BATCH)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write `df` as Parquet in the shared folder and read it again."""
     spark = df.sparkSession
@@ -126,7 +136,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), off
 
 
-def slices(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of documents of about `most` bytes (one document at least), so that memory stays small."""
     i, n = 0, len(offsets) - 1
     while i < n:

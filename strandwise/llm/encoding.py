@@ -12,6 +12,7 @@ import struct
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 
 LIMIT = 400_000  # units in each half of a worker's cache, about 100 MB a half
 
@@ -166,7 +167,7 @@ def loaded(kind: type, path: str, *more) -> object:
     return _LOADED[key]
 
 
-def end_marked(encoder: ByteLevelEncoder, texts: Iterable[str | None], end: int) -> Iterable[bytes]:
-    """Ids of each text with the end id."""
+def end_marked(encoder: ByteLevelEncoder, texts: pa.Array, end: int) -> Iterable[bytes]:
+    """Ids of each text with the end id; one text at a time leaves the Arrow batch."""
     tail = np.array([end], "<u4").tobytes()
-    return (encoder.ids(t) + tail for t in texts)
+    return (encoder.ids(t.as_py()) + tail for t in texts)

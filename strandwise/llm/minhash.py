@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hashed, buffers, connected_components, materialize, mix, slices
+from .common import Hashed, buffers, connected_components, materialize, mix, slices, small_batches
 
 ROWS = 6  # minima a band: texts that share a hundredth of their shingles meet in a band once in 1e10 pairs
 BITS = 4  # low bits kept of each minimum
@@ -121,6 +121,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, bands: in
                     names=["doc_id", "n_shingles", "k1", "k2", "bands"],
                 )
 
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"))
     return source.mapInArrow(rows, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>")
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Hashed, buffers, slices
+from .common import Hashed, buffers, slices, small_batches
 
 SYMBOLS = b"#*$%&|<>"
 #: n-gram length -> largest share of word characters inside n-grams said before (the published thresholds of Gopher's rules).
@@ -127,4 +127,5 @@ def repetition_rules(
                 made = [pa.array(np.concatenate([p[c] for p in parts])) for c in names]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carry), *made], names=[*carry, *names])
 
+    small_batches(docs.sparkSession)
     return used.mapInArrow(rows, schema)

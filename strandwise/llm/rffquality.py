@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hashed, buffers, materialize, slices
+from .common import Hashed, buffers, materialize, slices, small_batches
 from .repetition import measure
 
 FEATURES = 256
@@ -70,6 +70,7 @@ def document_statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFram
                 ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1])
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, pa.array(x.reshape(-1)))], names=["doc_id", "x"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text")).mapInArrow(rows, "doc_id long, x array<double>")
 
 

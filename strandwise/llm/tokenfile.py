@@ -36,7 +36,7 @@ def serialized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_c
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(ByteLevelEncoder, tokenizer)
         for batch in batches:
-            ids = list(end_marked(encoder, batch.column(1).to_pylist(), end_id))
+            ids = list(end_marked(encoder, batch.column(1), end_id))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(rows, "doc_id long, ids binary")
@@ -82,7 +82,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), end_marked(encoder, batch.column(1).to_pylist(), end_id)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), end_marked(encoder, batch.column(1), end_id)):
                 frame = press.compress(ids)
                 held.append((doc_id, len(ids) // 4, frame))
                 size += len(frame)
