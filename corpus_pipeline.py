@@ -32,18 +32,30 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest doc_id."""
+    """One document of each group of near-duplicates stays, the one with the smallest doc_id; all without doc_id stay."""
     found = materialize(minhash.near_duplicates(docs), "near")
     copies = found.where("not kept").select("doc_id").distinct()
     left = docs.join(_bounded(copies), "doc_id", "left_anti").select(*docs.columns)
     ids = found.where("kept and doc_id is not null").agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
-    return left if ids[0] == ids[1] else left.dropDuplicates(["doc_id"])
+    if ids[0] == ids[1]:
+        return left
+    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the target weights choose stay, each once."""
-    chosen = mixing.mix(docs, queries.levels(), queries.WEIGHTS, MIX_SHARE, epochs=1, seed=queries.SEED)
-    return docs.join(_bounded(chosen.select("doc_id").distinct()), "doc_id", "left_semi").select(*docs.columns)
+    """The rows that the target weights choose stay, each once; rows without doc_id are chosen like all others.
+
+    Where each row has a doc_id of its own, the choice is joined on it; else rows are numbered and joined on the number,
+    for which the table is written once more."""
+    mix = lambda rows, **more: mixing.mix(rows, queries.levels(), queries.WEIGHTS, MIX_SHARE, epochs=1, seed=queries.SEED, **more)
+    n, ids = docs.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if n == ids:
+        return docs.join(_bounded(mix(docs).select("doc_id")), "doc_id", "left_semi").select(*docs.columns)
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")  # written: the numbers are fixed
+    return rows.join(_bounded(mix(rows, row_col=row).select(F.col("row").alias(row))), row, "left_semi").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

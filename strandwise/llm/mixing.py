@@ -63,17 +63,20 @@ def leaf_budgets(tokens: DataFrame, levels: list[str], weights: dict[str, dict[s
 
 def mix(
     docs: DataFrame, levels: dict[str, Column], weights: dict[str, dict[str, float]], share: float, epochs: int = 1, seed: int = 1,
-    tokens: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
+    tokens: Column | None = None, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None,
 ) -> DataFrame:
-    """(doc_id, levels..., n_tokens, epoch, copies): the documents chosen, one row a document.
+    """(doc_id, levels..., n_tokens, epoch, copies[, row]): the documents chosen, one row a document.
 
     The budget is `share` of all tokens. copies: times that the document is used (1 to `epochs`); epoch: the pass of
     its last use, from 0. The last pass is cut at the document edge nearest to what is left: a document is used where the
     pass's tokens up to its middle stay within it; passes are ordered by md5 of seed, epoch and doc_id, then doc_id and tokens. Null levels are
-    the level value 'none'; rows that are equal in all of this are separate rows that go in or stay out together."""
+    the level value 'none'; rows that are equal in all of this are separate rows that go in or stay out together, unless
+    `row_col` (a long, another one in each row, stable) tells them apart: it breaks these ties, stands in for a null doc_id
+    in the md5, and is returned as `row`."""
     names = list(levels)
+    row = [] if row_col is None else ["row"]
     count = word_tokens(F.col(text_col)) if tokens is None else tokens
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *(F.coalesce(c.cast("string"), F.lit("none")).alias(n) for n, c in levels.items()), count.alias("n_tokens"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *(F.coalesce(c.cast("string"), F.lit("none")).alias(n) for n, c in levels.items()), count.alias("n_tokens"), *(F.col(row_col).alias(n) for n in row))
     rows = materialize(rows, "tokens")
     leaves = materialize(rows.groupBy(*names).agg(F.sum("n_tokens").alias("leaf_tokens")), "leaves")  # a row a leaf
     total = leaves.agg(F.sum("leaf_tokens")).first()[0] or 0
@@ -81,13 +84,14 @@ def mix(
     passes = F.floor(F.col("budget") / F.col("leaf_tokens")).cast("long")
     plan = plan.withColumn("whole", F.least(passes, F.lit(epochs).cast("long")))
     plan = materialize(plan.select(*names, "whole", (F.floor("budget").cast("long") - F.col("whole") * F.col("leaf_tokens")).alias("rest")), "plan")
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).cast("binary"))
+    name = F.coalesce(F.col("doc_id").cast("string"), *(F.concat(F.lit("none:"), F.col(n).cast("string")) for n in row), F.lit("none"))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), name).cast("binary"))
     keyed = rows.join(plan, names).withColumn("key", key).withColumn("bucket", F.conv(F.substring("key", 1, 3), 16, 10).cast("int"))
     sums = keyed.groupBy(*names, "bucket").agg(F.sum("n_tokens").alias("__n"))
     w = Window.partitionBy(*names).orderBy("bucket")
     starts = sums.select(*names, "bucket", (F.sum("__n").over(w) - F.col("__n")).alias("__before"))
-    run = F.sum("n_tokens").over(Window.partitionBy(*names, "bucket").orderBy("key", "doc_id", "n_tokens"))
+    run = F.sum("n_tokens").over(Window.partitionBy(*names, "bucket").orderBy("key", "doc_id", "n_tokens", *row))
     ranked = keyed.withColumn("__run", run).join(starts, [*names, "bucket"])
     fits = 2 * (F.col("__before") + F.col("__run")) - F.col("n_tokens") <= 2 * F.col("rest")
     copies = F.col("whole") + fits.cast("long")
-    return ranked.withColumn("copies", copies).where("copies > 0").select("doc_id", *names, "n_tokens", (F.col("copies") - 1).alias("epoch"), "copies")
+    return ranked.withColumn("copies", copies).where("copies > 0").select("doc_id", *names, "n_tokens", (F.col("copies") - 1).alias("epoch"), "copies", *row)

@@ -1,8 +1,13 @@
 import glob
 import os
+import sys
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(__file__))
+import corpus as B
 
 import corpus_pipeline
 from strandwise.llm import queries
@@ -37,3 +42,32 @@ def test_sql_twins(spark, sf_dir, name):
     columns = sorted(df.columns)
     want = con.sql(f"select {', '.join(columns)} from ({queries.oracle_sql()[name]}) q").fetchall()
     assert sorted(map(tuple, df.select(*columns).collect())) == sorted(want)
+
+
+def stage_corpus(spark):
+    """Rows with and without doc_id, all of one source, the texts unlike each other; columns with names used inside."""
+    rows = [(k if k % 2 else None, " ".join(f"w{k}x{i}" for i in range(60)), "en", "src0") for k in range(40)]
+    return rows, B.frame(spark, rows).repartition(3)
+
+
+def test_mixing_keeps_rows_without_id(spark):
+    rows, docs = stage_corpus(spark)
+    docs = docs.withColumn("__row", F.lit("own"))
+    got = corpus_pipeline.source_mixing(spark, docs, "")
+    assert got.columns == docs.columns
+    got = sorted(r.text for r in got.collect())
+    assert len(set(got)) == len(got) == 32  # the share of rows of one length, whether or not they have an id
+    assert 0 < sum(1 for d, t, *_ in rows if d is None and t in got) < 20
+    copies = B.frame(spark, [(None, "equal in all", "en", "src0")] * 50 + [(5, "equal in all", "en", "src0")] * 50)
+    assert corpus_pipeline.source_mixing(spark, copies, "").count() == 80
+    named = B.frame(spark, [(k, t, lang, source) for k, (_, t, lang, source) in enumerate(rows)])
+    numbered = named.unionByName(B.frame(spark, [(None, None, "en", "alone")]))  # of another leaf
+    one, other = (sorted(r.doc_id for r in corpus_pipeline.source_mixing(spark, d, "").where("source = 'src0'").collect()) for d in (named, numbered))
+    assert one == other  # the same choice by id and by number
+
+
+def test_near_dedup_keeps_rows_without_id(spark):
+    rows, _ = stage_corpus(spark)
+    twin = (99, rows[1][1], "en", "src0")
+    got = corpus_pipeline.near_dedup(spark, B.frame(spark, [*rows, rows[1], rows[0], twin]), "").collect()
+    assert sorted((r.doc_id or -1, r.text) for r in got) == sorted((d or -1, t) for d, t, *_ in [*rows, rows[0]])
