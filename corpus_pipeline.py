@@ -23,7 +23,7 @@ def _bounded(ids: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the repetition rules reject go."""
-    return repetition.repetition_rules(docs).where("kept").select(*docs.columns)
+    return repetition.rule_filter(docs)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

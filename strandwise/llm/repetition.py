@@ -129,3 +129,17 @@ def repetition_rules(
 
     small_batches(docs.sparkSession)
     return used.mapInArrow(rows, schema)
+
+
+def rule_filter(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns as they are, that repetition_rules keeps; one narrow pass, no shuffle."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffers(batch.column(text_col))
+            parts = [measure(data, offsets[i : j + 1], COVERAGE, LINE_COVERAGE, SYMBOLS_PER_WORD)["kept"] for i, j in slices(offsets)]
+            if parts:
+                yield batch.filter(pa.array(np.concatenate(parts)))
+
+    small_batches(docs.sparkSession)
+    return docs.mapInArrow(rows, docs.schema)

@@ -71,3 +71,12 @@ def test_near_dedup_keeps_rows_without_id(spark):
     twin = (99, rows[1][1], "en", "src0")
     got = corpus_pipeline.near_dedup(spark, B.frame(spark, [*rows, rows[1], rows[0], twin]), "").collect()
     assert sorted((r.doc_id or -1, r.text) for r in got) == sorted((d or -1, t) for d, t, *_ in [*rows, rows[0]])
+
+
+def test_quality_rules_leave_columns_of_the_same_names(spark):
+    rows, docs = stage_corpus(spark)
+    docs = docs.unionByName(B.frame(spark, [(7, "too short", "en", "src0"), (None, None, None, None)])).withColumn("word_chars", F.lit(1.5))
+    got = corpus_pipeline.quality_rules(spark, docs, "")
+    assert got.schema == docs.schema
+    assert sorted(map(str, got.collect())) == sorted(map(str, docs.where("text like 'w%'").collect()))
+    assert {(r.n_words, r.kept, r.word_chars) for r in got.collect()} == {("x", "x", 1.5)}
