@@ -62,7 +62,7 @@ def _riff(b: bytes, at: int) -> tuple[int, int, int] | None:
         if kind in (b"data", b"VP8 ", b"VP8L", b"VP8X"):
             data = n
         i += 8 + n + n % 2
-    return None if data is None or i != end else (8 + size, data, channels)
+    return None if data is None or i not in (end, end + 1) else (8 + size, data, channels)  # the last pad byte may be missing
 
 
 def _wav(b: bytes, at: int):
@@ -77,10 +77,17 @@ def _bmp(b: bytes, at: int) -> tuple[int, int, int] | None:
     if at + 54 > len(b):
         return None
     size, reserved, start, header, width, height, planes, depth, packing = struct.unpack_from("<IIIIiiHHI", b, at + 2)
-    if reserved or header not in (40, 108, 124) or planes != 1 or packing or depth not in (1, 4, 8, 24, 32) or width <= 0 or not height:
+    # packing -> depths: 1 and 2 are run lengths (bottom-up only), 3 has bit fields: after a 40-byte header, in a larger one
+    depths = {0: (1, 4, 8, 16, 24, 32), 1: (8,), 2: (4,), 3: (16, 32)}.get(packing, ())
+    if reserved or header not in (40, 108, 124) or planes != 1 or depth not in depths or width <= 0 or not height:
         return None
     body = (width * depth + 31) // 32 * 4 * abs(height)
-    if size != start + body or start < 14 + header or at + size > len(b):
+    if packing in (1, 2):
+        body = struct.unpack_from("<I", b, at + 34)[0]
+        if not body or height < 0:
+            return None
+    fields = 12 if packing == 3 and header == 40 else 0
+    if size != start + body or start < 14 + header + fields or at + size > len(b):
         return None
     return size, width, abs(height)
 
@@ -113,6 +120,9 @@ def _jpeg(b: bytes, at: int) -> tuple[int, int, int] | None:
     while i + 4 <= len(b):
         if b[i] != 0xFF:
             return None
+        if b[i + 1] == 0xFF:  # fill byte
+            i += 1
+            continue
         kind = b[i + 1]
         n = struct.unpack_from(">H", b, i + 2)[0]
         if kind in range(0xC0, 0xD0) and kind not in (0xC4, 0xC8, 0xCC) and i + 9 <= len(b):
@@ -125,6 +135,9 @@ def _jpeg(b: bytes, at: int) -> tuple[int, int, int] | None:
                     return None
                 if b[i + 1] == 0xD9:
                     return i + 2 - at, *size
+                if b[i + 1] == 0xFF:  # fill byte
+                    i += 1
+                    continue
                 if b[i + 1] and b[i + 1] not in range(0xD0, 0xD8):
                     break
                 i += 2
@@ -135,6 +148,8 @@ def _au(b: bytes, at: int) -> tuple[int, int, int] | None:
     if at + 24 > len(b):
         return None
     start, size, kind, rate, channels = struct.unpack_from(">IIIII", b, at + 4)
+    if size == 0xFFFFFFFF:  # unknown: to the blob's end
+        size = max(0, len(b) - at - start)
     if start < 24 or start > 4096 or kind not in range(1, 28) or not 0 < channels <= 16 or not rate or at + start + size > len(b):
         return None
     return start + size, size, channels

@@ -1,5 +1,6 @@
 import hashlib
 import os
+import struct
 import sys
 import zlib
 from collections import defaultdict
@@ -296,6 +297,23 @@ def test_sniffing(spark):
     assert got == {1: ("image/gif", True, 1), 2: (None, False, 0), 3: (None, False, 0), 4: ("image/gif", False, 1)}
 
 
+def test_sniffing_of_variants(spark):
+    finder = media.automaton()
+    bmp = lambda header, depth, packing, body, size=0, gap=b"": b"BM" + struct.pack("<IIIIiiHHIIiiII", 14 + header + len(gap) + len(body), 0, 14 + header + len(gap), header, 3, 2, 1, depth, packing, size, 0, 0, 0, 0) + bytes(header - 40) + gap + body
+    wav = media.store(b"abc", "audio/wav")  # odd length, no pad byte
+    au = b".snd" + struct.pack(">IIIII", 24, 0xFFFFFFFF, 2, 8000, 1) + b"to the end"
+    jpeg = b"\xff\xd8\xff\xff\xff\xc0\x00\x0b\x08\x00\x02\x00\x03\x01\x01\x11\x00\xff\xff\xda\x00\x08\x01\x01\x00\x00\x3f\x00ab\xff\x00c\xff\xff\xd9"
+    bitmaps = [bmp(40, 16, 0, bytes(16)), bmp(124, 32, 3, bytes(24)), bmp(108, 16, 3, bytes(16)), bmp(40, 16, 3, bytes(16), gap=bytes(12)), bmp(40, 8, 1, b"\x03\x01\x00\x00\x03\x02\x00\x01", 8), bmp(40, 4, 2, b"\x03\x11\x00\x01", 4)]
+    for kind, blobs in (("image/bmp", bitmaps), ("audio/wav", [wav, wav + b"after"]), ("audio/basic", [au]), ("image/jpeg", [jpeg])):
+        for blob in blobs:
+            whole = len(blob) - (5 if blob.endswith(b"after") else 0)
+            assert [(s.type, s.offset, s.length) for s in media.sniff(b"junk" + blob, finder)] == [(kind, 4, whole)]
+    assert [(s.width, s.height) for s in media.sniff(jpeg, finder)] == [(3, 2)]
+    refused = [bmp(40, 24, 3, bytes(24), gap=bytes(12)), bmp(40, 16, 3, bytes(16)), bmp(40, 8, 1, b"\x00\x01", 0), bmp(40, 8, 1, b"\x00\x01", 8)]
+    assert [media.sniff(b, finder) for b in refused] == [[]] * 4
+    assert media.sniff(jpeg[:-1], finder) == [] and media.sniff(au[:20], finder) == []
+
+
 def test_pooling_is_isotonic():
     at, value = rffquality.pool(np.arange(6.0), np.ones(6), np.array([0.0, 1, 0, 0, 1, 1]))
     assert (np.diff(at) > 0).all() and (np.diff(value) > 0).all() and value[0] == 0 and value[-1] == 1
