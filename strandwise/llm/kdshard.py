@@ -7,19 +7,24 @@ first; the cuts, one row a node, are joined back."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandwise.operators.order import numbered
+
 from .common import gapless_rank, materialize, utf8_crc32
 
 BINS = 4096
+BROADCAST_ROWS = 1_000_000  # distinct values; more are joined by shuffling
+MOST_LEVELS = 62  # bits of a node
 
 
-def text_number(c: Column) -> Column:
-    """The first six UTF-8 bytes of a string as a number that keeps their order; null is 0."""
-    return F.coalesce(F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double"), F.lit(0.0))
+def text_number(rows: DataFrame, column: str, name: str) -> DataFrame:
+    """Replace a string column by `name`: the place of the whole string among the distinct ones, from 1; null is 0."""
+    values = materialize(rows.select(column).where(F.col(column).isNotNull()).distinct(), "values")
+    places = numbered(values, [column], "__at").select(column, (F.col("__at") + 1).cast("double").alias(name))
+    places = F.broadcast(places) if values.count() <= BROADCAST_ROWS else places
+    return rows.join(places, column, "left").fillna(0.0, [name]).drop(column)
 
 
 def number(c: Column) -> Column:
@@ -30,16 +35,21 @@ def kd_shards(rows: DataFrame, dims: list[str], weight: str, target: int | None
     """Add `node` (long: the path of cuts as bits) to `rows`, which are written once.
 
     dims: double columns without nulls; weight: bytes, at least 1; tie: a long, spread evenly, that splits equal values.
-    The depth is `levels`, or the least that brings the mean leaf to `target` bytes or below. Each cut leaves half of a
+    Every node is cut `levels` times, or as long as it is above `target` bytes and a cut can part its rows; a leaf that is
+    done before others has its path filled up with zeros. Each cut leaves half of a
     node's bytes, less at most what the bin of the median holds of ties in value and hash, on either side."""
     nodes = materialize(rows.withColumn("node", F.lit(0).cast("long")), "metadata")
     total = nodes.agg(F.sum(weight), *(F.max(d) - F.min(d) for d in dims)).first()
-    if levels is None:
-        levels = max(0, math.ceil(math.log2(max(1, (total[0] or 0) / target))))
+    found_nodes = 0
     extents = [float(x or 0) or 1.0 for x in total[1:]]
     spread = F.shiftrightunsigned(F.xxhash64(tie), 1)
-    for _ in range(levels if total[0] else 0):
-        stats = nodes.groupBy("node").agg(*(f(d).alias(f"{n}_{k}") for k, d in enumerate(dims) for n, f in (("lo", F.min), ("hi", F.max))))
+    for _ in range((MOST_LEVELS if levels is None else levels) if total[0] else 0):
+        stats = nodes.groupBy("node").agg(F.sum(weight).alias("bytes"), *(f(d).alias(f"{n}_{k}") for k, d in enumerate(dims) for n, f in (("lo", F.min), ("hi", F.max))))
+        if levels is None:
+            state = stats.agg(F.count(F.lit(1)), F.max("bytes")).first()  # no new node: what is left cannot be parted
+            if state[1] <= target or state[0] == found_nodes:
+                break
+            found_nodes, stats = state[0], stats.where(F.col("bytes") > target)
         width = F.greatest(*(F.struct(((F.col(f"hi_{k}") - F.col(f"lo_{k}")) / F.lit(e)).alias("w"), F.lit(-k).alias("k")) for k, e in enumerate(extents))) if len(dims) > 1 else F.struct(F.lit(0.0).alias("w"), F.lit(0).alias("k"))
         dim = -width["k"]
         pick = lambda n: F.coalesce(*(F.when(dim == k, F.col(f"{n}_{k}")) for k in range(len(dims))))
@@ -62,13 +72,13 @@ def kd_shards(rows: DataFrame, dims: list[str], weight: str, target: int | None
             coarse.select("node", "bin0", "vlo", "vhi").join(middle.select("node", "fine0"), "node").join(last.select("node", F.col("at").alias("slot0"), "after"), "node").join(stats, "node"), "cut"
         )
         value = F.coalesce(*(F.when(F.col("dim") == k, F.col(d)) for k, d in enumerate(dims)))
-        found = nodes.join(cut, "node").withColumn("value", value).withColumn("bin", F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("long")).withColumn("fine", fine)
+        found = nodes.join(cut, "node", "left").withColumn("value", value).withColumn("bin", F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("long")).withColumn("fine", fine)
         slot = F.shiftrightunsigned(spread, 63 - 16)
         right = (F.col("bin") > F.col("bin0")) | (
             (F.col("bin") == F.col("bin0"))
             & ((F.col("fine") > F.col("fine0")) | ((F.col("fine") == F.col("fine0")) & ((slot > F.col("slot0")) | ((slot == F.col("slot0")) & F.col("after")))))
         )
-        nodes = materialize(found.withColumn("node", F.col("node") * 2 + right.cast("long")).select(*rows.columns, "node"), "nodes")
+        nodes = materialize(found.withColumn("node", F.col("node") * 2 + F.coalesce(right, F.lit(False)).cast("long")).select(*rows.columns, "node"), "nodes")
     return nodes
 
 
@@ -98,8 +108,9 @@ def document_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
     lang, source = (F.col(c) if c in docs.columns else none for c in ("lang", "source"))
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), size.alias("size"), utf8_crc32(F.col(text_col)).alias("text_crc32"),
-        F.log1p(size.cast("double")).alias("d0"), text_number(lang).alias("d1"), text_number(source).alias("d2"), number(F.col(id_col)).alias("d3"),
+        F.log1p(size.cast("double")).alias("d0"), lang.alias("lang"), source.alias("source"), number(F.col(id_col)).alias("d3"),
     ).withColumn("tie", F.xxhash64("doc_id", "text_crc32", "size"))
+    rows = text_number(text_number(rows, "lang", "d1"), "source", "d2")
     nodes = kd_shards(rows, ["d0", "d1", "d2", "d3"], "size", levels=levels)
     nodes = nodes.withColumn("shard", F.col("node").cast("int"))
     return gapless_rank(nodes, ["shard"], ["tie", "doc_id"], "slot").select(

@@ -222,6 +222,20 @@ def test_kd_shards(spark, docs, empty):
     assert by_target.groupBy("node").agg(F.sum("w").alias("w")).where("w > 6000").isEmpty()
 
 
+def test_kd_shards_part_sources_with_a_common_beginning(spark):
+    rows = B.frame(spark, [(7, "same text", "en", f"https://site{k % 2}") for k in range(400)])
+    numbers = {r.source: r.d for r in kdshard.text_number(rows.selectExpr("source", "source s"), "s", "d").distinct().collect()}
+    assert numbers == {"https://site0": 1.0, "https://site1": 2.0}
+
+
+def test_kd_target_holds_for_every_leaf(spark):
+    rows = spark.range(400).selectExpr("id doc_id", "cast(id as double) d", "if(id < 20, 90L, 1L) w", "xxhash64(id) tie")
+    got = kdshard.kd_shards(rows, ["d"], "w", target=100).groupBy("node").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n")).collect()
+    assert sum(r.n for r in got) == 400 and max(r.w for r in got) <= 100
+    one = kdshard.kd_shards(rows.where("doc_id in (1, 2)"), ["d"], "w", target=50)
+    assert [r.w for r in one.groupBy("node").agg(F.sum("w").alias("w")).collect()] == [90, 90]
+
+
 def water(budget, nodes):
     """Shares of the budget by weight, none above its capacity, by raising the level step by step."""
     open_, out = dict(nodes), {}
