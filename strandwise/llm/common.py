@@ -136,6 +136,14 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), off
 
 
+def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what Arrow has kept of a batch goes back before the next one comes."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def slices(offsets: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of documents of about `most` bytes (one document at least), so that memory stays small."""
     i, n = 0, len(offsets) - 1

@@ -4,7 +4,8 @@ A file set is a folder: `dictionary` (bytes and sha256) and `blocks`, Parquet ro
 frames one after another (`frames`), with an index (doc ids, frame ends, token counts, the tokens of the part before
 the block) and the dictionary's hash. Blocks
 follow in ascending doc_id order over (part, block). One short document is read from one block's index and one frame.
-Everything goes through Spark's reader and writer, so any store works and a lost task is written again."""
+Texts are encoded and compressed where they are read, so that only frames move. Everything goes through Spark's reader
+and writer, so any store works and a lost task is written again."""
 
 from __future__ import annotations
 
@@ -18,11 +19,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
-from .encoding import ByteLevelEncoder, end_marked, loaded
+from .common import buffers, lean, materialize, slices, small_batches
+from .encoding import RUN_BYTES, ByteLevelEncoder, loaded
 
 DICTIONARY_BYTES = 64 << 10
-SAMPLE_DOCS = 400  # the dictionary alone is trained on a bounded sample: it changes sizes, never ids
+SAMPLE_DOCS, SAMPLE_BYTES = 400, 16 << 10  # about so many texts, each of so many bytes at most, train the dictionary: it changes sizes, never ids
+LEAST_SAMPLES, LEAST_BYTES = 16, 8 << 10  # what is less is too little to train on and serves as raw content
+PART_BYTES = 64 << 20  # of frames in a file
 BLOCK_BYTES = 1 << 20
 BLOCK_DOCS = 4096
 LEVEL = 3
@@ -30,48 +33,68 @@ BROADCAST_PARTS = 1_000_000  # 12 MB; more files are joined by shuffling
 BLOCKS = "part int, block int, before long, dictionary_sha256 string, doc_ids array<long>, ends array<long>, n_tokens array<long>, tokens long, frames binary"
 
 
-def serialized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, ids) of each row; no shuffle."""
+def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
+    """A zstandard dictionary of id arrays; fewer than LEAST_SAMPLES or LEAST_BYTES serve as raw content."""
+    import zstandard
+
+    total = sum(map(len, samples))
+    if len(samples) >= LEAST_SAMPLES and total > LEAST_BYTES:
+        try:
+            return zstandard.train_dictionary(min(size, max(1024, total // 10)), samples).as_bytes()
+        except zstandard.ZstdError:  # samples too much alike
+            pass
+    return b"".join(samples)[-size:]
+
+
+def sample_ids(source: DataFrame, tokenizer: str, end_id: int, docs: int = SAMPLE_DOCS, most: int = SAMPLE_BYTES) -> list[bytes]:
+    """Id arrays of about `docs` texts (2 x `docs` at most) of at most `most` bytes, taken evenly from the whole table."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(ByteLevelEncoder, tokenizer)
         for batch in batches:
-            ids = list(end_marked(encoder, batch.column(1), end_id))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            ids, ends = encoder.ids(batch.column(0), end_id)
+            yield pa.RecordBatch.from_arrays([pa.array([ids[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary())], names=["ids"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(rows, "doc_id long, ids binary")
+    n = source.count()
+    short = source.sample(min(1.0, docs / max(n, 1)), seed=1).where(F.octet_length("text") <= most).select("text").limit(2 * docs)
+    return [bytes(r[0]) for r in short.mapInArrow(rows, "ids binary").collect()]
 
 
-def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
-    """A zstandard dictionary of id arrays; what is too little to train on serves as raw content."""
+FRAMES = "doc_id long, n long, crc long, frame binary"
+
+
+def frames_of(source: DataFrame, tokenizer: str, end_id: int, dictionary: bytes) -> DataFrame:
+    """FRAMES of (doc_id, text): number and crc32 of each text's ids, compressed; no shuffle."""
     import zstandard
 
-    raw = b"".join(samples)[-size:]
-    if len(samples) >= 16 and sum(map(len, samples)) > 8 * 1024:
-        try:
-            return zstandard.train_dictionary(min(size, max(1024, sum(map(len, samples)) // 10)), samples).as_bytes()
-        except zstandard.ZstdError:
-            return raw
-    return raw
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = loaded(ByteLevelEncoder, tokenizer)
+        press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary), write_content_size=True)
+        for batch in lean(batches):
+            _, offsets = buffers(batch.column(1))
+            for i, j in slices(offsets, RUN_BYTES):
+                ids, ends = encoder.ids(batch.column(1).slice(i, j - i), end_id)
+                raw, at = memoryview(ids).cast("B"), (4 * ends).tolist()
+                cuts = list(zip(at, at[1:]))
+                made = [pa.array(np.diff(ends)), pa.array([zlib.crc32(raw[a:b]) for a, b in cuts], pa.int64()), pa.array([press.compress(raw[a:b]) for a, b in cuts], pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *made], names=["doc_id", "n", "crc", "frame"])
+
+    small_batches(source.sparkSession)
+    return source.mapInArrow(rows, FRAMES)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> str:
     """Write every whole text's ids with the end id; returns the dictionary's sha256.
 
-    Null and empty texts hold the end id alone; rows of one doc_id follow each other by text; rows without doc_id come first."""
-    import zstandard
-
+    Null and empty texts hold the end id alone. Rows without doc_id come first; rows of one doc_id follow each other by
+    the number and crc32 of their ids. Other columns are not read. An empty table gives no blocks."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sample = source.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    samples = [bytes(r[0]) for r in serialized(sample, tokenizer, end_id, "doc_id", "text").select("ids").collect()]
-    dictionary = train_dictionary(samples)
+    dictionary = train_dictionary(sample_ids(source, tokenizer, end_id))
     digest = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(digest, bytearray(dictionary))], "sha256 string, content binary").coalesce(1).write.parquet(f"{path}/dictionary")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = loaded(ByteLevelEncoder, tokenizer)
-        press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary), write_content_size=True)
         part, block, before, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
 
         def cut() -> pa.RecordBatch:
@@ -82,9 +105,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), end_marked(encoder, batch.column(1), end_id)):
-                frame = press.compress(ids)
-                held.append((doc_id, len(ids) // 4, frame))
+            for doc_id, n, frame in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                held.append((doc_id, n, frame))
                 size += len(frame)
                 if size >= BLOCK_BYTES or len(held) >= BLOCK_DOCS:
                     yield cut()
@@ -92,7 +114,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         if held:
             yield cut()
 
-    ordered = source.repartitionByRange("doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    frames = materialize(frames_of(source, tokenizer, end_id, dictionary), "frames")  # written: range bounds are found before rows are dealt
+    total = frames.agg(F.sum(F.octet_length("frame"))).first()[0] or 0
+    order = [F.col("doc_id").asc_nulls_first(), "n", "crc"]
+    files = max(-(-total // PART_BYTES), min(spark.sparkContext.defaultParallelism, -(-total // BLOCK_BYTES)), 1)
+    ordered = frames.repartitionByRange(files, *order).sortWithinPartitions(*order).select("doc_id", "n", "frame")
     ordered.mapInArrow(rows, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
     return digest
 

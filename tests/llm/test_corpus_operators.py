@@ -1,3 +1,4 @@
+import bisect
 import hashlib
 import os
 import struct
@@ -6,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,22 +98,42 @@ def test_repetition_verdict(spark):
     assert got == {1: True, 2: False, 3: False, 4: False, 5: True}
 
 
-def test_encoder_equals_the_library(tokenizer):
+PARTS = list("aZ é²½¼'s'll9.,!\n\t  \x1c\x85\xa0ªµ_-ñÿ\x00\xad日 ́'t're▁") + ["<|endoftext|>", "<s>", " the", "  ", "long" * 30]
+
+
+def odd_texts(n):
+    rng = np.random.default_rng(3)
+    return ["".join(rng.choice(PARTS, rng.integers(0, 14))) for _ in range(n)] + [None, ""]
+
+
+@pytest.mark.parametrize("segment", [7, encoding.SEGMENT])
+def test_encoder_equals_the_library(tokenizer, monkeypatch, segment):
+    monkeypatch.setattr(encoding, "SEGMENT", segment)
+    monkeypatch.setattr(encoding.segments, "__defaults__", (segment,))
     encoder = encoding.ByteLevelEncoder(queries.vocabulary("byte_bpe_50k.json"))
     assert encoder.cached
-    rng = np.random.default_rng(3)
-    parts = list("aZ é²½¼'s'll9.,!\n\t  \x1c\x85\xa0ªµ_-ñÿ\x00\xad日 ́'t're") + ["<|endoftext|>", " the", "  "]
-    for _ in range(4000):
-        text = "".join(rng.choice(parts, rng.integers(0, 14)))
-        assert encoder.ids(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    texts = odd_texts(4000)
+    ids, ends = encoder.ids(pa.array(texts), 0)
+    for k, text in enumerate(texts):
+        assert ids[ends[k] : ends[k + 1]].tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+    assert [len(x) for x in encoder.ids(pa.array([], pa.string()))] == [0, 1]
+
+
+def test_piece_counter_equals_the_library():
+    counter = encoding.PieceCounter(queries.vocabulary("piece_bpe_32k.model"), {"the": 1})
+    texts = odd_texts(2000)
+    assert counter.counts(pa.array(texts)).tolist() == [len(x) for x in counter.model.encode([t or "" for t in texts], num_threads=1)]
+    assert len(counter.counts(pa.array([], pa.string()))) == 0
 
 
 def test_cache_stays_bounded():
-    made = []
-    cache = encoding._Miss(lambda k: made.append(k) or k, 10)
+    cache = encoding.Cache(10)
     for k in range(100):
-        assert cache[k % 25] == k % 25
-    assert len(cache) <= 10 and len(cache._older) <= 10
+        keys = [str(x % 25) for x in range(k, k + 3)]
+        assert cache.all(keys, lambda new: [x + "!" for x in new]) == [x + "!" for x in keys]
+    many = [str(k) for k in range(50)]
+    assert cache.all(many, lambda new: [x + "!" for x in new]) == [x + "!" for x in many]
+    assert len(cache.young) <= 10 and len(cache.older) <= 10
 
 
 def test_token_counts(docs, empty):
@@ -128,18 +150,25 @@ def test_token_counts(docs, empty):
     assert tokencount.token_counts(empty, path).count() == 0
 
 
+def packed(rows, capacity):
+    """Sequences of (sequence_id, offset, length); offsets have no gaps."""
+    places = defaultdict(list)
+    for r in rows:
+        places[r.sequence_id].append((r.offset, r.length))
+    for x in places.values():
+        at = 0
+        for offset, length in sorted(x):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(places)
+
+
 def test_best_fit(docs, empty, ids):
     got = bestfit.best_fit(docs, queries.vocabulary("byte_bpe_50k.json")).collect()
-    by_sequence, by_doc = defaultdict(list), defaultdict(list)
+    by_doc = defaultdict(list)
     for r in got:
-        by_sequence[r.sequence_id].append((r.offset, r.length))
         by_doc[r.doc_id].append(r)
-    for places in by_sequence.values():
-        at = 0
-        for offset, length in sorted(places):
-            assert offset == at
-            at += length
-        assert at <= 2048
     for doc_id, all_ids in ids.items():
         at = 0
         for k, r in enumerate(sorted(by_doc[doc_id], key=lambda r: r.piece)):
@@ -148,36 +177,43 @@ def test_best_fit(docs, empty, ids):
             at += r.length
         assert at == len(all_ids) // 4
     total = sum(len(x) // 4 for x in ids.values())
-    assert len(by_sequence) <= -(-total // 2048) + 1
+    assert packed(got, 2048) <= -(-total // 2048) + 1
     assert bestfit.best_fit(empty, queries.vocabulary("byte_bpe_50k.json")).count() == 0
 
 
-def test_sweep_is_best_fit_decreasing():
+def test_best_fit_of_repeated_rows_and_rows_without_id(spark):
+    rows = [(7, "the same", "", "")] * 3 + [(None, "the same", "", ""), (None, None, None, None)]
+    got = bestfit.best_fit(B.frame(spark, rows), queries.vocabulary("byte_bpe_50k.json"), capacity=4).collect()
+    assert sorted((r.doc_id or -1, r.piece, r.length) for r in got) == [(-1, 0, 1), (-1, 0, 3)] + [(7, 0, 3)] * 3
+    assert packed(got, 4) == 4
+
+
+def decreasing(lengths, capacity):
+    """Number of sequences of best-fit decreasing, piece by piece."""
+    gaps = []
+    for length in sorted(lengths, reverse=True):
+        at = bisect.bisect_left(gaps, length)
+        gap = gaps.pop(at) if at < len(gaps) else capacity
+        bisect.insort(gaps, gap - length)
+    return len(gaps)
+
+
+@pytest.mark.parametrize(("name", "task"), [("mixed", 10**6), ("mixed", 300), ("tiny", 200), ("one length", 150), ("large", 300)])
+def test_supersteps_come_near_best_fit_decreasing(spark, name, task):
     rng = np.random.default_rng(4)
-    for capacity in (10, 50):
-        counts = {int(k): int(v) for k, v in zip(range(1, capacity + 1), rng.integers(0, 30, capacity)) if v}
-        runs, opened = bestfit.sweep(counts, capacity)
-        gaps = []
-        for length in sorted(counts, reverse=True):
-            for _ in range(counts[length]):
-                fit = [g for g in gaps if g >= length]
-                if fit:
-                    gaps.remove(min(fit))
-                    gaps.append(min(fit) - length)
-                else:
-                    gaps.append(capacity - length)
-        assert opened == len(gaps)
-        places = defaultdict(list)
-        for length, lo, hi, first, per, base in runs:
-            for r in range(hi - lo):
-                places[first + r // per].append((base + length * (r % per), length))
-        assert sum(map(len, places.values())) == sum(counts.values())
-        for x in places.values():
-            at = 0
-            for offset, length in sorted(x):
-                assert offset == at
-                at += length
-            assert at <= capacity
+    capacity = 200
+    lengths = {"mixed": rng.integers(1, 201, 1500), "tiny": rng.integers(1, 6, 1500), "one length": np.full(700, 67), "large": rng.integers(90, 201, 900)}[name].tolist()
+    cut = common.materialize(spark.createDataFrame(list(enumerate(lengths)), "seq long, length long"), "cut")
+    got = bestfit.place(cut, capacity, task).collect()
+    assert sorted((r.seq, r.length) for r in got) == list(enumerate(lengths))
+    most = decreasing(lengths, capacity)
+    assert packed(got, capacity) <= (most if task > len(lengths) else most * 1.01 + 1)
+
+
+def test_meetings_of_ranges():
+    ranges = {0: {bestfit.FREE: (3, 90, 100)}, 1: {bestfit.LEFT: (2, 40, 45), bestfit.FREE: (1, 41, 41)}, 2: {bestfit.LEFT: (7, 10, 20)}}
+    # two pieces of 45 go into one gap of 90 at least; then gaps of 41 take two of 20 each, those of 90 four
+    assert bestfit.meetings(ranges) == [(1, 0, 2, 0, 0, 2), (2, 0, 2, 1, 0, 2), (2, 2, 7, 0, 1, 4)]
 
 
 def test_token_files(spark, docs, empty, ids, monkeypatch):
@@ -195,6 +231,11 @@ def test_token_files(spark, docs, empty, ids, monkeypatch):
     assert tokenfile.lookup(spark, path, 77777).count() == 0
     stored = spark.read.parquet(f"{path}/dictionary").first()
     assert stored.sha256 == digest == hashlib.sha256(bytes(stored.content)).hexdigest()
+    repeated = common.scratch_path(spark, "tokens")
+    rows = [(5, "b b b", "", ""), (5, "a", "", ""), (5, "a", "", ""), (None, "z", "", ""), (4, None, "", "")]
+    tokenfile.write_token_files(B.frame(spark, rows), repeated, queries.vocabulary("byte_bpe_50k.json"))
+    got = sorted((tuple(r) for r in tokenfile.read_token_files(spark, repeated).drop("ids_crc32").collect()), key=lambda r: r[1])
+    assert got == [(None, 0, 2), (4, 2, 1), (5, 3, 2), (5, 5, 2), (5, 7, 4)]
     other = common.scratch_path(spark, "tokens")
     tokenfile.write_token_files(empty, other, queries.vocabulary("byte_bpe_50k.json"))
     assert tokenfile.read_token_files(spark, other).count() == 0
