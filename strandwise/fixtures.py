@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandwise.operators.order import numbered
+from strandwise.operators.order import numbered, with_coordinates
 from strandwise.sources.files import scratch_path
 
 ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
@@ -106,23 +106,37 @@ def constant_lines(spark: SparkSession, rows: list[str]) -> DataFrame:
 
 
 def fasta_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(line_no, line): a name line for each document, then its text's lines."""
+    """(line_no, line): a name line for each document, some with blanks before the name, then its text's lines."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    name = F.concat(F.lit(">chr"), F.col("doc_id").cast("string"), F.lit(" "), F.coalesce("lang", F.lit("")))
+    name = F.concat(F.when(F.col("doc_id") % 3 == 0, "> \tchr").otherwise(">chr"), F.col("doc_id").cast("string"), F.lit(" "), F.coalesce("lang", F.lit("")))
     lines = docs.select("doc_id", F.posexplode(F.concat(F.array(name), F.split(F.coalesce("text", F.lit("")), "\n"))).alias("k", "line"))
     return numbered(lines, ["doc_id", "k"], "line_no").select("line_no", "line")
 
 
-FASTA_SQL = """fl0 AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS k FROM (SELECT doc_id, list_concat(['>chr' || doc_id || ' ' || coalesce(lang, '')], string_split(coalesce(text, ''), chr(10))) AS ls FROM documents)),
+FASTA_SQL = """fl0 AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS k FROM (SELECT doc_id, list_concat([CASE WHEN doc_id % 3 = 0 THEN '> ' || chr(9) || 'chr' ELSE '>chr' END || doc_id || ' ' || coalesce(lang, '')], string_split(coalesce(text, ''), chr(10))) AS ls FROM documents)),
 fasta AS (SELECT row_number() OVER (ORDER BY doc_id, k) - 1 AS line_no, line FROM fl0)"""
 
-FILES_SQL = """SELECT CASE WHEN rname = '*' THEN 'chr1_1_10000.sam'
+#: Reads by their place, some in the wrong file; what has no place is in the first file, headers are in a file of their own.
+FILES_SQL = """SELECT CASE WHEN line LIKE '@%' THEN 'chr9_1_5.sam' WHEN rname IS NULL OR rname = '*' THEN 'chr1_1_10000.sam'
   ELSE concat(CASE WHEN line_no % 103 = 0 THEN 'chr1' ELSE rname END, '_', CAST(1 + 10000 * k AS VARCHAR(20)), '_', CAST(10000 * (k + 1) AS VARCHAR(20)), '.sam') END AS file, line_no, line FROM (
   SELECT line_no, line, rname, CAST(FLOOR((pos - 1) / 10000) AS BIGINT) + CASE WHEN line_no % 101 = 0 THEN 1 ELSE 0 END AS k FROM {src}) t"""
 
 
 def region_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(file, line_no, line): reads in files of 10 000 bases, some of them in the wrong one."""
-    rows = sam_lines(spark, sf_dir)
-    named = rows.select("line_no", "line", F.split_part("line", F.lit("\t"), F.lit(3)).alias("rname"), F.split_part("line", F.lit("\t"), F.lit(4)).cast("long").alias("pos"))
+    """(file, line_no, line): dirty lines in files of 10 000 bases."""
+    named = with_coordinates(dirty_lines(spark, sf_dir), headers_first=True).select("line_no", "line", "rname", "pos")
     return spark.sql(FILES_SQL.format(src="{rows}"), rows=named)
+
+
+TEXT_LINES = 10_000  # lines of a text file
+
+
+def text_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of text files `file_no=k/part-*.txt` with the dirty lines, TEXT_LINES in each file."""
+    key = (spark.sparkContext.applicationId, sf_dir, "text")
+    if key not in _WRITTEN:
+        path = scratch_path(spark, "text")
+        rows = dirty_lines(spark, sf_dir).withColumn("file_no", F.floor(F.col("line_no") / TEXT_LINES))
+        rows.repartition("file_no").sortWithinPartitions("file_no", "line_no").select("file_no", "line").write.partitionBy("file_no").text(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]

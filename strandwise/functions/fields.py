@@ -57,9 +57,16 @@ def flag_value(text: Column) -> Column:
 
 
 def quality_score(qual: Column) -> Column:
-    """Sum over QUAL of the Phred value clamped to 0..15, at most 65535."""
-    each = F.transform(F.split(qual, ""), lambda c: F.least(F.greatest(F.ascii(c) - S.QUALITY_BASE, F.lit(0)), F.lit(S.QUALITY_CAP)).cast("long"))
-    return F.least(F.aggregate(each, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(S.SCORE_CAP).cast("long"))
+    """Sum over QUAL of the Phred value clamped to 0..15, at most 65535.
+
+    Each character counts 15, less what each of the few characters below the cap lacks: no object for each base."""
+    n = F.length(qual)
+    times = lambda c: n - F.length(F.replace(qual, F.lit(c), F.lit("")))
+    none = "".join(map(chr, range(1, S.QUALITY_BASE)))  # control characters and the blank count nothing
+    lacking = S.QUALITY_CAP * (n - F.length(F.translate(qual, none + chr(0), "")))
+    for q in range(S.QUALITY_CAP):
+        lacking = lacking + (S.QUALITY_CAP - q) * times(chr(S.QUALITY_BASE + q))
+    return F.least((S.QUALITY_CAP * n - lacking).cast("long"), F.lit(S.SCORE_CAP).cast("long"))
 
 
 def orientation(flag: Column) -> Column:
@@ -99,12 +106,17 @@ def stem(name: Column) -> Column:
     return F.substring_index(name, ".sam", 1)
 
 
+def has_suffix(name: Column, suffix: str) -> Column:
+    """Whether a name ends with `suffix`; a shorter name does not."""
+    return name.endswith(suffix)
+
+
 SUFFIXES = {"sort": ".sorted.sam", "markdup": ".markdup.sam", "all": ".sorted.markdup.sam"}
 
 
 def output_name(name: Column, mode: str) -> Column:
-    """Name of the processed file; the stem is cut at 127 bytes."""
-    return F.concat(F.substring(stem(name), 1, 127), F.lit(SUFFIXES.get(mode, ".processed.sam")))
+    """Name of the processed file; the stem is cut at 127 bytes, inside a character if need be."""
+    return F.concat(F.substring(stem(name).cast("binary"), 1, 127).cast("string"), F.lit(SUFFIXES.get(mode, ".processed.sam")))
 
 
 def region_path(folder: Column, chrom: Column, start: Column, end: Column, rid: Column | None = None) -> Column:

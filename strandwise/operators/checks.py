@@ -9,17 +9,24 @@ from strandwise import schema as S
 from strandwise.functions import fields as X
 from strandwise.operators.order import with_coordinates
 from strandwise.operators.regions import used_reads
+from strandwise.sources.files import small
 from strandwise.sources.text import region_of_name
 
 
+def declared(lines: DataFrame) -> DataFrame:
+    """(file, chr, region_start, region_end) of the files whose names declare a region; each name is read once."""
+    names = lines.select("file").distinct().withColumn("region", region_of_name(F.col("file")))
+    return names.where("region is not null").select("file", "region.*")
+
+
 def judged(lines: DataFrame) -> DataFrame:
     """Add to the lines of region files (file, line_no, line) what the file's name declares and a verdict `kind`:
 
     unparsed, unmapped, bad_chr, bad_range or good; headers and blank lines are left out, as are files whose names
     declare no region."""
-    body = lines.where((X.without_cr(F.col("line")) != "") & ~X.is_header(F.col("line")))
-    rows = with_coordinates(body.withColumn("line", X.without_cr(F.col("line")))).withColumn("region", region_of_name(F.col("file")))
-    rows = rows.where("region is not null").select("file", "line_no", "line", "rname", "pos", "valid", "region.*")
+    body = lines.select("file", "line_no", X.without_cr(F.col("line")).alias("line")).where((F.col("line") != "") & ~X.is_header(F.col("line")))
+    rows = with_coordinates(body).join(small(declared(lines)), "file")
+    rows = rows.select("file", "line_no", "line", "rname", "pos", "valid", "chr", "region_start", "region_end")
     kind = (
         F.when(~F.col("valid"), "unparsed")
         .when((F.col("rname") == S.UNSET) | (F.col("pos") <= 0), "unmapped")
@@ -31,12 +38,15 @@ def judged(lines: DataFrame) -> DataFrame:
 
 
 def region_check(lines: DataFrame) -> DataFrame:
-    """Counters of each file and whether it passes."""
+    """Counters of each file and whether it passes; a file without records passes with nothing counted.
+
+    A file without a single line is not among `lines` and so not here."""
     count = lambda *kinds: F.count_if(F.col("kind").isin(*kinds))
-    return judged(lines).groupBy("file").agg(
+    counted = judged(lines).groupBy("file").agg(
         F.count(F.lit(1)).alias("total"), count("bad_chr", "bad_range", "good").alias("checked"), count("bad_chr").alias("bad_chr"),
         count("bad_range").alias("bad_range"), count("unparsed", "unmapped").alias("unmapped_or_zero"), (count("bad_chr", "bad_range") == 0).alias("ok"),
     )
+    return declared(lines).select("file").join(counted, "file", "left").fillna(0).fillna(True, ["ok"])  # a row a file
 
 
 def region_check_errors(lines: DataFrame, most: int = S.MAX_MESSAGES) -> DataFrame:

@@ -55,8 +55,11 @@ def reference_dictionary(records: DataFrame, arrival: list[str], most: int | Non
     first = F.struct(*arrival, F.col("side"))
     names = records.select(*files, *arrival, F.explode(F.array(F.struct(F.col("rname").alias("name"), F.lit(0).alias("side")), F.struct(F.col("rnext").alias("name"), F.lit(1).alias("side")))).alias("x"))
     names = names.select(*files, *arrival, "x.name", "x.side").where("name is not null and name <> '*' and not (side = 1 and name = '=')")
-    seen = materialize(names.groupBy(*files, "name").agg(F.min(first).alias("first")), "names")  # a row a name
-    tid = F.row_number().over(Window.partitionBy(*(files or [F.lit(0)])).orderBy("first")) - 1  # a row a name
-    if most is not None:
-        tid = F.when(tid < most, tid).otherwise(-1)
+    seen = names.groupBy(*files, "name").agg(F.min(first).alias("first"))  # a row a name
+    if files:
+        tid = F.row_number().over(Window.partitionBy(*files).orderBy("first")) - 1
+        seen = materialize(seen, "names").withColumn("tid", tid.cast("long"))
+    else:
+        seen = numbered(seen, ["first"], "tid")
+    tid = F.col("tid") if most is None else F.when(F.col("tid") < most, F.col("tid")).otherwise(-1)
     return seen.select(*files, "name", tid.cast("long").alias("tid"))

@@ -16,8 +16,10 @@ from strandwise.sources.files import materialize, small
 
 
 def used_reads(lines: DataFrame, chroms: DataFrame) -> DataFrame:
-    """Reads on the given chromosomes with a position inside them, with the chromosome's length."""
-    rows = with_coordinates(lines, headers_first=True).where("valid").drop("valid")
+    """Reads on the given chromosomes with a position inside them, with the chromosome's length.
+
+    Columns rname, pos and length of `lines` are replaced."""
+    rows = with_coordinates(lines.drop("rname", "pos", "length"), headers_first=True).where("valid").drop("valid")
     sizes = chroms.select(F.col("name").alias("rname"), "length")
     return rows.join(small(sizes), "rname").where(F.col("pos").between(1, F.col("length")))
 
@@ -72,61 +74,57 @@ def overlaps(regions: DataFrame) -> DataFrame:
     return regions.withColumn("before", before).where("region_start <= before").drop("before")
 
 
-def assign(points: DataFrame, regions: DataFrame, how: str = "inner") -> DataFrame:
+REGION = ["chr", "region_start", "region_end"]
+
+
+def assign(points: DataFrame, regions: DataFrame, how: str = "inner", within: tuple[str, str] = ("region_start", "region_end")) -> DataFrame:
     """Join points (rname, pos) with the region (chr, region_start, region_end) that holds them.
 
     Regions are spread over tiles about as wide as the mean region, so that a point meets a few regions however many
-    there are: the join is an equality on (chromosome, tile) with a range check. Regions must not overlap."""
-    regions = materialize(regions, "regions")
-    span = regions.agg(F.max("region_end"), F.count(F.lit(1)), F.count_distinct("chr")).first()
+    there are: the join is an equality on (chromosome, tile) with a range check. The spans `within` (the regions' own
+    columns, else further ones) must not overlap. Columns of `points` that are named like a region's are replaced."""
+    low, high = within
+    regions = materialize(regions.select(*REGION, F.col(low).alias("__low"), F.col(high).alias("__high")), "regions")
+    span = regions.agg(F.max("__high"), F.count(F.lit(1)), F.count_distinct("chr")).first()
     width = max(1, math.ceil((span[0] or 1) * max(span[2], 1) / max(span[1], 1)))
-    tiles = regions.withColumn("tile", F.explode(F.sequence(F.floor(F.col("region_start") / width), F.floor(F.col("region_end") / width))))
-    left = points.withColumn("tile", F.floor(F.col("pos") / width))
-    match = (F.col("rname") == F.col("chr")) & (left["tile"] == tiles["tile"]) & F.col("pos").between(F.col("region_start"), F.col("region_end"))
-    return left.join(small(tiles, 2 * span[1] + span[2]), match, how).drop("tile")  # a region meets two tiles on average
-
-
-def assign_probing(points: DataFrame, regions: DataFrame) -> DataFrame:
-    """As `assign`, inner, for overlapping lists: the hit of a binary search over regions by (start, end).
-
-    The list is short (see MAX_LISTED_REGIONS), so it goes to the tasks as it is."""
-    rows = regions.select("chr", "region_start", "region_end").limit(S.MAX_LISTED_REGIONS + 1).collect()
-    if len(rows) > S.MAX_LISTED_REGIONS:
-        raise ValueError(f"more than {S.MAX_LISTED_REGIONS} regions")
-    index: dict[str, list[tuple[int, int]]] = {}
-    for r in sorted(rows):
-        index.setdefault(r[0], []).append((r[1], r[2]))
-
-    def probe(batches):
-        for pdf in batches:
-            hits = []
-            for name, pos in zip(pdf["rname"], pdf["pos"]):
-                spans = index.get(name, ())
-                low, high, hit = 0, len(spans) - 1, (None, None)
-                while low <= high:
-                    mid = (low + high) // 2
-                    if pos < spans[mid][0]:
-                        high = mid - 1
-                    elif pos > spans[mid][1]:
-                        low = mid + 1
-                    else:
-                        hit = spans[mid]
-                        break
-                hits.append(hit)
-            out = pdf.assign(chr=pdf["rname"], region_start=pd.array([h[0] for h in hits], "Int64"), region_end=pd.array([h[1] for h in hits], "Int64"))
-            yield out.dropna(subset=["region_start"])
-
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in points.dtypes), "chr string, region_start long, region_end long"])
-    return points.mapInPandas(probe, schema)
+    tiles = regions.withColumn("__tile", F.explode(F.sequence(F.floor(F.col("__low") / width), F.floor(F.col("__high") / width))))
+    left = points.drop(*REGION).withColumn("__point", F.floor(F.col("pos") / width))
+    match = (F.col("rname") == F.col("chr")) & (F.col("__point") == F.col("__tile")) & F.col("pos").between(F.col("__low"), F.col("__high"))
+    return left.join(small(tiles, 2 * span[1] + span[2]), match, how).drop("__tile", "__point", "__low", "__high")  # a region meets two tiles on average
+
+
+def probed(regions: DataFrame, most: int = S.MAX_LISTED_REGIONS) -> DataFrame:
+    """(chr, region_start, region_end, low, high): disjoint spans in which a binary search over the chromosome's regions,
+    sorted by (start, end), hits a region; as many as regions at most. Overlapping regions win by the order of the search.
+
+    The list is short: more than `most` regions raise."""
+    rows = regions.select(*REGION).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} regions")
+    lists: dict[str, list[tuple[int, int]]] = {}
+    for name, start, end in sorted(map(tuple, rows)):
+        lists.setdefault(name, []).append((start, end))
+    found = []
+    for name, spans in lists.items():
+        open_ = [(0, len(spans), spans[0][0], max(e for _, e in spans))]  # (from, to) of the list, and the positions that get there
+        while open_:
+            first, last, low, high = open_.pop()
+            if first < last and low <= high:
+                middle = (first + last - 1) // 2
+                start, end = spans[middle]
+                if max(low, start) <= min(high, end):
+                    found.append((name, start, end, max(low, start), min(high, end)))
+                open_ += [(first, middle, low, min(high, start - 1)), (middle + 1, last, max(low, end + 1), high)]
+    return regions.sparkSession.createDataFrame(found, "chr string, region_start long, region_end long, low long, high long")
 
 
 def split_by_list(lines: DataFrame, regions: DataFrame, policy: str = S.STRICT) -> DataFrame:
     """Mapped reads (position above 0) with the listed region that holds them; others are dropped.
 
     strict: overlapping lists raise; compat: the hit of a binary search."""
-    reads = with_coordinates(lines, headers_first=True).where("valid and pos > 0").drop("valid")
+    reads = with_coordinates(lines.drop("rname", "pos"), headers_first=True).where("valid and pos > 0").drop("valid")
     if policy == S.COMPAT:
-        return assign_probing(reads, regions)
+        return assign(reads, probed(regions), within=("low", "high"))
     if not overlaps(regions).isEmpty():
         raise ValueError("regions overlap")
     return assign(reads, regions)
@@ -156,7 +154,7 @@ def static_regions(chroms: DataFrame, tiles: int = S.TILES) -> DataFrame:
     spread = chroms.sparkSession.range(tiles).select(
         F.col("id").alias("rid"), F.least(F.col("id") * width, F.lit(total - 1)).alias("first"), (F.least((F.col("id") + 1) * width, F.lit(total)) - 1).alias("last")
     )
-    hit = spread.join(small(at), (F.col("first") >= F.col("offset")) & (F.col("first") < F.col("offset") + F.col("length")))  # a row a chromosome, against the tiles
+    hit = spread.join(F.broadcast(at), (F.col("first") >= F.col("offset")) & (F.col("first") < F.col("offset") + F.col("length")))  # a row a chromosome, against the tiles
     end = F.least(F.col("last") - F.col("offset") + 1, F.col("length"))
     return hit.select("rid", F.col("name").alias("chr"), (F.col("first") - F.col("offset") + 1).alias("region_start"), end.alias("region_end"))
 
@@ -170,12 +168,12 @@ def loose_reads(lines: DataFrame) -> DataFrame:
 
 
 def static_assign(lines: DataFrame, chroms: DataFrame, tiles: int = S.TILES) -> DataFrame:
-    """Add g (global coordinate from 0) and rid to reads; null where unmapped or on another chromosome.
+    """Add g (global coordinate from 0) and rid to reads, in place of columns of these names; null where unmapped or on another chromosome.
 
     A position beyond a chromosome's end runs into the next one's tile."""
     _, width = tile_width(chroms, tiles)
     at = offsets(chroms).select(F.col("name").alias("rname"), "offset")
-    reads = loose_reads(lines).join(small(at), "rname", "left")
+    reads = loose_reads(lines.drop("rname", "pos", "g", "rid", "offset")).join(small(at), "rname", "left")
     mapped = (F.col("rname") != S.UNSET) & (F.col("pos") > 0)
     g = F.when(mapped, F.col("offset") + F.col("pos") - 1)
     return reads.withColumn("g", g).withColumn("rid", F.when(F.col("g").isNotNull(), F.least(F.floor(F.col("g") / width), F.lit(tiles - 1))).cast("long")).drop("offset")

@@ -10,6 +10,7 @@ from strandwise.functions import fields as X
 from strandwise.operators import duplicates as D
 from strandwise.operators import order as O
 from strandwise.operators import regions as R
+from strandwise.sources.files import materialize, small, write_named, write_region_files, write_region_list
 from strandwise.sources.text import parse, scan_records
 
 
@@ -34,6 +35,31 @@ def mark_lines(lines: DataFrame, policy: str = S.COMPAT, most_names: int | None
     return out.withColumn("line_out", X.rewritten(F.col("line"), F.col("flag_out")))
 
 
+def named_outputs(names: DataFrame, mode: str) -> DataFrame:
+    """(file, name): the output's name of each input; two inputs with one name raise. names: file, a row a file."""
+    named = materialize(names.select("file", X.output_name(F.substring_index("file", "/", -1), mode).alias("name")), "named")
+    twice = named.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("one"), F.max("file").alias("other")).where("n > 1").first()
+    if twice:
+        raise ValueError(f"{twice.one} and {twice.other} would both be written as {twice.name}")
+    return named
+
+
+def process_files(lines: DataFrame, path: str, mode: str, policy: str = S.COMPAT, write_mode: str = "errorifexists") -> DataFrame:
+    """Sort ('sort'), mark ('markdup') or do both ('all') to each file of (file, line_no, line) by itself and write it.
+
+    An input gets one folder `name=<output name>` under `path`, with its lines in order. Returns (file, name, n_lines)."""
+    lines = materialize(lines, "lines")
+    named = named_outputs(lines.select("file").distinct(), mode)
+    if mode == "sort":
+        out = O.with_coordinates(lines, policy == S.STRICT)
+        order = O.COORDINATE_ORDER
+    else:
+        out, order = mark_file(lines, policy, presorted=mode == "all"), ["section", *MARKED_ORDER]
+    out = materialize(out.join(small(named), "file").select("file", "name", *order, "line"), "processed")
+    write_named(out, path, "name", order, write_mode)
+    return named.join(out.groupBy("file").agg(F.count(F.lit(1)).alias("n_lines")), "file", "left").fillna(0)
+
+
 MARKED_ORDER = ["tid", "pos", "mate_tid", "pnext", "orientation", "line_no"]
 
 
@@ -42,8 +68,9 @@ def mark_file(lines: DataFrame, policy: str = S.COMPAT, presorted: bool = False)
     marked = mark_lines(lines, policy, presorted=presorted)
     head = D.header_block(O.with_coordinates(lines), tuple(O.COORDINATE_ORDER)) if presorted else D.header_block(lines)
     zero = [F.lit(0).cast("long").alias(c) for c in MARKED_ORDER[:-1]]
-    head = head.select(F.lit(0).alias("section"), *zero, "line_no", "line")
-    body = marked.select(F.lit(1).alias("section"), *MARKED_ORDER, F.col("line_out").alias("line"))
+    files = ["file"] if "file" in lines.columns else []
+    head = head.select(*files, F.lit(0).alias("section"), *zero, "line_no", "line")
+    body = marked.select(*files, F.lit(1).alias("section"), *MARKED_ORDER, F.col("line_out").alias("line"))
     return head.unionByName(body)
 
 
@@ -52,8 +79,19 @@ def weighted_regions(lines: DataFrame, chroms: DataFrame, target: int = S.TARGET
 
 
 def weighted_split(lines: DataFrame, chroms: DataFrame, target: int = S.TARGET_BYTES) -> DataFrame:
-    """Used reads with their weighted region."""
-    return R.assign(R.used_reads(lines, chroms).drop("length"), weighted_regions(lines, chroms, target))
+    """Used reads with their weighted region; the reads are found once and written."""
+    used = materialize(R.used_reads(lines, chroms), "used")
+    return R.assign(used.drop("length"), R.greedy_regions(R.bin_weights(used), chroms, target))
+
+
+def write_tiles(lines: DataFrame, chroms: DataFrame, path: str, tiles: int = S.TILES, mode: str = "errorifexists") -> DataFrame:
+    """Write the reads of each equal tile (`files`, a folder chr_start_end_rid each, in input order and without headers) and
+    the list of all tiles (`list`); returns the tiles. A tile without reads is in the list and has no folder."""
+    found = materialize(R.static_regions(chroms, tiles), "tiles")
+    placed = tiled_split(lines, chroms, tiles).select("rid", "line_no", "line").join(small(found), "rid")
+    write_region_files(placed, None, f"{path}/files", [*R.REGION, "rid"], mode=mode)
+    write_region_list(found, f"{path}/list", " ", mode)
+    return found
 
 
 def tiled_split(lines: DataFrame, chroms: DataFrame, tiles: int = S.TILES) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandwise import fixtures as X
@@ -82,7 +82,7 @@ ends AS (SELECT rname, least((bin + 1) * {S.BIN_WIDTH}, {X.CHROM_LENGTH})::BIGIN
 greedy AS (SELECT rname AS chr, coalesce(lag(region_end) OVER (PARTITION BY rname ORDER BY region_end) + 1, 1)::BIGINT AS region_start, region_end FROM ends UNION ALL
   SELECT name, coalesce(max(region_end), 0) + 1, any_value(length) FROM chroms LEFT JOIN ends ON rname = name GROUP BY name HAVING coalesce(max(region_end), 0) + 1 <= any_value(length)),
 placed AS (SELECT line_no, line, chr, region_start, region_end FROM used JOIN greedy ON chr = rname AND pos BETWEEN region_start AND region_end)"""
-REGIONS = (SAM, CHROMS, _coordinates("sam", True), USED, BINS, GREEDY)
+REGIONS = (SAM, CHROMS, _coordinates("dirty", True), USED, BINS, GREEDY)
 
 sam, dirty, chroms = X.sam_lines, X.dirty_lines, X.chroms
 
@@ -95,6 +95,12 @@ def scan_lines(spark, d):
     return sam(spark, d)
 
 
+@query("read_text", _with(SAM, select=f"SELECT line_no // {X.TEXT_LINES} AS file_no, line_no % {X.TEXT_LINES} AS line_no, line FROM dirty"))
+def read_text(spark, d):
+    lines = text.read_lines(spark, X.text_folder(spark, d))
+    return lines.select(F.regexp_extract("file", "file_no=([0-9]+)", 1).cast("long").alias("file_no"), "line_no", "line")
+
+
 @query("scan_records", _with(SAM, _records("dirty"), select="SELECT line_no, line FROM rec"))
 def scan_records(spark, d):
     return text.scan_records(dirty(spark, d)).select("line_no", "line")
@@ -173,9 +179,9 @@ def ref_dict(spark, d):
     return order.reference_dictionary(parsed.withColumn("rname", F.when(F.col("n_fields") > 2, F.col("rname"))).withColumn("rnext", F.when(F.col("n_fields") > 6, F.col("rnext"))), ["line_no"])
 
 
-@query("dup_groups", _with(SAM, _records("sam"), MARKED, select=f"SELECT {KEY}, count(*)::BIGINT AS group_size, count(*) FILTER (is_dup)::BIGINT AS n_dup FROM marked GROUP BY ALL"))
+@query("dup_groups", _with(SAM, _records("dirty"), MARKED, select=f"SELECT {KEY}, count(*)::BIGINT AS group_size, count(*) FILTER (is_dup)::BIGINT AS n_dup FROM marked GROUP BY ALL"))
 def dup_groups(spark, d):
-    return duplicates.duplicate_groups(duplicates.mark_duplicates(duplicates.records(text.parse(sam(spark, d)))))
+    return duplicates.duplicate_groups(duplicates.mark_duplicates(duplicates.records(text.parse(text.scan_records(dirty(spark, d))))))
 
 
 def _markdup(policy: str) -> Query:
@@ -224,12 +230,12 @@ def sam_load_stats(spark, d):
     return checks.load_stats(dirty(spark, d), chroms(spark))
 
 
-@query("chr_counts", _with(SAM, CHROMS, _coordinates("sam", True), USED, select="SELECT rname, count(*)::BIGINT AS n FROM used GROUP BY 1"))
+@query("chr_counts", _with(SAM, CHROMS, _coordinates("dirty", True), USED, select="SELECT rname, count(*)::BIGINT AS n FROM used GROUP BY 1"))
 def chr_counts(spark, d):
-    return regions.used_reads(sam(spark, d), chroms(spark)).groupBy("rname").agg(F.count(F.lit(1)).alias("n"))
+    return regions.used_reads(dirty(spark, d), chroms(spark)).groupBy("rname").agg(F.count(F.lit(1)).alias("n"))
 
 
-_FASTA = r"""fh AS (SELECT line_no, line, CASE WHEN starts_with(line, '>') THEN regexp_extract(line, '^>([^ \t\r]*)', 1) END AS own FROM fasta),
+_FASTA = r"""fh AS (SELECT line_no, line, CASE WHEN starts_with(line, '>') THEN regexp_extract(line, '^>[ \t]*([^ \t\r]*)', 1) END AS own FROM fasta),
 fn AS (SELECT line_no, line, own, last_value(own IGNORE NULLS) OVER (ORDER BY line_no) AS name FROM fh),
 flen AS (SELECT name, sum(CASE WHEN own IS NULL THEN strlen(regexp_replace(line, '[{skip}\r\n]', '', 'g')) ELSE 0 END)::BIGINT AS length, min(CASE WHEN own IS NOT NULL THEN line_no END) AS ord FROM fn WHERE name IS NOT NULL GROUP BY 1)"""
 
@@ -245,24 +251,40 @@ def fasta_offsets(spark, d):
     return regions.offsets(lengths).select("name", "length", "offset")
 
 
-@query("bin_weights", _with(SAM, CHROMS, _coordinates("sam", True), USED, BINS, select="SELECT rname, bin, weight FROM bins"))
+@query("bin_weights", _with(SAM, CHROMS, _coordinates("dirty", True), USED, BINS, select="SELECT rname, bin, weight FROM bins"))
 def bin_weights(spark, d):
-    return regions.bin_weights(regions.used_reads(sam(spark, d), chroms(spark)))
+    return regions.bin_weights(regions.used_reads(dirty(spark, d), chroms(spark)))
 
 
 @query("greedy_regions", _with(*REGIONS, select="SELECT chr, region_start, region_end FROM greedy", recursive=True))
 def greedy_regions(spark, d):
-    return modes.weighted_regions(sam(spark, d), chroms(spark), X.TARGET)
+    return modes.weighted_regions(dirty(spark, d), chroms(spark), X.TARGET)
+
+
+@query(
+    "greedy_carry",
+    _with(
+        *REGIONS[:-1],
+        f"""cum AS (SELECT rname, bin, sum(weight) OVER (PARTITION BY rname ORDER BY bin) AS c FROM bins),
+top AS (SELECT rname, max(c)::BIGINT AS total FROM cum GROUP BY 1),
+steps AS (SELECT rname, unnest(range(1, total // {X.TARGET} + 1)) AS k FROM top),
+ends AS (SELECT s.rname, k, least((min(bin) + 1) * {S.BIN_WIDTH}, {X.CHROM_LENGTH})::BIGINT AS region_end FROM steps s JOIN cum ON cum.rname = s.rname AND c >= k * {X.TARGET} GROUP BY 1, 2)""",
+        select="""SELECT rname AS chr, coalesce(lag(region_end) OVER (PARTITION BY rname ORDER BY k) + 1, 1)::BIGINT AS region_start, region_end FROM ends UNION ALL
+  SELECT name, coalesce(max(region_end), 0) + 1, any_value(length) FROM chroms LEFT JOIN ends ON rname = name GROUP BY name HAVING coalesce(max(region_end), 0) + 1 <= any_value(length)""",
+    ),
+)
+def greedy_carry(spark, d):
+    return modes.weighted_regions(dirty(spark, d), chroms(spark), X.TARGET, carry=True)
 
 
 @query("assign_region", _with(*REGIONS, select="SELECT line_no, chr, region_start, region_end FROM placed", recursive=True))
 def assign_region(spark, d):
-    return modes.weighted_split(sam(spark, d), chroms(spark), X.TARGET).select("line_no", "chr", "region_start", "region_end")
+    return modes.weighted_split(dirty(spark, d), chroms(spark), X.TARGET).select("line_no", "chr", "region_start", "region_end")
 
 
 @query("region_sizes", _with(*REGIONS, select="SELECT concat_ws('_', chr, region_start, region_end) AS region, count(*)::BIGINT AS n, sum(strlen(line) + 1)::BIGINT AS bytes FROM placed GROUP BY 1", recursive=True))
 def region_sizes(spark, d):
-    placed = modes.weighted_split(sam(spark, d), chroms(spark), X.TARGET)
+    placed = modes.weighted_split(dirty(spark, d), chroms(spark), X.TARGET)
     return placed.groupBy(F.concat_ws("_", "chr", "region_start", "region_end").alias("region")).agg(F.count(F.lit(1)).alias("n"), F.sum(C.line_bytes(F.col("line"))).alias("bytes"))
 
 
@@ -308,10 +330,10 @@ def _names(spark) -> DataFrame:
     return X.constant_lines(spark, X.REGION_NAMES).select(F.col("line").alias("name"))
 
 
-@query("parse_region_filename", _with(X.REGION_NAMES_SQL, _NAMES, select="SELECT name, chr, region_start, region_end, ok FROM rn"))
+@query("parse_region_filename", _with(X.REGION_NAMES_SQL, _NAMES, select="SELECT name, chr, region_start, region_end, ok, suffix(name, '.sam') AS ends_so FROM rn"))
 def parse_region_filename(spark, d):
     rows = _names(spark).withColumn("r", text.region_of_name(F.col("name")))
-    return rows.select("name", "r.chr", "r.region_start", "r.region_end", F.col("r").isNotNull().alias("ok"))
+    return rows.select("name", "r.chr", "r.region_start", "r.region_end", F.col("r").isNotNull().alias("ok"), C.has_suffix(F.col("name"), ".sam").alias("ends_so"))
 
 
 @query("region_catalog", _with(X.REGION_NAMES_SQL, _NAMES, select="SELECT DISTINCT chr, region_start, region_end FROM rn WHERE ok"))
@@ -319,10 +341,10 @@ def region_catalog(spark, d):
     return checks.region_catalog(_names(spark))
 
 
-_CHECK = f"""rf0 AS (SELECT line_no, line, string_split(line, chr(9))[3] AS rname, string_split(line, chr(9))[4]::BIGINT AS pos FROM sam),
-rf AS ({X.FILES_SQL.format(src="rf0")}),
-rf1 AS (SELECT rf.*, rf0.rname, rf0.pos, string_split(string_split(file, '.')[1], '_') AS f FROM rf JOIN rf0 USING (line_no)),
-judged AS (SELECT file, line_no, CASE WHEN rname = '*' OR pos <= 0 THEN 'unmapped' WHEN rname <> f[1] THEN 'bad_chr' WHEN pos NOT BETWEEN f[2]::BIGINT AND f[3]::BIGINT THEN 'bad_range' ELSE 'good' END AS kind FROM rf1)"""
+_CHECK = f"""{_coordinates("dirty", True)},
+rf AS ({X.FILES_SQL.format(src="pt")}),
+rf1 AS (SELECT * FROM (SELECT rf.*, pt.rname, pt.pos, string_split(string_split(file, '.')[1], '_') AS f FROM rf JOIN pt USING (line_no)) WHERE f[2]::BIGINT > 0),
+judged AS (SELECT file, line_no, CASE WHEN starts_with(line, '@') OR regexp_replace(line, '\\r+$', '') = '' THEN 'none' WHEN rname IS NULL THEN 'unparsed' WHEN rname = '*' OR pos <= 0 THEN 'unmapped' WHEN rname <> f[1] THEN 'bad_chr' WHEN pos NOT BETWEEN f[2]::BIGINT AND f[3]::BIGINT THEN 'bad_range' ELSE 'good' END AS kind FROM rf1)"""
 
 
 @query(
@@ -330,15 +352,15 @@ judged AS (SELECT file, line_no, CASE WHEN rname = '*' OR pos <= 0 THEN 'unmappe
     _with(
         SAM,
         _CHECK,
-        select="""SELECT file, count(*)::BIGINT AS total, count(*) FILTER (kind <> 'unmapped')::BIGINT AS checked, count(*) FILTER (kind = 'bad_chr')::BIGINT AS bad_chr, count(*) FILTER (kind = 'bad_range')::BIGINT AS bad_range,
-  count(*) FILTER (kind = 'unmapped')::BIGINT AS unmapped_or_zero, count(*) FILTER (kind LIKE 'bad%') = 0 AS ok FROM judged GROUP BY 1""",
+        select="""SELECT file, count(*) FILTER (kind <> 'none')::BIGINT AS total, count(*) FILTER (kind IN ('good', 'bad_chr', 'bad_range'))::BIGINT AS checked, count(*) FILTER (kind = 'bad_chr')::BIGINT AS bad_chr, count(*) FILTER (kind = 'bad_range')::BIGINT AS bad_range,
+  count(*) FILTER (kind IN ('unmapped', 'unparsed'))::BIGINT AS unmapped_or_zero, count(*) FILTER (kind LIKE 'bad%') = 0 AS ok FROM judged GROUP BY 1""",
     ),
 )
 def region_check(spark, d):
     return checks.region_check(X.region_files(spark, d))
 
 
-@query("region_check_errors", _with(SAM, _CHECK, select="SELECT file, line_no, kind, rn FROM (SELECT file, line_no, kind, row_number() OVER (PARTITION BY file ORDER BY line_no) AS rn FROM judged WHERE kind LIKE 'bad%') WHERE rn <= 10"))
+@query("region_check_errors", _with(SAM, _CHECK, select="SELECT file, line_no, kind, rn FROM (SELECT file, line_no, kind, row_number() OVER (PARTITION BY file ORDER BY line_no) AS rn FROM judged WHERE kind LIKE 'bad%' OR kind = 'unparsed') WHERE rn <= 10"))
 def region_check_errors(spark, d):
     return checks.region_check_errors(X.region_files(spark, d))
 
@@ -349,7 +371,7 @@ _OFFSETS = """off AS (SELECT name, length, coalesce(sum(length) OVER (ORDER BY o
 tot AS (SELECT sum(length)::BIGINT AS total, ((sum(length) + 6143) // 6144)::BIGINT AS width FROM chroms)"""
 _LOOSE = f"""ld AS (SELECT line_no, string_split(line, chr(9)) AS f FROM dirty WHERE NOT starts_with(line, '@') AND regexp_replace(line, '\\r+$', '') <> ''),
 lp AS (SELECT line_no, CASE WHEN len(f) >= 4 THEN f[3] END AS rname, CASE WHEN len(f) >= 4 THEN {ATOI.format(x="f[4]")} END AS pos FROM ld),
-tiled AS (SELECT line_no, CASE WHEN rname <> '*' AND pos > 0 THEN o + pos - 1 END AS g, CASE WHEN rname <> '*' AND pos > 0 THEN least((o + pos - 1) // width, 6143)::BIGINT END AS rid FROM lp LEFT JOIN off ON name = rname CROSS JOIN tot)"""
+tiled AS (SELECT line_no, CASE WHEN rname <> '*' AND pos > 0 THEN o + pos - 1 END AS g, CASE WHEN o IS NOT NULL AND rname <> '*' AND pos > 0 THEN least((o + pos - 1) // width, 6143)::BIGINT END AS rid FROM lp LEFT JOIN off ON name = rname CROSS JOIN tot)"""
 
 
 @query(
@@ -392,7 +414,7 @@ def output_name(spark, d):
 
 @query("region_path", _with(*REGIONS, select="SELECT concat_ws('_', chr, region_start, region_end) AS region, 'out/' || concat_ws('_', chr, region_start, region_end) || '.sam' AS path FROM greedy", recursive=True))
 def region_path(spark, d):
-    found = modes.weighted_regions(sam(spark, d), chroms(spark), X.TARGET)
+    found = modes.weighted_regions(dirty(spark, d), chroms(spark), X.TARGET)
     return found.select(F.concat_ws("_", "chr", "region_start", "region_end").alias("region"), C.region_path(F.lit("out"), F.col("chr"), F.col("region_start"), F.col("region_end")).alias("path"))
 
 
@@ -422,8 +444,68 @@ def run_summary(spark, d):
 def write_region_files(spark, d):
     head = spark.createDataFrame([(k, f"@HD\tVN:{k}") for k in range(3)], "line_no long, line string")
     path = files.scratch_path(spark, "regions")
-    files.write_region_files(modes.weighted_split(sam(spark, d), chroms(spark), X.TARGET), head, path, ["chr", "region_start", "region_end"])
-    return spark.read.text(path).groupBy("region").agg(F.count(F.lit(1)).alias("n_lines"))
+    files.write_region_files(modes.weighted_split(dirty(spark, d), chroms(spark), X.TARGET), head, path, ["chr", "region_start", "region_end"])
+    return spark.read.option("lineSep", "\n").text(path).groupBy("region").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+_TILES = """t AS (SELECT r AS rid, least(r * width, total - 1) AS a, least((r + 1) * width, total) - 1 AS b FROM range(6144) x(r), tot),
+tiles AS (SELECT rid, name AS chr, (a - o + 1)::BIGINT AS region_start, least(b - o + 1, length)::BIGINT AS region_end FROM t JOIN off ON a >= o AND a < o + length)"""
+
+
+@query("write_tile_files", _with(SAM, CHROMS, _OFFSETS, _LOOSE, _TILES, select="SELECT concat_ws('_', chr, region_start, region_end, rid) AS region, count(*)::BIGINT AS n_lines FROM tiled JOIN tiles USING (rid) GROUP BY 1"))
+def write_tile_files(spark, d):
+    path = files.scratch_path(spark, "tiles")
+    modes.write_tiles(dirty(spark, d), chroms(spark), path)
+    return spark.read.option("lineSep", "\n").text(f"{path}/files").groupBy("region").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def _read_list(spark, path: str) -> DataFrame:
+    return text.parse_region_list(text.read_lines(spark, path), S.TILES).select("line_no", "chr", "region_start", "region_end")
+
+
+@query("write_tile_list", _with(CHROMS, _OFFSETS, _TILES, select="SELECT rid::BIGINT AS line_no, chr, region_start, region_end FROM tiles"))
+def write_tile_list(spark, d):
+    path = files.scratch_path(spark, "tile-list")
+    files.write_region_list(regions.static_regions(chroms(spark)), path, sep=" ")
+    return _read_list(spark, path)
+
+
+@query("write_region_list", _with(*REGIONS, select="SELECT row_number() OVER (ORDER BY chr, region_start) - 1 AS line_no, chr, region_start, region_end FROM greedy", recursive=True))
+def write_region_list(spark, d):
+    path = files.scratch_path(spark, "region-list")
+    files.write_region_list(modes.weighted_regions(dirty(spark, d), chroms(spark), X.TARGET), path)
+    return _read_list(spark, path)
+
+
+def _processed(spark, lines: DataFrame, mode: str) -> DataFrame:
+    """(name, ord, line) of the written outputs, in the order of their part files and lines."""
+    path = files.scratch_path(spark, mode)
+    modes.process_files(lines, path, mode)
+    back = text.read_lines(spark, path).withColumn("name", F.regexp_extract("file", "name=([^/]+)/", 1))
+    at = F.row_number().over(Window.partitionBy("name").orderBy("file", "line_no")) - 1  # of a test's files
+    return back.select("name", at.cast("long").alias("ord"), "line")
+
+
+@query("process_sort", _with(SAM, _coordinates("dirty"), select="SELECT concat('f', line_no % 3, '.sorted.sam') AS name, row_number() OVER (PARTITION BY line_no % 3 ORDER BY valid, rname NULLS FIRST, pos NULLS FIRST, line_no) - 1 AS ord, line FROM pt"))
+def process_sort(spark, d):
+    lines = dirty(spark, d).withColumn("file", F.concat(F.lit("in/f"), (F.col("line_no") % 3).cast("string"), F.lit(".sam")))
+    return _processed(spark, lines, "sort")
+
+
+_LINE_OUT = f"array_to_string(list_concat([string_split(line, chr(9))[1], {FLAG_OUT}::VARCHAR], string_split(line, chr(9))[3:]), chr(9))"
+_HEAD = "SELECT 0 AS section, -1 AS tid, 0 AS pos, 0 AS mate_tid, 0 AS pnext, 0 AS orientation, line_no, line FROM dirty WHERE line_no < (SELECT min(line_no) FROM dirty WHERE NOT starts_with(line, '@'))"
+
+
+@query(
+    "process_markdup",
+    _with(
+        SAM, _records("dirty"), MARKED, _dictionary("line_no"), _TIDS,
+        f"written AS ({_HEAD} UNION ALL SELECT 1, tid, pos, mate_tid, pnext, orientation, line_no, {_LINE_OUT} FROM tids)",
+        select="SELECT 'one.markdup.sam' AS name, row_number() OVER (ORDER BY section, tid, pos, mate_tid, pnext, orientation, line_no) - 1 AS ord, line FROM written",
+    ),
+)
+def process_markdup(spark, d):
+    return _processed(spark, dirty(spark, d).withColumn("file", F.lit("one.sam")), "markdup")
 
 
 def queries() -> dict[str, Query]:

@@ -8,40 +8,58 @@ from pyspark.sql import functions as F
 
 def write_lines(lines: DataFrame, path: str, order: list[str], mode: str = "errorifexists") -> None:
     """Write lines in order, LF-ended; part files follow the order. mode 'overwrite' empties the folder first."""
-    lines.repartitionByRange(*order).sortWithinPartitions(*order).select("line").write.mode(mode).text(path)
+    materialize(lines, "lines").repartitionByRange(*order).sortWithinPartitions(*order).select("line").write.mode(mode).text(path)
 
 
-def write_region_files(assigned: DataFrame, headers: DataFrame | None, path: str, keys: list[str], mode: str = "errorifexists") -> None:
+def write_named(lines: DataFrame, path: str, name: str, order: list[str], mode: str = "errorifexists") -> None:
+    """One folder `name=value` for each value of the column `name`: its lines in order, LF-ended.
+
+    Rows are dealt by ranges of (name, order), so a value with very many lines becomes several part files, which follow the
+    order, and many small ones share a task."""
+    columns = [name, *order]
+    rows = materialize(lines.select(*columns, "line"), "lines")  # written: ranges are found before rows are dealt
+    rows.repartitionByRange(*columns).sortWithinPartitions(*columns).select(name, "line").write.mode(mode).partitionBy(name).text(path)
+
+
+def write_region_files(assigned: DataFrame, headers: DataFrame | None, path: str, keys: list[str], every: DataFrame | None = None, mode: str = "errorifexists") -> None:
     """One folder for each region (`region` = keys joined by _): the full header, then its lines in input order.
 
-    assigned: keys, line_no, line. Regions without reads have no folder. Rows are dealt by region and sorted; a large
-    region is one sorted run in one file, as its readers expect, and spills rather than being held."""
-    region = F.concat_ws("_", *(F.col(k).cast("string") for k in keys))
-    rows = assigned.select(region.alias("region"), F.lit(1).alias("section"), "line_no", "line")
+    assigned: keys, line_no, line. `every` (keys): regions that get a folder with the header even if no line is theirs;
+    without a header there is nothing to put in it, so it has none."""
+    region = F.concat_ws("_", *(F.col(k).cast("string") for k in keys)).alias("region")
+    rows = materialize(assigned.select(region, F.lit(1).alias("section"), "line_no", "line"), "assigned")
     if headers is not None:
-        used = rows.select("region").distinct()
-        head = headers.select("line_no", "line", F.lit(0).alias("k")).join(used.withColumn("k", F.lit(0)), "k")  # the header for each region
-        rows = rows.unionByName(head.select("region", F.lit(0).alias("section"), "line_no", "line"))
-    rows.repartition("region").sortWithinPartitions("region", "section", "line_no").select("region", "line").write.mode(mode).partitionBy("region").text(path)
+        used = rows.select("region") if every is None else rows.select("region").unionByName(every.select(region))
+        head = F.broadcast(headers.select("line_no", "line"))  # a header block: a line a reference name
+        rows = rows.unionByName(used.distinct().crossJoin(head).select("region", F.lit(0).alias("section"), "line_no", "line"))
+    write_named(rows, path, "region", ["section", "line_no"], mode)
 
 
 def write_region_list(regions: DataFrame, path: str, sep: str = "\t", mode: str = "errorifexists") -> None:
-    """chr, start and end, ordered; a row a region."""
-    cols = [c for c in ("rid", "chr", "region_start", "region_end") if c in regions.columns]
-    regions.select(*cols).orderBy(*cols).coalesce(1).write.mode(mode).option("sep", sep).csv(path)
+    """chr, start and end of each region, a row a region, by number (`rid`) if there is one, else by chr, start and end."""
+    cols = ["chr", "region_start", "region_end"]
+    order = (["rid"] if "rid" in regions.columns else []) + cols
+    regions.select(*order).coalesce(1).sortWithinPartitions(*order).select(*cols).write.mode(mode).option("sep", sep).csv(path)
 
 
 def scratch_path(spark, label: str) -> str:
-    """A new folder name in the cluster's shared folder (spark.checkpoint.dir; a temporary one only where it is unset)."""
+    """A new folder name in the cluster's shared folder (spark.checkpoint.dir), deleted when the driver ends.
+
+    Where it is unset, a session on one machine takes a temporary folder; a cluster's has no folder that all can see."""
     import tempfile
     import uuid
 
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="strandwise-"))
         base = context.getCheckpointDir()
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -58,3 +76,20 @@ BROADCAST_ROWS = 1_000_000
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """A join side that is broadcast where it has at most BROADCAST_ROWS rows (counted unless given); else Spark's choice."""
     return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
+
+
+HOT_ROWS = 200_000  # rows of one key that one task may get
+
+
+def left_join_counted(rows: DataFrame, facts: DataFrame, key: list[str], n: str, hot_rows: int | None = None) -> DataFrame:
+    """`rows` left-joined with written `facts`, a row a key with its number of rows `n`, which goes.
+
+    Few facts are broadcast. Else the keys of more than `hot_rows` rows are (so few that they fit in BROADCAST_ROWS), and
+    their rows stay where they are; only the rest is shuffled by key."""
+    size, total = facts.agg(F.count(F.lit(1)), F.coalesce(F.sum(n), F.lit(0))).first()
+    if size <= BROADCAST_ROWS and hot_rows is None:
+        return rows.join(F.broadcast(facts.drop(n)), key, "left")
+    hot_rows = max(hot_rows or HOT_ROWS, total // BROADCAST_ROWS)
+    hot = facts.where(F.col(n) > hot_rows).drop(n)
+    known = F.broadcast(hot.select(*key))
+    return rows.join(F.broadcast(hot), key).unionByName(rows.join(known, key, "left_anti").join(facts.where(F.col(n) <= hot_rows).drop(n), key, "left"))

@@ -7,23 +7,34 @@ from pyspark.sql import functions as F
 
 from strandwise import schema as S
 from strandwise.functions import fields as X
+from strandwise.sources.files import materialize, small
 
 
 def read_lines(spark: SparkSession, path: str | list[str], max_file_bytes: int | None = None) -> DataFrame:
     """(file, line_no, line) of every file; lines end at \\n only, so a \\r stays.
 
-    Line numbers come from row ids inside each block and the blocks' line counts: one small aggregate, no shuffle of
-    lines. `max_file_bytes` leaves out larger files."""
+    Line numbers come from row ids inside each block and the blocks' line counts, which are counted first and written (a
+    row a block). They are broadcast to the lines, so lines are not shuffled; only beyond BROADCAST_ROWS blocks are they
+    joined by Spark's choice. `max_file_bytes` leaves out larger files. A folder without files gives no lines."""
     raw = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("_metadata.file_size").alias("size"),
         F.monotonically_increasing_id().alias("row"), F.col("value").alias("line"),
     )
     if max_file_bytes is not None:
         raw = raw.where(F.col("size") <= max_file_bytes)
-    blocks = raw.groupBy("file", "block").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n")
-    blocks = blocks.select("file", "block", (before - F.col("first")).alias("shift"))
-    return raw.join(blocks, ["file", "block"]).select("file", (F.col("row") + F.col("shift")).alias("line_no"), "line")
+    raw = raw.withColumn("hash", F.xxhash64("file"))  # 24 bytes a block to broadcast
+    blocks = raw.groupBy("hash", "block").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("hash").orderBy("block")) - F.col("n")
+    blocks = materialize(blocks.select("hash", "block", (before - F.col("first")).alias("shift")), "blocks")
+    return raw.join(small(blocks), ["hash", "block"]).select("file", (F.col("row") + F.col("shift")).alias("line_no"), "line")
+
+
+def read_region_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, line_no, line) of the files of a folder whose names hold '.sam'; `file` is the bare name.
+
+    What follows '.sam' does not matter; hidden files and folders inside are left out."""
+    lines = read_lines(spark, f"{folder.rstrip('/')}/*.sam*")
+    return lines.withColumn("file", F.substring_index("file", "/", -1))
 
 
 def scan_records(lines: DataFrame) -> DataFrame:
@@ -50,18 +61,18 @@ def typed(lines: DataFrame) -> DataFrame:
     return lines.withColumn("f", f).select(
         *lines.columns, X.line_bytes(F.col("line")).alias("line_bytes"), at(0).alias("qname"), X.strict_integer(at(1)).cast("int").alias("flag"), at(2).alias("rname"),
         X.strict_integer(at(3)).alias("pos"), X.strict_integer(at(4)).cast("int").alias("mapq"), at(5).alias("cigar"), at(6).alias("rnext"), X.strict_integer(at(7)).alias("pnext"),
-        X.strict_integer(at(8)).alias("tlen"), at(9).alias("seq"), at(10).alias("qual"), F.slice("f", 12, 10_000).alias("tags"), X.line_kind(F.col("line")).alias("kind"),
+        X.strict_integer(at(8)).alias("tlen"), at(9).alias("seq"), at(10).alias("qual"), F.slice("f", F.lit(12), F.greatest(F.size("f"), F.lit(1))).alias("tags"), X.line_kind(F.col("line")).alias("kind"),
     )
 
 
 def fasta_lengths(lines: DataFrame, wanted: Column | None = None, blanks: bool = False) -> DataFrame:
     """(name, length, ord) of FASTA lines (line_no, line): bytes of sequence, by first appearance of the name.
 
-    A name ends at the first blank or tab. `blanks`: blanks and tabs inside sequence lines count. Sequence lines before
+    Blanks and tabs before a name are skipped; it ends at the next one. `blanks`: blanks and tabs inside sequence lines count. Sequence lines before
     any name are ignored. The name of a line is the nearest one above: names are ranked over blocks of lines, so the
     sequence is never sorted as a whole."""
     head = F.col("line").startswith(">")
-    name = F.regexp_extract("line", r"^>([^ \t\r]*)", 1)
+    name = F.regexp_extract("line", r"^>[ \t]*([^ \t\r]*)", 1)
     skip = r"[\r\n]" if blanks else r"[ \t\r\n]"
     size = F.octet_length(F.regexp_replace("line", skip, ""))
     block = F.floor(F.col("line_no") / 65536)

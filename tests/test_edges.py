@@ -257,3 +257,101 @@ def test_stream_of_files(spark, tmp_path):
 def test_empty_input(spark):
     empty = spark.createDataFrame([], "line_no long, line string")
     assert modes.mark_lines(empty).count() == 0 and order.coordinate_sort(empty).count() == 0
+
+
+@pytest.mark.parametrize("policy", [S.COMPAT, S.STRICT])
+def test_keys_of_very_many_records_are_not_dealt_by_key(spark, policy):
+    rows = random_lines(7, 300) + [rec(f"u{k}", 4, "*", 0, qual="I" * (k % 5)) for k in range(300)] + [rec(f"h{k}", 256 if k % 3 else 0, "chr5", 9, qual="I" * (k % 7)) for k in range(200)]
+    records = duplicates.records(text.parse(text.scan_records(lines_of(spark, rows))))
+    marked = duplicates.mark_duplicates(records, policy, hot_rows=50)
+    assert {r.line_no: r.is_dup for r in marked.collect()} == emulate(rows, policy)
+    assert duplicates.mark_duplicates(records.where("false"), policy).count() == 0
+
+
+def probe(spans, pos):
+    low, high = 0, len(spans) - 1
+    while low <= high:
+        middle = (low + high) // 2
+        if pos < spans[middle][0]:
+            high = middle - 1
+        elif pos > spans[middle][1]:
+            low = middle + 1
+        else:
+            return spans[middle]
+    return None
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_probed_spans_are_what_the_search_hits(spark, seed):
+    rng = random.Random(seed)
+    spans = sorted((a, a + rng.randrange(1, 40)) for a in (rng.randrange(1, 100) for _ in range(rng.randrange(1, 15))))
+    listed = spark.createDataFrame([("chr1", a, b) for a, b in spans], S.REGIONS)
+    rows = [rec("a", 0, "chr1", k) for k in range(1, 150)] + [rec("b", 0, "chr2", 5)]
+    got = {r.line_no + 1: (r.region_start, r.region_end) for r in regions.split_by_list(lines_of(spark, rows), listed, S.COMPAT).collect()}
+    assert got == {k: hit for k in range(1, 150) if (hit := probe(spans, k))}
+    with pytest.raises(ValueError):
+        regions.probed(listed, most=0)
+
+
+def test_columns_with_the_engine_s_names(spark):
+    names = ("rname", "pos", "length", "chr", "region_start", "tile", "sub", "f", "valid", "g", "rid", "offset")
+    lines = lines_of(spark, [rec("a", 0, "chr1", 7), rec("b", 0, "chr1", 17)]).withColumns({c: F.lit("own") for c in names})
+    chroms = spark.createDataFrame([("chr1", 20, 0)], "name string, length long, ord long")
+    listed = spark.createDataFrame([("chr1", 1, 10), ("chr1", 11, 20)], S.REGIONS)
+    used = regions.used_reads(lines, chroms)
+    assert {(r.line_no, r.pos, r.length, r.tile) for r in used.collect()} == {(0, 7, 20, "own"), (1, 17, 20, "own")}
+    assert {(r.line_no, r.region_start, r.chr, r.tile) for r in regions.split_by_list(lines, listed).collect()} == {(0, 1, "chr1", "own"), (1, 11, "chr1", "own")}
+    assert {(r.line_no, r.g, r.sub) for r in regions.static_assign(lines, chroms, 4).collect()} == {(0, 6, "own"), (1, 16, "own")}
+
+
+def test_lines_are_not_shuffled_by_reading(spark, tmp_path):
+    (tmp_path / "a.sam").write_text("x\ny\n")
+    plan = text.read_lines(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_outputs_of_files(spark, tmp_path):
+    lines = lines_of(spark, ["@HD", rec("a", 0, "chr2", 5), rec("b", 0, "chr1", 5), rec("c", 0, "chr1", 5, qual="!!")])
+    one, two = (lines.withColumn("file", F.lit(f"in/{n}")) for n in ("x.sam", "y.sam.bak"))
+    for mode, name, flag in (("sort", "x.sorted.sam", "0"), ("all", "x.sorted.markdup.sam", "1024"), ("markdup", "x.markdup.sam", "1024")):
+        out = str(tmp_path / mode)
+        got = modes.process_files(one.unionByName(two), out, mode).collect()
+        assert {(r.file, r.n_lines) for r in got} == {("in/x.sam", 4), ("in/y.sam.bak", 4)}
+        back = [r.line for r in text.read_lines(spark, f"{out}/name={name}").orderBy("file", "line_no").collect()]
+        assert [x.split("\t")[0] for x in back] == (["@HD", "a", "b", "c"] if mode == "markdup" else ["@HD", "b", "c", "a"])
+        assert [x.split("\t")[1] for x in back if x[0] == "c"] == [flag]
+    with pytest.raises(ValueError, match="x.sorted.sam"):
+        modes.process_files(one.unionByName(lines.withColumn("file", F.lit("other/x.sam"))), str(tmp_path / "no"), "sort")
+    long = spark.createDataFrame([("é" * 100 + ".sam",)], "n string").select(C.output_name(F.col("n"), "sort").cast("binary").alias("n")).first().n
+    assert len(long) == 127 + len(".sorted.sam")
+
+
+def test_tiles_and_region_folders(spark, tmp_path):
+    chroms = spark.createDataFrame([("chr1", 10, 0), ("chr2", 10, 1)], "name string, length long, ord long")
+    rows = [rec("a", 0, "chr1", 2), rec("b", 0, "chrM", 3), rec("c", 0, "chr2", 9)]
+    modes.write_tiles(lines_of(spark, rows), chroms, str(tmp_path / "t"), 4)
+    back = spark.read.text(str(tmp_path / "t/files"))
+    assert sorted((r.region, r.value[0]) for r in back.collect()) == [("chr1_1_5_0", "a"), ("chr2_6_10_3", "c")]
+    assert [r.line for r in text.read_lines(spark, str(tmp_path / "t/list")).orderBy("line_no").collect()] == ["chr1 1 5", "chr1 6 10", "chr2 1 5", "chr2 6 10"]
+    head = spark.createDataFrame([(0, "@HD")], "line_no long, line string")
+    listed = spark.createDataFrame([("chr1", 1, 10), ("chr2", 1, 10), ("chr3", 1, 10)], S.REGIONS)
+    files.write_region_files(regions.split_by_list(lines_of(spark, rows), listed), head, str(tmp_path / "r"), regions.REGION, every=listed)
+    counts = {r.region: r["count"] for r in spark.read.text(str(tmp_path / "r")).groupBy("region").count().collect()}
+    assert counts == {"chr1_1_10": 2, "chr2_1_10": 2, "chr3_1_10": 1}
+    for name, body in (("chr1_1_10.sam.bak", "@HD\n"), ("chr1_1_10_2.sam", "@HD\n" + rows[0] + "\n"), ("notes.txt", "x\n")):
+        (tmp_path / name).write_text(body)
+    got = {r.file: (r.total, r.ok) for r in checks.region_check(text.read_region_files(spark, str(tmp_path))).collect()}
+    assert got == {"chr1_1_10.sam.bak": (0, True), "chr1_1_10_2.sam": (1, True)}
+    assert checks.region_check(text.read_region_files(spark, str(tmp_path)).where("false")).count() == 0
+
+
+def test_names_of_fasta_may_follow_blanks(spark):
+    got = {r.name: r.length for r in text.fasta_lengths(lines_of(spark, ["> chr1 x", "AC", ">\tchr2\ty", "A", ">"])).collect()}
+    assert got == {"chr1": 2, "chr2": 1, "": 0}
+    assert text.fasta_lengths(lines_of(spark, [])).count() == 0
+
+
+def test_typed_fields(spark):
+    rows = [rec("q", "x", "chr1", 5) + "\tNM:i:0\tXX:Z:a", "@HD"]
+    got = text.typed(lines_of(spark, rows)).orderBy("line_no").collect()
+    assert (got[0].flag, got[0].pos, got[0].tags, got[0].kind, got[1].tags, got[1].kind) == (None, 5, ["NM:i:0", "XX:Z:a"], "record", [], "header")
