@@ -1,10 +1,11 @@
 """Near-duplicate groups by b-bit MinHash.
 
-1. One pass hashes the word shingles of each whole text and keeps a hash of its set and its band keys. Equal sets
-   collapse to one representative before anything is paired, so a group of copies costs one row.
+1. One pass hashes the word shingles of each whole text and keeps a hash of its set, its band keys and the packed low
+   bits of its minima. Equal sets collapse to one representative before anything is paired, so a group of copies costs
+   one row; sets and band keys that very many rows share are broadcast to them.
 2. Representatives that share a band key are tied to the key's smallest one; the components of those ties are the
    candidate groups. No pairs are made.
-3. The texts of candidates are read again for their full sets and packed low bits of their minima. Inside a candidate
+3. The texts of candidates are read again for their full sets. Inside a candidate
    group, in blocks of bounded size, pairs not yet joined are estimated from the packed bits (collision-corrected) and
    those near the threshold or above are confirmed on full sets; the links that join are kept.
 4. Components of the confirmed links are the duplicate groups.
@@ -22,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandwise.sources.files import left_join_counted
+
 from .common import Hashed, buffers, connected_components, materialize, mix, slices, small_batches
 
 ROWS = 6  # minima a band: texts that share a hundredth of their shingles meet in a band once in 1e10 pairs
@@ -94,7 +97,8 @@ def estimate(one: np.ndarray, many: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int) -> DataFrame:
-    """(doc_id, n_shingles, k1, k2, bands): set size, 128-bit hash of the set and band keys; no shuffle."""
+    """(doc_id, n_shingles, k1, k2, bands, packed): set size, 128-bit hash of the set, band keys and the packed low bits of
+    the minima; no shuffle."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,35 +120,33 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, bands: in
                 ends = np.zeros(j - i, np.int64)
                 ends[have] = bands
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(ends)]).astype(np.int32)), pa.array(band.reshape(-1).view(np.int64)))
+                bits: list = [None] * (j - i)
+                for d, low in zip(have.tolist(), packed(lows)):
+                    bits[d] = low.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(counts.astype(np.int64)), pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), lists],
-                    names=["doc_id", "n_shingles", "k1", "k2", "bands"],
+                    [batch.column(0).slice(i, j - i), pa.array(counts.astype(np.int64)), pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), lists, pa.array(bits, pa.binary())],
+                    names=["doc_id", "n_shingles", "k1", "k2", "bands", "packed"],
                 )
 
     small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("__text"))
-    return source.mapInArrow(rows, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>")
+    return source.mapInArrow(rows, "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, packed binary")
 
 
-def full_sets(texts: DataFrame, size: int, bands: int) -> DataFrame:
-    """(rep, cc, bytes, shingles, packed) of (rep, cc, text): the sorted full set and the packed low bits."""
+def full_sets(texts: DataFrame, size: int) -> DataFrame:
+    """(rep, cc, packed, bytes, shingles) of (rep, cc, packed, text): with the sorted full set."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = buffers(batch.column(2))
+            data, offsets = buffers(batch.column(3))
             for i, j in slices(offsets):
                 doc, h = shingles(Hashed(data, offsets[i : j + 1], lower=True), size)
-                have, lows = minima(doc, h, bands * ROWS)
-                low = packed(lows)
                 cut = np.searchsorted(doc, np.arange(j - i + 1))
-                sets = [h[cut[d] : cut[d + 1]].tobytes() for d in have]
-                pick = pa.array(have + i)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pick), batch.column(1).take(pick), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.binary()), pa.array([x.tobytes() for x in low], pa.binary())],
-                    names=["rep", "cc", "bytes", "shingles", "packed"],
-                )
+                sets = [h[a:b].tobytes() for a, b in zip(cut, cut[1:])]
+                kept = [batch.column(k).slice(i, j - i) for k in range(3)]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.binary())], names=["rep", "cc", "packed", "bytes", "shingles"])
 
-    return texts.mapInArrow(rows, "rep long, cc long, bytes long, shingles binary, packed binary")
+    return texts.mapInArrow(rows, "rep long, cc long, packed binary, bytes long, shingles binary")
 
 
 def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
@@ -169,8 +171,7 @@ def joins(reps: list[int], sets: list[bytes], low: list[bytes], main: list[bool]
     inside = np.flatnonzero(np.array(main, bool))
     if len(inside):
         label[inside] = inside[0]
-    t = num / den
-    floor = t - 6 * math.sqrt(t * (1 - t) / (sig.shape[1] * (64 // BITS))) - 0.02
+    floor = _floor(num, den, sig.shape[1] * (64 // BITS))
     links = []
     for i in range(n - 1):
         rest = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
@@ -217,6 +218,45 @@ def _block_links(blocks: DataFrame, keys: list[str], num: int, den: int) -> Data
     )
 
 
+def _floor(num: int, den: int, bits: int) -> float:
+    """The least estimate from `bits` minima that may still be a link: six standard deviations below the threshold."""
+    t = num / den
+    return t - 6 * math.sqrt(t * (1 - t) / bits) - 0.02
+
+
+def _likely(cells: DataFrame, keys: list[str], num: int, den: int) -> DataFrame:
+    """(keys, rep, main) of the rows of each cell that have a partner by the packed bits, not both of `main`."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        current = None
+
+        def flush():
+            sig = np.stack([np.frombuffer(r[-1], np.uint64) for r in held])
+            main = np.array([r[-2] for r in held], bool)
+            floor, keep = _floor(num, den, sig.shape[1] * (64 // BITS)), np.zeros(len(held), bool)
+            for i in np.flatnonzero(~main).tolist():
+                hit = estimate(sig[i], sig) >= floor
+                hit[i] = False
+                keep |= hit
+                keep[i] |= hit.any()
+            kept = [held[i][:-1] for i in np.flatnonzero(keep).tolist()]
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in kept], t) for k, t in enumerate((pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()))], names=[*keys, "rep", "main"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[: len(keys)] != current:
+                    if len(held) > 1:
+                        yield flush()
+                    held, current = [], row[: len(keys)]
+                held.append(row)
+        if len(held) > 1:
+            yield flush()
+
+    dealt = cells.select(*keys, "rep", "main", "packed").repartition(*keys).sortWithinPartitions(*keys, "rep")
+    return dealt.mapInArrow(rows, "cc long, kind string, x int, y int, rep long, main boolean")
+
+
 def _pair_links(pairs: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b) of those (a, b, set_a, set_b) that are similar."""
 
@@ -264,7 +304,9 @@ def _confirmed(sets: DataFrame, num: int, den: int) -> DataFrame:
         )
     )
     placed = roles.select("cc", "rep", "main", F.explode(cells).alias("cell")).select("cc", "rep", "main", "cell.kind", "cell.x", "cell.y")
-    rows = placed.join(hot.select("rep", "shingles", "packed"), "rep")
+    # packed bits alone go to every cell first; full sets follow only those rows that have a likely partner there
+    likely = materialize(_likely(placed.join(hot.select("rep", "packed"), "rep"), ["cc", "kind", "x", "y"], num, den), "likely")
+    rows = likely.join(hot.select("rep", "shingles", "packed"), "rep")
     return links.unionByName(tied).unionByName(_block_links(rows, ["cc", "kind", "x", "y"], num, den))
 
 
@@ -277,22 +319,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     doc_id are one document. Rows without doc_id link with nothing; their component is null and they are kept."""
     bands = band_count(num / den)
     signed = materialize(signatures(docs, id_col, text_col, size, bands), "signatures")
-    known = signed.where("doc_id is not null and n_shingles > 0")
-    classes = known.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    shared = known.join(classes, ["k1", "k2"], "left")
-    table = materialize(
-        shared.select("doc_id", "n_shingles", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands"))
-        .unionByName(signed.where("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("rep"), F.lit(None).cast("array<long>").alias("bands"))),
-        "classes",
-    )
-    keys = table.where("bands is not null").select("rep", F.explode("bands").alias("key"))
-    buckets = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("first")).where("n > 1").select("key", "first")
-    ties = keys.join(buckets, "key").where("rep <> first").select(F.col("rep").alias("a"), F.col("first").alias("b")).distinct()
+    known = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    classes = signed.where(known).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first")).where("n > 1")
+    classes = materialize(classes, "classes")  # only sets of several rows: all others stand for themselves
+    sets_of = signed.select("doc_id", "n_shingles", "bands", "packed", *(F.when(known, F.col(k)).alias(k) for k in ("k1", "k2")))
+    shared = left_join_counted(sets_of, classes, ["k1", "k2"], "n").withColumn("rep", F.coalesce("first", "doc_id"))
+    own = F.col("k1").isNotNull() & (F.col("rep") == F.col("doc_id"))
+    table = materialize(shared.select("doc_id", "n_shingles", "rep", *(F.when(own, F.col(c)).alias(c) for c in ("bands", "packed"))), "table")
+    reps = table.where("bands is not null")
+    keys = reps.select("rep", F.explode("bands").alias("key"))
+    buckets = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("first")).where("n > 1")
+    met = left_join_counted(keys, materialize(buckets, "buckets"), ["key"], "n")
+    ties = met.where("rep <> first").select(F.col("rep").alias("a"), F.col("first").alias("b")).distinct()
     groups = materialize(connected_components(ties, "candidates"), "candidates")
     wanted = groups.select(F.col("node").alias("rep"), F.col("component").alias("cc"))
-    few = groups.count() <= BROADCAST_ROWS
-    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("__text")).join(F.broadcast(wanted) if few else wanted, "rep")
-    sets = materialize(full_sets(texts.select("rep", "cc", "__text"), size, bands), "sets")
+    count = groups.count()
+    few = count <= BROADCAST_ROWS
+    low = reps.select("rep", "packed").dropDuplicates(["rep"])
+    wanted = materialize(low.join(F.broadcast(wanted) if few else wanted, "rep"), "wanted")
+    light = count <= BROADCAST_ROWS // 4  # of 140 bytes each
+    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("__text")).join(F.broadcast(wanted) if light else wanted, "rep")
+    sets = materialize(full_sets(texts.select("rep", "cc", "packed", "__text"), size), "sets")
     found = connected_components(_confirmed(sets, num, den), "links").withColumnsRenamed({"node": "rep"})
     return table.join(found, "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("component", "rep"), F.lit(True)).alias("kept")
