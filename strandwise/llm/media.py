@@ -289,16 +289,22 @@ def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def carved(sniffed: DataFrame) -> DataFrame:
-    """Digest of each row's first medium, carved from its blob and read back (see queries.op5)."""
+    """Digest of each row's first medium, carved from its blob and read back (see queries.op5); for media as `store` writes
+    them. Rows without media have nulls."""
     names = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, "blob"):
             made: list[list] = [[] for _ in range(6)]
             for blob, declared, media, wrong in zip(*(batch.column(c) for c in ("blob", "declared", "media", "type_corrected"))):
-                span = media.as_py()[0]
+                spans = media.as_py()
+                if not spans:
+                    for column in made:
+                        column.append(None)
+                    continue
+                span = spans[0]
                 medium = blob.as_py()[span["offset"] : span["offset"] + span["length"]]
-                payload = samples(medium, span["type"])
+                payload = samples(medium, span["type"])  # of kinds that hold no payload: the bytes after their first ones
                 values = np.frombuffer(payload, np.uint8)
                 facts = [declared.as_py(), span["type"], "corrected" if wrong.as_py() else "confirmed", span["offset"], span["length"], span["width"], span["height"], int(values.sum(dtype=np.int64)), int(values.max()), int((np.bincount(values, minlength=256) > 0).sum())]
                 row = (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(medium), hashlib.sha256(medium).hexdigest(), "|".join(map(str, facts)))
