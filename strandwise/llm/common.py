@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strandwise.sources.files import materialize, scratch_path  # noqa: F401
+
 #: ASCII blanks: everything else is part of a word.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -19,25 +19,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_SETTING, DEFAULT_BATCH, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4m"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where it is unset."""
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strandwise-"))
-        path = spark.sparkContext.getCheckpointDir()
-    return path.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder name in the shared folder, deleted when the driver ends."""
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
-    return path
-
-
 def small_batches(spark: SparkSession) -> None:
     """Lower the session's bytes an Arrow batch from Spark's default, so that batches of texts take little of a worker's
     memory and of the executor's buffers; a setting of the session's own stays."""
@@ -45,30 +26,27 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, BATCH)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write `df` as Parquet in the shared folder and read it again."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+RANK_ROWS = 100_000  # rows that one task ranks
 
 
-def gapless_rank(df: DataFrame, group: list[str], order: list[str], name: str, buckets: int = 64) -> DataFrame:
+def gapless_rank(df: DataFrame, group: list[str], order: list[str], name: str, rows: int = RANK_ROWS) -> DataFrame:
     """Number the rows of each group 0, 1, 2, ... without bringing a group to one task.
 
-    Rows are ranked inside (group, hash bucket); the bucket counts, at most `buckets` rows a group, give the offsets.
-    The numbering follows the hash, not `order`; `df` must be stable (materialised), `group` must hold no nulls."""
-    bucket = F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int")
-    rows = df.withColumn("__b", bucket)
+    Rows are ranked inside (group, hash bucket), with a bucket for about `rows` rows of the largest group; the buckets'
+    counts give the offsets. The numbering follows the hash, not `order`; `df` must be stable (materialised), `group` must
+    hold no nulls."""
+    largest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    bucket = F.pmod(F.xxhash64(*order), F.lit(-(-largest // rows) or 1)).cast("int")
+    ranked = df.withColumn("__b", bucket)
     starts = (
-        rows.groupBy(*group, "__b")
+        ranked.groupBy(*group, "__b")
         .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__s", F.sum("__n").over(Window.partitionBy(*group).orderBy("__b")) - F.col("__n"))
         .drop("__n")
     )
     inner = F.row_number().over(Window.partitionBy(*group, "__b").orderBy(*order))
     return (
-        rows.withColumn("__r", inner.cast("long") - 1)
+        ranked.withColumn("__r", inner.cast("long") - 1)
         .join(starts, [*group, "__b"])
         .withColumn(name, F.col("__r") + F.col("__s"))
         .drop("__b", "__r", "__s")
