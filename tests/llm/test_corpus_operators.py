@@ -65,6 +65,13 @@ def test_near_duplicates_odd_rows(spark, empty):
     assert got == [(7, 7, True), (7, 7, True), (9, 7, False), (None, None, True)]
 
 
+def test_hot_sets_and_bands_are_broadcast(docs, monkeypatch):
+    joined = minhash.left_join_counted
+    monkeypatch.setattr(minhash, "left_join_counted", lambda *a: joined(*a, hot_rows=2))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs, size=3, num=85, den=100).collect()}
+    assert got == B.duplicate_groups(ROWS, 3, 85, 100)
+
+
 def test_estimate_is_near_the_similarity():
     rng = np.random.default_rng(1)
     a = np.unique(rng.integers(0, 1 << 63, 1000, dtype=np.uint64))
@@ -263,6 +270,27 @@ def test_kd_shards(spark, docs, empty):
     assert by_target.groupBy("node").agg(F.sum("w").alias("w")).where("w > 6000").isEmpty()
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_kd_cuts_are_weighted_medians_along_the_widest_dimension(spark, seed):
+    """Every node's cut is looked at by itself: its dimension, the order of both sides and their bytes."""
+    rng = np.random.default_rng(seed)
+    data = [(k, float(rng.integers(0, 50)), float(rng.normal() * 9), int(rng.integers(1, 40))) for k in range(600)]
+    table = spark.createDataFrame(data, "doc_id long, a double, b double, w long").withColumn("tie", F.xxhash64("doc_id"))
+    got = kdshard.kd_shards(table, ["a", "b"], "w", levels=3).collect()
+    whole = [max(r[c] for r in got) - min(r[c] for r in got) for c in ("a", "b")]
+    for level in range(3):
+        nodes = defaultdict(lambda: ([], []))
+        for r in got:
+            nodes[r.node >> (3 - level)][r.node >> (2 - level) & 1].append(r)
+        for left, right in nodes.values():
+            both = left + right
+            width = [(max(r[c] for r in both) - min(r[c] for r in both)) / e for c, e in zip(("a", "b"), whole)]
+            c = "a" if width[0] >= width[1] else "b"
+            assert max(r[c] for r in left) <= min(r[c] for r in right)
+            bytes_ = [sum(r.w for r in side) for side in (left, right)]
+            assert abs(bytes_[0] - bytes_[1]) <= 2 * max(r.w for r in both)
+
+
 def test_kd_shards_part_sources_with_a_common_beginning(spark):
     rows = B.frame(spark, [(7, "same text", "en", f"https://site{k % 2}") for k in range(400)])
     numbers = {r.source: r.d for r in kdshard.text_number(rows.selectExpr("source", "source s"), "s", "d").distinct().collect()}
@@ -334,6 +362,13 @@ def test_media_round_trip(docs, empty):
     assert media.carved(media.sniff_media(media.text_media(empty), "blob", "declared")).count() == 0
 
 
+def test_carving_of_rows_without_media(spark):
+    blob = media.store(bytes(192), "audio/wav")
+    rows = spark.createDataFrame([(1, 3, bytearray(blob), None), (2, 0, None, "image/png"), (3, 0, bytearray(), None), (None, 1, bytearray(b"RIFF"), None)], "doc_id long, n_bytes long, blob binary, declared string")
+    got = {r.doc_id: (r.payload_bytes, r.media_bytes, r.feature) for r in media.carved(media.sniff_media(rows, "blob", "declared")).collect()}
+    assert got[1][:2] == (192, len(blob)) and got[2] == got[3] == got[None] == (None, None, None)
+
+
 def test_sniffing(spark):
     payload = bytes(range(192)) * 2
     finder = media.automaton()
@@ -383,6 +418,27 @@ def test_quality_on_held_out_labels(spark, sf_dir):
     assert np.mean([x > y for x in good for y in bad]) > 0.95
 
 
+def test_ridge_equals_the_direct_solution(spark):
+    """Normal equations summed by partition against least squares over all rows at once, and pooling against its definition."""
+    rng = np.random.default_rng(9)
+    d = len(rffquality.STATISTICS)
+    x = rng.normal(size=(600, d))
+    y, fold = (x[:, 0] + 0.3 * rng.normal(size=600) > 0).astype(int), rng.integers(1, 5, 600)
+    rows = spark.createDataFrame([(a.tolist(), int(b), int(c)) for a, b, c in zip(x, y, fold)], "x array<double>, y int, fold int").repartition(5)
+    model = rffquality.fit(common.materialize(rows, "rows"), features=32)
+    z, used = model.features(x[fold < 4]), y[fold < 4]
+    root = np.sqrt(rffquality.RIDGE * len(used) / 32) * np.eye(33)
+    root[-1, -1] = np.sqrt(1e-9)
+    direct = np.linalg.lstsq(np.vstack([z, root]), np.concatenate([used, np.zeros(33)]), rcond=None)[0]
+    assert np.allclose(model.beta, direct, atol=1e-6)
+    bins = np.minimum((np.clip(model.raw(x[fold == 4]), -1, 2) + 1) / 3 * rffquality.BINS, rffquality.BINS - 1).astype(int)
+    kinds = np.unique(bins)
+    mean, n = np.array([y[fold == 4][bins == b].mean() for b in kinds]), np.array([(bins == b).sum() for b in kinds])
+    avg = lambda i, j: (mean[i : j + 1] * n[i : j + 1]).sum() / n[i : j + 1].sum()
+    isotonic = [max(min(avg(i, j) for j in range(k, len(kinds))) for i in range(k + 1)) for k in range(len(kinds))]  # max-min formula
+    assert np.allclose(sorted(set(np.round(isotonic, 9))), np.round(model.value, 9))
+
+
 def test_quality_never_reads_held_out_labels(spark, docs):
     labels = spark.createDataFrame([(d, d % 2) for d in TEXTS], "doc_id long, quality int")
     flipped = labels.withColumn("quality", F.when(rffquality.fold(F.col("doc_id")) == 0, 1 - F.col("quality")).otherwise(F.col("quality")))
@@ -405,6 +461,36 @@ def test_ordinal_recovers_severity():
     assert (np.diff(model.thresholds) > 0).all() and np.corrcoef(expected, grades)[0, 1] > 0.95
 
 
+def test_gradient_leads_to_the_least_loss():
+    """The fitted weights and thresholds cannot be bettered by a small step in any direction."""
+    rng = np.random.default_rng(8)
+    n, d = 400, 4
+    x = rng.integers(0, 3, (n, d)).astype(float)
+    grades = np.digitize(x @ np.array([1.0, -0.5, 0.3, 0.0]) + rng.logistic(size=n), [0.8, 2.0])
+    row, column = np.nonzero(x)
+    model = ordinal.fit_ordinal(grades, row, column, x[row, column], np.arange(d, dtype=np.uint64), 3, steps=3000, penalty=0.0)
+
+    def loss(w, theta):
+        upto = np.column_stack([np.zeros(n), 1 / (1 + np.exp(-(theta[None, :] - (x @ w)[:, None]))), np.ones(n)])
+        return -np.log(upto[np.arange(n), grades + 1] - upto[np.arange(n), grades]).mean()
+
+    best = loss(model.weights, model.thresholds)
+    for k in range(d + 2):
+        for step in (-0.02, 0.02):
+            move = np.zeros(d + 2)
+            move[k] = step
+            assert loss(model.weights + move[:d], model.thresholds + move[d:]) >= best - 1e-7
+
+
+def test_toxicity_on_held_out_labels(spark, sf_dir):
+    folder = sf_dir.replace("sf0.001", "sf0.1")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    got = ordinal.toxicity(docs, labels.where(~held)).join(labels.where(held & F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").alias("label")), "doc_id").collect()
+    assert np.mean([r.toxic for r in got if r.label == 1]) >= 0.85
+    assert np.mean([r.toxic for r in got if r.label == 0]) <= 0.02
+
+
 def test_toxicity(spark, empty):
     filler = [f"plain{k}" for k in range(40)]
     rng = np.random.default_rng(6)
@@ -420,6 +506,9 @@ def test_toxicity(spark, empty):
     got = {r.doc_id: r for r in ordinal.toxicity(B.frame(spark, rows), table).collect()}
     assert len(got) == len(rows)
     assert all(got[k].toxic == (k % 5 == 0) for k in range(400)) and got[902].toxic and not got[900].toxic and not got[901].toxic
-    assert got[15].severity > got[20].severity > got[1].severity
+    assert min(got[15].severity, got[20].severity) > got[1].severity
+    assert {got[k].severity for k in range(0, 400, 5)} != {got[15].severity}
+    twice = ordinal.toxicity(B.frame(spark, [rows[0], rows[0], (None, rows[5][1], "", "")]).unionByName(B.frame(spark, rows[1:400])), table).collect()
+    assert sum(r.doc_id == 0 for r in twice) == 2 and [r.toxic for r in twice if r.doc_id is None] == [True]
     assert ordinal.toxicity(empty, table).count() == 0
     assert ordinal.toxicity(B.frame(spark, rows), table.limit(0)).where("toxic").count() == 0
