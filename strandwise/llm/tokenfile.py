@@ -25,7 +25,8 @@ from .encoding import RUN_BYTES, ByteLevelEncoder, loaded
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_DOCS, SAMPLE_BYTES = 400, 16 << 10  # about so many texts, each of so many bytes at most, train the dictionary: it changes sizes, never ids
 LEAST_SAMPLES, LEAST_BYTES = 16, 8 << 10  # what is less is too little to train on and serves as raw content
-PART_BYTES = 64 << 20  # of frames in a file
+PART_BYTES = 32 << 20  # of frames in a file
+GROUP_BYTES = 8 << 20  # of a row group: what a reader holds at once
 BLOCK_BYTES = 1 << 20
 BLOCK_DOCS = 4096
 LEVEL = 3
@@ -119,7 +120,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     order = [F.col("doc_id").asc_nulls_first(), "n", "crc"]
     files = max(-(-total // PART_BYTES), min(spark.sparkContext.defaultParallelism, -(-total // BLOCK_BYTES)), 1)
     ordered = frames.repartitionByRange(files, *order).sortWithinPartitions(*order).select("doc_id", "n", "frame")
-    ordered.mapInArrow(rows, BLOCKS).write.option("compression", "none").parquet(f"{path}/blocks")
+    ordered.mapInArrow(rows, BLOCKS).write.option("compression", "none").option("parquet.block.size", GROUP_BYTES).parquet(f"{path}/blocks")
     return digest
 
 
