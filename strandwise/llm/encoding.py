@@ -81,7 +81,7 @@ class ByteLevelEncoder:
     Units are found, coded and put together a batch at a time; only the distinct ones are looked up, and what no cache
     has is tokenized by the library's own model."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = LIMIT):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -97,7 +97,7 @@ class ByteLevelEncoder:
         self._model, self._pre, self._split = self.tokenizer.model, self.tokenizer.pre_tokenizer, re.compile(LATIN).findall
         self._characters = byte_characters()
         self._blank = self._characters[32]
-        self._units, self._pieces, self._mapped = Cache(), Cache(LIMIT // 2), Cache(LIMIT // 4)
+        self._units, self._pieces, self._mapped = Cache(limit), Cache(limit // 2), Cache(limit // 4)
 
     def _tokenized(self, mapped: list[str]) -> list[bytes]:
         out = []
@@ -302,7 +302,7 @@ _LOADED: dict[tuple, object] = {}
 
 def loaded(kind: type, path: str, *more) -> object:
     """One encoder a worker process and vocabulary; its caches live as long as the worker."""
-    key = (kind, path)
+    key = (kind, path, *more)
     if key not in _LOADED:
         _LOADED[key] = kind(path, *more)
     return _LOADED[key]

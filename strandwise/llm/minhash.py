@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from strandwise.sources.files import left_join_counted
 
-from .common import Hashed, buffers, connected_components, materialize, mix, slices, small_batches
+from .common import Hashed, buffers, connected_components, lean, materialize, mix, slices, small_batches
 
 ROWS = 6  # minima a band: texts that share a hundredth of their shingles meet in a band once in 1e10 pairs
 BITS = 4  # low bits kept of each minimum
@@ -101,7 +101,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, bands: in
     the minima; no shuffle."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             data, offsets = buffers(batch.column(1))
             for i, j in slices(offsets):
                 run = Hashed(data, offsets[i : j + 1], lower=True)
@@ -137,7 +137,7 @@ def full_sets(texts: DataFrame, size: int) -> DataFrame:
     """(rep, cc, packed, bytes, shingles) of (rep, cc, packed, text): with the sorted full set."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             data, offsets = buffers(batch.column(3))
             for i, j in slices(offsets):
                 doc, h = shingles(Hashed(data, offsets[i : j + 1], lower=True), size)

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Hashed, buffers, slices, small_batches
+from .common import Hashed, buffers, lean, slices, small_batches
 
 SYMBOLS = b"#*$%&|<>"
 #: n-gram length -> largest share of word characters inside n-grams said before (the published thresholds of Gopher's rules).
@@ -120,7 +120,7 @@ def repetition_rules(
     coverage = dict(coverage or COVERAGE)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             data, offsets = buffers(batch.column(text_col))
             parts = [measure(data, offsets[i : j + 1], coverage, line_coverage, symbols_per_word) for i, j in slices(offsets)]
             if parts:
@@ -135,7 +135,7 @@ def rule_filter(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of `docs`, all columns as they are, that repetition_rules keeps; one narrow pass, no shuffle."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             data, offsets = buffers(batch.column(text_col))
             parts = [measure(data, offsets[i : j + 1], COVERAGE, LINE_COVERAGE, SYMBOLS_PER_WORD)["kept"] for i, j in slices(offsets)]
             if parts:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hashed, buffers, materialize, slices, small_batches
+from .common import Hashed, buffers, lean, materialize, slices, small_batches
 from .repetition import measure
 
 FEATURES = 256
@@ -62,7 +62,7 @@ def document_statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFram
     """(doc_id, x): the statistics of every whole text; no shuffle."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             data, offsets = buffers(batch.column(1))
             parts = [statistics(data, offsets[i : j + 1]) for i, j in slices(offsets)]
             if parts:
@@ -209,7 +209,7 @@ def quality_filter(docs: DataFrame, labels: DataFrame, label_col: str = "quality
     model = train(materialize(document_statistics(docs, id_col, text_col), "statistics"), labels, label_col, id_col)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in lean(batches):
             data, offsets = buffers(batch.column(text_col))
             parts = [model.score(statistics(data, offsets[i : j + 1])) for i, j in slices(offsets)]
             if parts:
