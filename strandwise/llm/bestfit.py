@@ -30,14 +30,16 @@ PLACED, LEFT, FREE, SHRUNK = range(4)  # a piece with a place or without; a gap
 SWEPT = "part int, role int, rank long, size long, seq long, offset long"
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: str, text_col: str, cache_units: int = LIMIT) -> DataFrame:
+def pieces(
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: str, text_col: str, cache_units: int = LIMIT, run_bytes: int = RUN_BYTES
+) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): each text's ids and the end id, cut where longer than `capacity`."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = loaded(ByteLevelEncoder, tokenizer, cache_units)
         for batch in lean(batches):
             _, offsets = buffers(batch.column(1))
-            for i, j in slices(offsets, RUN_BYTES):
+            for i, j in slices(offsets, run_bytes):
                 ids, ends = encoder.ids(batch.column(1).slice(i, j - i), end_id)
                 n = np.diff(ends)
                 first = (n - 1) % capacity + 1
@@ -215,12 +217,13 @@ def place(cut: DataFrame, capacity: int = CAPACITY, rows_a_task: int = ROWS_A_TA
 
 
 def best_fit(
-    docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", rows_a_task: int = ROWS_A_TASK, cache_units: int = LIMIT
+    docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", rows_a_task: int = ROWS_A_TASK,
+    cache_units: int = LIMIT, run_bytes: int = RUN_BYTES,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): every token of every text in few sequences.
 
     Null and empty texts hold the end id alone. Rows of one doc_id, and rows without doc_id, are packed each; pieces of one
     length are interchangeable. An empty table gives no rows. Other columns of `docs` are not read. `cache_units`
-    bounds each half of a worker's cache of units: memory and speed, never ids."""
-    cut = materialize(pieces(docs, tokenizer, end_id, capacity, id_col, text_col, cache_units), "pieces")
+    bounds each half of a worker's cache of units, `run_bytes` what is encoded at once: memory and speed, never ids."""
+    cut = materialize(pieces(docs, tokenizer, end_id, capacity, id_col, text_col, cache_units, run_bytes), "pieces")
     return place(cut, capacity, rows_a_task).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
