@@ -14,6 +14,7 @@ from strandwise.llm.common import materialize
 
 MIX_SHARE = 0.8  # of all tokens that reach the mixing stage
 CACHE_UNITS = 60_000  # of the packing stage's encoder: workers keep it through later stages
+RUN_BYTES = 1 << 20  # of texts that it encodes at once: workers share their memory with what earlier stages left
 BROADCAST_ROWS = 1_000_000  # 8 MB of ids; more are joined by shuffling
 
 
@@ -61,7 +62,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every token of what stayed, in few sequences."""
-    return bestfit.best_fit(docs, queries.vocabulary("byte_bpe_50k.json"), 0, queries.TARGET, cache_units=CACHE_UNITS)
+    return bestfit.best_fit(docs, queries.vocabulary("byte_bpe_50k.json"), 0, queries.TARGET, cache_units=CACHE_UNITS, run_bytes=RUN_BYTES)
 
 
 STAGES = [
