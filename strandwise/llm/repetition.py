@@ -59,7 +59,7 @@ def _covered(run: Hashed, n: int, repeats=_repeated) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def measure(data: np.ndarray, offsets: np.ndarray, coverage: dict[int, float], line_coverage: float, symbols: float) -> dict[str, np.ndarray]:
+def measure(data: np.ndarray, offsets: np.ndarray, coverage: dict[int, float], line_coverage: float, symbols: float, min_words: int = MIN_WORDS) -> dict[str, np.ndarray]:
     """All measures of a run of documents (bytes and offsets)."""
     run = Hashed(data, offsets)
     body, n = run.data, len(run.data)
@@ -95,7 +95,7 @@ def measure(data: np.ndarray, offsets: np.ndarray, coverage: dict[int, float], l
         worst = np.maximum(worst, share)
     n_symbols = run.per_doc(_IS_SYMBOL[body])
     line_share = line_chars / total
-    base = (n_words < MIN_WORDS) | (100 * n_repeat > REPEAT_PERCENT * n_words)
+    base = (n_words < min_words) | (100 * n_repeat > REPEAT_PERCENT * n_words)
     verdict = ~bad & (line_share <= line_coverage) & (n_symbols <= symbols * n_words)
     return {
         "n_words": n_words, "word_chars": word_chars, "n_symbols": n_symbols, "n_dup_lines": n_dup_lines, "n_repeat_words": n_repeat,
@@ -105,12 +105,12 @@ def measure(data: np.ndarray, offsets: np.ndarray, coverage: dict[int, float], l
 
 def repetition_rules(
     docs: DataFrame, text_col: str = "text", coverage: dict[int, float] | None = None, line_coverage: float = LINE_COVERAGE,
-    symbols_per_word: float = SYMBOLS_PER_WORD, carry: list[str] | None = None,
+    symbols_per_word: float = SYMBOLS_PER_WORD, carry: list[str] | None = None, min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """Add the measures of COLUMNS to `carry` (all columns by default); one narrow pass, no shuffle.
 
-    Null and empty texts have no words: all counts are 0, base_failed is true, kept is false. Repeated rows each get
-    their own row. Columns of `docs` that bear one of the new names are replaced."""
+    Null and empty texts have no words: all counts are 0, and with a `min_words` of 1 or more base_failed is true and kept
+    is false. Repeated rows each get their own row. Columns of `docs` that bear one of the new names are replaced."""
     import re
 
     names = re.findall(r"(\w+) (?:long|double|boolean)", COLUMNS)
@@ -122,7 +122,7 @@ def repetition_rules(
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lean(batches):
             data, offsets = buffers(batch.column(text_col))
-            parts = [measure(data, offsets[i : j + 1], coverage, line_coverage, symbols_per_word) for i, j in slices(offsets)]
+            parts = [measure(data, offsets[i : j + 1], coverage, line_coverage, symbols_per_word, min_words) for i, j in slices(offsets)]
             if parts:
                 made = [pa.array(np.concatenate([p[c] for p in parts])) for c in names]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carry), *made], names=[*carry, *names])
@@ -131,13 +131,15 @@ def repetition_rules(
     return used.mapInArrow(rows, schema)
 
 
-def rule_filter(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns as they are, that repetition_rules keeps; one narrow pass, no shuffle."""
+def rule_filter(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """The rows of `docs`, all columns as they are, that repetition_rules keeps; one narrow pass, no shuffle.
+
+    Null and empty texts go with a `min_words` of 1 or more; each of repeated rows is judged alike."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lean(batches):
             data, offsets = buffers(batch.column(text_col))
-            parts = [measure(data, offsets[i : j + 1], COVERAGE, LINE_COVERAGE, SYMBOLS_PER_WORD)["kept"] for i, j in slices(offsets)]
+            parts = [measure(data, offsets[i : j + 1], COVERAGE, LINE_COVERAGE, SYMBOLS_PER_WORD, min_words)["kept"] for i, j in slices(offsets)]
             if parts:
                 yield batch.filter(pa.array(np.concatenate(parts)))
 

@@ -97,6 +97,15 @@ def test_repetition_base_equals_brute_force(docs, empty):
     assert repetition.repetition_rules(empty).count() == 0
 
 
+def test_repetition_least_words(docs, empty):
+    base = {d: B.repetition(t) for d, t in TEXTS.items()}
+    for least in (0, 1, 5, 50):
+        got = {r.doc_id: r for r in repetition.repetition_rules(docs, min_words=least).collect()}
+        assert all(r.base_failed == (base[d][0] < least or 2 * base[d][4] > base[d][0]) for d, r in got.items())
+        assert sorted(r.doc_id for r in repetition.rule_filter(docs, min_words=least).collect()) == sorted(d for d, r in got.items() if r.kept)
+    assert repetition.rule_filter(empty, min_words=1).count() == 0
+
+
 def test_repetition_verdict(spark):
     clean = " ".join(f"word{k}" for k in range(200))
     phrase = " ".join(f"rep{k}" for k in range(12))
