@@ -1,8 +1,8 @@
 """The corpus pipeline: quality rules, quality classifier, near-duplicates, mixing and packing.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. Nulls
-and empty tables follow the operators' own rules: texts without words are dropped by the first stage, and an empty table
-passes through as one."""
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents, further
+columns too, unchanged whatever their names. An empty table passes through as one. Rows without doc_id are rows like any
+other; nulls in other columns are allowed everywhere."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from strandwise.llm import bestfit, minhash, mixing, queries, repetition, rffquality
 from strandwise.llm.common import materialize
 
+MIN_WORDS = 1  # the rules drop texts without words; whether a short text is good is for the classifier to say
 MIX_SHARE = 0.8  # of all tokens that reach the mixing stage
 CACHE_UNITS = 60_000  # of the packing stage's encoder: workers keep it through later stages
 RUN_BYTES = 1 << 20  # of texts that it encodes at once: workers share their memory with what earlier stages left
@@ -24,12 +25,16 @@ def _bounded(ids: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the repetition rules reject go."""
-    return repetition.rule_filter(docs)
+    """Documents that the repetition rules reject go: too much repetition, too many symbols, or no word at all.
+
+    Null and empty texts have no word. Copies of a row are judged alike."""
+    return repetition.rule_filter(docs, min_words=MIN_WORDS)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go: scores below its threshold, short texts among them.
+
+    A null text is scored as an empty one. Without labels all stay. Copies of a text score alike."""
     return rffquality.quality_filter(docs, queries.table(spark, sf_dir, "labels"))
 
 
@@ -61,7 +66,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every token of what stayed, in few sequences."""
+    """Every token of what stayed, in few sequences; a null text is its end token alone, and each row has pieces of its own."""
     return bestfit.best_fit(docs, queries.vocabulary("byte_bpe_50k.json"), 0, queries.TARGET, cache_units=CACHE_UNITS, run_bytes=RUN_BYTES)
 
 
