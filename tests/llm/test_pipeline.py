@@ -75,8 +75,26 @@ def test_near_dedup_keeps_rows_without_id(spark):
 
 def test_quality_rules_leave_columns_of_the_same_names(spark):
     rows, docs = stage_corpus(spark)
-    docs = docs.unionByName(B.frame(spark, [(7, "too short", "en", "src0"), (None, None, None, None)])).withColumn("word_chars", F.lit(1.5))
+    more = [(7, "short but whole", "en", "src0"), (8, "again and " * 40, "en", "src0"), (9, "a*** b###", "en", "src0"), (10, "", "en", "src0"), (None, None, None, None)]
+    docs = docs.unionByName(B.frame(spark, more)).withColumn("word_chars", F.lit(1.5))
     got = corpus_pipeline.quality_rules(spark, docs, "")
     assert got.schema == docs.schema
-    assert sorted(map(str, got.collect())) == sorted(map(str, docs.where("text like 'w%'").collect()))
+    assert sorted(map(str, got.collect())) == sorted(map(str, docs.where("text like 'w%' or text like 'short%'").collect()))
     assert {(r.n_words, r.kept, r.word_chars) for r in got.collect()} == {("x", "x", 1.5)}
+
+
+def test_each_quality_stage_keeps_good_and_rejects_bad(spark, sf_dir):
+    """Each on all documents, judged by the labels; rows without doc_id, repeats, nulls and clashing names pass the classifier."""
+    sf_dir = sf_dir.replace("sf0.001", "sf0.01")  # enough labels
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    good, bad = ({r.doc_id for r in spark.read.parquet(f"{sf_dir}/labels.parquet").where(f"quality = {q}").collect()} for q in (1, 0))
+    ruled = {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, sf_dir).select("doc_id").collect()}
+    assert len(good - ruled) <= 0.01 * len(good)
+    one = docs.where(f"doc_id = {min(good & ruled)}").first()
+    more = spark.createDataFrame([one, one, one.asDict() | {"doc_id": None}, one.asDict() | {"lang": None, "source": None, "n_chars": None}], docs.schema)
+    odd = docs.unionByName(more).withColumn("x", F.lit("x")).withColumn("score", F.lit(7))
+    got = corpus_pipeline.materialize(corpus_pipeline.quality_classifier(spark, odd, sf_dir), "classified")
+    assert got.columns == odd.columns and {(r.x, r.score) for r in got.select("x", "score").distinct().collect()} == {("x", 7)}
+    after = {r.doc_id for r in got.collect()}
+    assert len(good - after) <= 0.02 * len(good) and len(bad & after) <= 0.1 * len(bad)
+    assert got.where(F.col("text") == F.lit(one.text)).count() >= 5
