@@ -1,4 +1,4 @@
-"""The ten corpus operators as queries over whole tables, and SQL where it can express them."""
+"""The corpus operators as queries over whole tables, and SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bestfit, kdshard, media, minhash, mixing, ordinal, repetition, rffquality, tokencount, tokenfile
+from . import bestfit, dialogue, kdshard, media, merkle, minhash, mixing, ordinal, repetition, rffquality, tokencount, tokenfile, urlfilter
 from .common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,10 +82,41 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: (verdict, host, path), fixed by the contract of op11.
+URL_RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
+#: What is blocked where no rule fits: labels of hosts, and files that are no pages.
+BLOCKED_URLS = ("*.ads-**", "*.adult-**", "*.casino-**", "*.cheap-**", "*.free-bet?.**", "*.spam-**", "**/wp-admin/**", "**/cgi-bin/**", "**.[ez][xi][ep]")
+
+
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.url_verdicts(table(spark, sf_dir, "pages"), URL_RULES, BLOCKED_URLS, keep=["page_id"])
+
+
+LEAF_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest, and each row folded again: with the digest of its tampered form where crc32 of its id says so."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.translate("text", UPPER, LOWER)
+    now = merkle.digest(merkle.framed(*(lowered if c == "text" else F.col(c) for c in LEAF_FIELDS)))
+    rows = merkle.manifest(docs, LEAF_FIELDS, "source", ["doc_id"], keep=["doc_id"], more={"now": F.when(tampered, now)})
+    found = rows.withColumn("folded_root", merkle.folded(F.coalesce("now", "leaf"), F.col("path")))
+    proof = merkle.digest(merkle.siblings(F.col("path"))).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations")
+    return dialogue.conversation_digests(dialogue.damaged(talks), talks)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mixing": op1, "op2_kd_shards": op2, "op3_minhash": op3, "op4_repetition": op4, "op5_media": op5, "op6_best_fit": op6,
         "op7_token_files": op7, "op8_rff_quality": op8, "op9_token_counts": op9, "op10_toxicity": op10,
+        "op11_url_filter": op11, "op12_merkle": op12, "op13_dialogue_repair": op13,
     }
 
 
@@ -160,5 +191,35 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     return "WITH " + ",\n".join(parts)
 
 
+URL_SQL = f"""WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+rules(rule, verdict, rule_host, rule_path) AS (VALUES ('org/', 'allow', 'org', '/'), ('example.org/es/', 'block', 'example.org', '/es/'), ('example.org/en/1', 'block', 'example.org', '/en/1'), ('com/fr/', 'allow', 'com', '/fr/'), ('com/de/', 'block', 'com', '/de/')),
+f AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM h JOIN rules ON (host = rule_host OR suffix(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id)
+SELECT h.page_id, host, path, rule, coalesce(verdict, CASE WHEN regexp_matches('.' || host, '[.](ads|adult|casino|cheap|spam)-|[.]free-bet.[.]') OR contains(path, '/wp-admin/') OR contains(path, '/cgi-bin/')
+  OR regexp_matches(host || path, '[.][ez][xi][ep]$') THEN 'block' ELSE 'allow' END) AS verdict FROM h LEFT JOIN f USING (page_id)"""
+
+_FRAMED = " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in LEAF_FIELDS)
+_LOWERED = " || ".join(f"coalesce(strlen({c}) || ':' || {c}, '-')" if c == "translated" else f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in (*LEAF_FIELDS[:-1], "translated"))
+#: node(tree, level, pos, n, hash, preimage): tree is the number of a source, -1 above all sources.
+MERKLE_SQL = f"""WITH RECURSIVE polynomial AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT *, translate(text, '{UPPER}', '{LOWER}') AS translated, list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])) AS c FROM documents, polynomial),
+l AS (SELECT doc_id, source, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, sha256({_FRAMED}) AS leaf, CASE WHEN xor(c, 4294967295) % 5 = 0 THEN sha256({_LOWERED}) END AS now FROM d),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM l),
+low(tree, level, pos, n, hash, preimage) AS (SELECT tree, 0, pos, n, leaf, '' FROM leaves UNION ALL
+  SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(hash, '' ORDER BY pos)), string_agg(hash, '' ORDER BY pos) FROM low WHERE n > 1 GROUP BY tree, level, n, pos // 16),
+sub AS (SELECT tree, hash, level AS height FROM low WHERE n = 1),
+high(tree, level, pos, n, hash, preimage) AS (SELECT -1::BIGINT, 0, tree, (SELECT count(*) FROM sub), hash, '' FROM sub UNION ALL
+  SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(hash, '' ORDER BY pos)), string_agg(hash, '' ORDER BY pos) FROM high WHERE n > 1 GROUP BY tree, level, n, pos // 16),
+top AS (SELECT hash AS root, level AS height FROM high WHERE n = 1),
+steps AS (SELECT leaves.tree, leaves.pos AS leaf_pos, low.level, (leaves.pos // pow(16, low.level - 1)::BIGINT) % 16 AS slot, preimage FROM leaves JOIN low ON low.tree = leaves.tree AND low.level > 0 AND low.pos = leaves.pos // pow(16, low.level)::BIGINT UNION ALL
+  SELECT leaves.tree, leaves.pos, height + high.level, (leaves.tree // pow(16, high.level - 1)::BIGINT) % 16, preimage FROM leaves JOIN sub USING (tree) JOIN high ON high.level > 0 AND high.pos = leaves.tree // pow(16, high.level)::BIGINT),
+paths AS (SELECT tree, leaf_pos AS pos, list(preimage ORDER BY level) AS images, list(slot ORDER BY level) AS slots, string_agg(substr(preimage, 1, slot * 64) || substr(preimage, slot * 64 + 65), '' ORDER BY level) AS siblings FROM steps GROUP BY 1, 2),
+fold(tree, pos, k, hash) AS (SELECT tree, pos, 0, coalesce(now, leaf) FROM leaves UNION ALL
+  SELECT fold.tree, fold.pos, k + 1, sha256(substr(images[k + 1], 1, slots[k + 1] * 64) || hash || substr(images[k + 1], slots[k + 1] * 64 + 65)) FROM fold JOIN paths USING (tree, pos) WHERE k < len(images)),
+ends AS (SELECT tree, pos, arg_max(hash, k) AS folded_root FROM fold GROUP BY 1, 2)
+SELECT doc_id, leaf, sub.hash AS subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN sub USING (tree) CROSS JOIN top LEFT JOIN paths USING (tree, pos) JOIN ends USING (tree, pos)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": _mixing_sql(), "op3_minhash": MINHASH_SQL, "op4_repetition": _repetition_sql()}
+    return {"op1_mixing": _mixing_sql(), "op3_minhash": MINHASH_SQL, "op4_repetition": _repetition_sql(), "op11_url_filter": URL_SQL, "op12_merkle": MERKLE_SQL}
