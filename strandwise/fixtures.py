@@ -124,8 +124,12 @@ FILES_SQL = """SELECT CASE WHEN line LIKE '@%' THEN 'chr9_1_5.sam' WHEN rname IS
 
 def region_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file, line_no, line): dirty lines in files of 10 000 bases."""
-    named = with_coordinates(dirty_lines(spark, sf_dir), headers_first=True).select("line_no", "line", "rname", "pos")
-    return spark.sql(FILES_SQL.format(src="{rows}"), rows=named)
+
+    def make() -> DataFrame:
+        named = with_coordinates(dirty_lines(spark, sf_dir), headers_first=True).select("line_no", "line", "rname", "pos")
+        return spark.sql(FILES_SQL.format(src="{rows}"), rows=named)
+
+    return _once(spark, sf_dir, "region-files", make)
 
 
 TEXT_LINES = 10_000  # lines of a text file

@@ -15,6 +15,14 @@ from strandwise.operators.order import with_coordinates
 from strandwise.sources.files import materialize, small
 
 
+def placed_reads(lines: DataFrame, chroms: DataFrame) -> DataFrame:
+    """All lines with rname, pos, the chromosome's length (null where it is not among `chroms`) and `used`: whether the line
+    is a read on one of them with a position inside it. Columns of these names are replaced."""
+    rows = with_coordinates(lines.drop("rname", "pos", "length", "used"), headers_first=True).drop("valid")
+    sizes = chroms.select(F.col("name").alias("rname"), "length")
+    return rows.join(small(sizes), "rname", "left").withColumn("used", F.coalesce(F.col("pos").between(1, F.col("length")), F.lit(False)))
+
+
 def used_reads(lines: DataFrame, chroms: DataFrame) -> DataFrame:
     """Reads on the given chromosomes with a position inside them, with the chromosome's length.
 
@@ -130,6 +138,27 @@ def split_by_list(lines: DataFrame, regions: DataFrame, policy: str = S.STRICT)
     return assign(reads, regions)
 
 
+def fates(lines: DataFrame, regions: DataFrame) -> DataFrame:
+    """All lines with rname, pos, the listed region that holds them and their `fate`: header, blank, malformed (no position
+    parses), unplaced (no reference name, or a position below 1), other_chr (a name without regions), gap (between the
+    regions of its chromosome) or placed. One pass over the lines. Overlapping regions raise."""
+    if not overlaps(regions).isEmpty():
+        raise ValueError("regions overlap")
+    rows = with_coordinates(lines.drop("rname", "pos", "valid", "fate", "__known"), headers_first=True)
+    known = regions.select(F.col("chr").alias("rname")).distinct().withColumn("__known", F.lit(True))
+    rows = assign(rows.join(small(known), "rname", "left"), regions, "left")
+    fate = (
+        F.when(X.is_header(F.col("line")), "header").when(X.without_cr(F.col("line")) == "", "blank").when(~F.col("valid"), "malformed")
+        .when((F.col("rname") == S.UNSET) | (F.col("pos") < 1), "unplaced").when(F.col("__known").isNull(), "other_chr").when(F.col("region_start").isNull(), "gap").otherwise("placed")
+    )
+    return rows.withColumn("fate", fate).drop("valid", "__known")
+
+
+def split_stats(lines: DataFrame, regions: DataFrame) -> DataFrame:
+    """(total, assigned): lines that are no header and not blank, and those that a listed region holds; one scan."""
+    return fates(lines, regions).agg(F.count_if(~F.col("fate").isin("header", "blank")).alias("total"), F.count_if(F.col("fate") == "placed").alias("assigned"))
+
+
 def offsets(chroms: DataFrame) -> DataFrame:
     """(name, length, ord, offset): bases before each chromosome, in the order of `ord`; a row a chromosome."""
     before = F.sum("length").over(Window.orderBy("ord").rowsBetween(Window.unboundedPreceding, -1))

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandwise import schema as S
 from strandwise.functions import fields as X
+from strandwise.operators import checks as C
 from strandwise.operators import duplicates as D
 from strandwise.operators import order as O
 from strandwise.operators import regions as R
-from strandwise.sources.files import materialize, small, write_named, write_region_files, write_region_list
-from strandwise.sources.text import parse, scan_records
+from strandwise.sources.files import materialize, small, write_region_files, write_region_list
+from strandwise.sources.named import write_named_files
+from strandwise.sources.text import file_catalog, parse, read_region_files, scan_records
 
 
 def sort_lines(lines: DataFrame, policy: str = S.COMPAT) -> DataFrame:
@@ -47,17 +49,17 @@ def named_outputs(names: DataFrame, mode: str) -> DataFrame:
 def process_files(lines: DataFrame, path: str, mode: str, policy: str = S.COMPAT, write_mode: str = "errorifexists") -> DataFrame:
     """Sort ('sort'), mark ('markdup') or do both ('all') to each file of (file, line_no, line) by itself and write it.
 
-    An input gets one folder `name=<output name>` under `path`, with its lines in order. Returns (file, name, n_lines)."""
-    lines = materialize(lines, "lines")
+    An input with lines gets one file of its output's name under `path`. Returns (file, name, n_lines). `lines` are read
+    several times: pass written ones, such as read_lines gives."""
     named = named_outputs(lines.select("file").distinct(), mode)
     if mode == "sort":
         out = O.with_coordinates(lines, policy == S.STRICT)
         order = O.COORDINATE_ORDER
     else:
         out, order = mark_file(lines, policy, presorted=mode == "all"), ["section", *MARKED_ORDER]
-    out = materialize(out.join(small(named), "file").select("file", "name", *order, "line"), "processed")
-    write_named(out, path, "name", order, write_mode)
-    return named.join(out.groupBy("file").agg(F.count(F.lit(1)).alias("n_lines")), "file", "left").fillna(0)
+    out = out.join(small(named), "file").select("name", *order, "line")
+    done = write_named_files(out, path, "name", order, write_mode)
+    return named.join(done.select("name", F.col("lines").alias("n_lines")), "name", "left").select("file", "name", "n_lines").fillna(0)
 
 
 MARKED_ORDER = ["tid", "pos", "mate_tid", "pnext", "orientation", "line_no"]
@@ -85,14 +87,24 @@ def weighted_split(lines: DataFrame, chroms: DataFrame, target: int = S.TARGET_B
 
 
 def write_tiles(lines: DataFrame, chroms: DataFrame, path: str, tiles: int = S.TILES, mode: str = "errorifexists") -> DataFrame:
-    """Write the reads of each equal tile (`files`, a folder chr_start_end_rid each, in input order and without headers) and
-    the list of all tiles (`list`); returns the tiles. A tile without reads is in the list and has no folder."""
+    """Write the reads of each equal tile (`files`, a file chr_start_end_rid.sam each, in input order and without headers;
+    tiles without reads have an empty one) and the list of all tiles (`list`); returns the tiles."""
     found = materialize(R.static_regions(chroms, tiles), "tiles")
     placed = tiled_split(lines, chroms, tiles).select("rid", "line_no", "line").join(small(found), "rid")
-    write_region_files(placed, None, f"{path}/files", [*R.REGION, "rid"], mode=mode)
+    write_region_files(placed, None, f"{path}/files", [*R.REGION, "rid"], every=found, mode=mode)
     write_region_list(found, f"{path}/list", " ", mode)
     return found
 
 
+def check_folder(spark: SparkSession, folder: str, max_file_bytes: int | None = S.MAX_FILE_BYTES) -> tuple[DataFrame, DataFrame]:
+    """Counters of each region file of a folder, also of empty ones, and the outcome of every file there.
+
+    Files above `max_file_bytes` are not read and have no counters."""
+    catalog = materialize(file_catalog(spark, folder, ".sam", max_file_bytes), "catalog")
+    lines = read_region_files(spark, folder, max_file_bytes)
+    checked = materialize(C.region_check(lines, C.declared_files(catalog.where("state <> 'skipped'"))), "checked")
+    return checked, C.file_outcomes(catalog, checked)
+
+
 def tiled_split(lines: DataFrame, chroms: DataFrame, tiles: int = S.TILES) -> DataFrame:
     return R.static_assign(lines, chroms, tiles).where("rid is not null")

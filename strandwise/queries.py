@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandwise import fixtures as X
@@ -12,7 +12,7 @@ from strandwise import schema as S
 from strandwise.functions import fields as C
 from strandwise.operators import checks, duplicates, order, regions
 from strandwise.plans import modes
-from strandwise.sources import files, text
+from strandwise.sources import files, named, text
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -192,6 +192,7 @@ for _name, _sql in (("compat", MARKED), ("strict", MARKED_STRICT)):
     query(f"markdup_{_name}", _with(SAM, _records("dirty"), _sql, select=f"SELECT line_no, score, is_dup, {FLAG_OUT} AS flag_out FROM marked"))(_markdup(_name))
 
 _TIDS = "tids AS (SELECT m.*, coalesce(p.tid, -1) AS tid, coalesce(q.tid, -1) AS mate_tid FROM marked m LEFT JOIN dict p ON p.name = m.rname LEFT JOIN dict q ON q.name = m.mate)"
+_SORTED = "sorted AS (SELECT line_no, row_number() OVER (ORDER BY valid, rname NULLS FIRST, pos NULLS FIRST, line_no) AS s FROM pt)"
 _OUT = "row_number() OVER (ORDER BY tid, pos, mate_tid, pnext, orientation, line_no) - 1 AS out_ord"
 
 
@@ -207,7 +208,7 @@ def markdup_order(spark, d):
         _records("dirty"),
         MARKED,
         _coordinates("dirty"),
-        "sorted AS (SELECT line_no, row_number() OVER (ORDER BY valid, rname NULLS FIRST, pos NULLS FIRST, line_no) AS s FROM pt)",
+        _SORTED,
         _dictionary("(SELECT s FROM sorted WHERE sorted.line_no = rec.line_no)"),
         _TIDS,
         select=f"SELECT line_no, tid, score, {FLAG_OUT} AS flag_out, {_OUT} FROM tids",
@@ -314,10 +315,7 @@ def split_by_list(spark, d):
     _with(SAM, X.REGION_LINES_SQL, _LIST, _coordinates("dirty", True), _SPLIT, select=r"SELECT (SELECT count(*) FROM dirty WHERE NOT starts_with(line, '@') AND regexp_replace(line, '\r+$', '') <> '')::BIGINT AS total, (SELECT count(*) FROM spl)::BIGINT AS assigned"),
 )
 def split_stats(spark, d):
-    lines = dirty(spark, d)
-    total = lines.agg(F.count_if(~C.is_header(F.col("line")) & (C.without_cr(F.col("line")) != "")).alias("total")).withColumn("k", F.lit(0))
-    assigned = regions.split_by_list(lines, _listed(spark).drop("line_no")).agg(F.count(F.lit(1)).alias("assigned")).withColumn("k", F.lit(0))
-    return total.join(assigned, "k").drop("k")
+    return regions.split_stats(dirty(spark, d), _listed(spark).drop("line_no"))
 
 
 _NAMES = r"""fn0 AS (SELECT line AS name, string_split(string_split(line, '.sam')[1], '_') AS f, contains(line, '.sam') AS sam FROM region_names),
@@ -444,8 +442,36 @@ def run_summary(spark, d):
 def write_region_files(spark, d):
     head = spark.createDataFrame([(k, f"@HD\tVN:{k}") for k in range(3)], "line_no long, line string")
     path = files.scratch_path(spark, "regions")
-    files.write_region_files(modes.weighted_split(dirty(spark, d), chroms(spark), X.TARGET), head, path, ["chr", "region_start", "region_end"])
-    return spark.read.option("lineSep", "\n").text(path).groupBy("region").agg(F.count(F.lit(1)).alias("n_lines"))
+    files.write_region_files(modes.weighted_split(dirty(spark, d), chroms(spark), X.TARGET), head, path, regions.REGION)
+    return _file_counts(spark, path)
+
+
+def _file_counts(spark, path: str) -> DataFrame:
+    lines = spark.read.option("lineSep", "\n").text(path).select(C.stem(F.col("_metadata.file_name")).alias("region"))
+    return lines.groupBy("region").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+_SPLIT_FILES = """head(line_no, line) AS (SELECT k, '@HD' || chr(9) || 'VN:' || k FROM range(3) h(k)), region_line AS (SELECT concat_ws('_', chr, region_start, region_end) || '.sam' AS name, 1 AS section, line_no, line FROM placed),
+file_line AS (SELECT * FROM region_line UNION ALL SELECT name, 0, head.line_no, head.line FROM (SELECT DISTINCT name FROM region_line), head)"""
+
+
+def _split_folder(spark, d) -> str:
+    """A folder with the weighted split of the dirty lines, a file a region."""
+    head = spark.createDataFrame([(k, f"@HD\tVN:{k}") for k in range(3)], "line_no long, line string")
+    path = files.scratch_path(spark, "regions")
+    files.write_region_files(modes.weighted_split(dirty(spark, d), chroms(spark), X.TARGET), head, path, regions.REGION)
+    return path
+
+
+@query("region_file_digests", _with(*REGIONS, _SPLIT_FILES, select="SELECT name, sum(strlen(line) + 1)::BIGINT AS bytes, md5(string_agg(line || chr(10), '' ORDER BY section, line_no)) AS digest FROM file_line GROUP BY 1", recursive=True))
+def region_file_digests(spark, d):
+    found = spark.read.format("binaryFile").load(_split_folder(spark, d))
+    return found.select(F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("bytes"), F.md5("content").alias("digest"))
+
+
+@query("region_round_trip", _with(*REGIONS, _SPLIT_FILES, select="SELECT name AS file, count(*)::BIGINT AS total, count(*)::BIGINT AS checked, 0::BIGINT AS bad_chr, 0::BIGINT AS bad_range, 0::BIGINT AS unmapped_or_zero, true AS ok FROM file_line WHERE section = 1 GROUP BY 1", recursive=True))
+def region_round_trip(spark, d):
+    return modes.check_folder(spark, _split_folder(spark, d))[0]
 
 
 _TILES = """t AS (SELECT r AS rid, least(r * width, total - 1) AS a, least((r + 1) * width, total) - 1 AS b FROM range(6144) x(r), tot),
@@ -456,7 +482,26 @@ tiles AS (SELECT rid, name AS chr, (a - o + 1)::BIGINT AS region_start, least(b
 def write_tile_files(spark, d):
     path = files.scratch_path(spark, "tiles")
     modes.write_tiles(dirty(spark, d), chroms(spark), path)
-    return spark.read.option("lineSep", "\n").text(f"{path}/files").groupBy("region").agg(F.count(F.lit(1)).alias("n_lines"))
+    return _file_counts(spark, f"{path}/files")
+
+
+LARGE_FILE = 600
+
+
+@query(
+    "file_catalog",
+    _with(
+        SAM, CHROMS, _OFFSETS, _LOOSE, _coordinates("dirty", True), _TILES,
+        f"""tile_line AS (SELECT tiles.rid, chr, region_start, region_end, pt.rname, pt.pos, pt.valid, pt.line FROM tiled JOIN tiles USING (rid) JOIN pt USING (line_no)),
+tile_size AS (SELECT tiles.rid, coalesce(sum(strlen(line) + 1), 0)::BIGINT AS bytes, coalesce(bool_or(valid AND rname <> '*' AND pos > 0 AND (rname <> tiles.chr OR pos NOT BETWEEN tiles.region_start AND tiles.region_end)), false) AS bad FROM tiles LEFT JOIN tile_line USING (rid) GROUP BY 1)""",
+        select=f"SELECT outcome, count(*)::BIGINT AS n, sum(bytes)::BIGINT AS bytes FROM (SELECT bytes, CASE WHEN bytes > {LARGE_FILE} THEN 'skipped' WHEN bytes = 0 THEN 'empty' WHEN bad THEN 'failed' ELSE 'read' END AS outcome FROM tile_size) GROUP BY 1",
+    ),
+)
+def file_catalog(spark, d):
+    path = files.scratch_path(spark, "tiles")
+    modes.write_tiles(dirty(spark, d), chroms(spark), path)
+    outcomes = modes.check_folder(spark, f"{path}/files", LARGE_FILE)[1]
+    return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
 
 
 def _read_list(spark, path: str) -> DataFrame:
@@ -478,12 +523,10 @@ def write_region_list(spark, d):
 
 
 def _processed(spark, lines: DataFrame, mode: str) -> DataFrame:
-    """(name, ord, line) of the written outputs, in the order of their part files and lines."""
+    """(name, ord, line) of the written outputs."""
     path = files.scratch_path(spark, mode)
     modes.process_files(lines, path, mode)
-    back = text.read_lines(spark, path).withColumn("name", F.regexp_extract("file", "name=([^/]+)/", 1))
-    at = F.row_number().over(Window.partitionBy("name").orderBy("file", "line_no")) - 1  # of a test's files
-    return back.select("name", at.cast("long").alias("ord"), "line")
+    return text.read_lines(spark, path).select(F.substring_index("file", "/", -1).alias("name"), F.col("line_no").alias("ord"), "line")
 
 
 @query("process_sort", _with(SAM, _coordinates("dirty"), select="SELECT concat('f', line_no % 3, '.sorted.sam') AS name, row_number() OVER (PARTITION BY line_no % 3 ORDER BY valid, rname NULLS FIRST, pos NULLS FIRST, line_no) - 1 AS ord, line FROM pt"))
@@ -508,6 +551,27 @@ def process_markdup(spark, d):
     return _processed(spark, dirty(spark, d).withColumn("file", F.lit("one.sam")), "markdup")
 
 
+_HEAD_SORTED = "SELECT 0 AS section, -1 AS tid, 0 AS pos, 0 AS mate_tid, 0 AS pnext, 0 AS orientation, line_no, line FROM pt WHERE NOT valid AND starts_with(line, '@') AND line_no < (SELECT min(line_no) FROM pt WHERE NOT valid AND NOT starts_with(line, '@'))"
+
+
+@query(
+    "process_all",
+    _with(
+        SAM, _records("dirty"), MARKED, _coordinates("dirty"), _SORTED, _dictionary("(SELECT s FROM sorted WHERE sorted.line_no = rec.line_no)"), _TIDS,
+        f"written AS ({_HEAD_SORTED} UNION ALL SELECT 1, tid, pos, mate_tid, pnext, orientation, line_no, {_LINE_OUT} FROM tids)",
+        select="SELECT 'one.sorted.markdup.sam' AS name, row_number() OVER (ORDER BY section, tid, pos, mate_tid, pnext, orientation, line_no) - 1 AS ord, line FROM written",
+    ),
+)
+def process_all(spark, d):
+    return _processed(spark, dirty(spark, d).withColumn("file", F.lit("one.sam")), "all")
+
+
+@query("read_ranges", ORACLES["read_text"])
+def read_ranges(spark, d):
+    lines = named.read_ranges(spark, X.text_folder(spark, d), range_bytes=1 << 20)
+    return lines.select(F.regexp_extract("file", "file_no=([0-9]+)", 1).cast("long").alias("file_no"), "line_no", "line")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -1,38 +1,53 @@
-"""Writers: text files with a header block, region files and region lists."""
+"""Writers: text files with a header block, region files and region lists; tables in the cluster's shared folder."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from strandwise.functions.fields import line_bytes
+
 
 def write_lines(lines: DataFrame, path: str, order: list[str], mode: str = "errorifexists") -> None:
     """Write lines in order, LF-ended; part files follow the order. mode 'overwrite' empties the folder first."""
     materialize(lines, "lines").repartitionByRange(*order).sortWithinPartitions(*order).select("line").write.mode(mode).text(path)
 
 
-def write_named(lines: DataFrame, path: str, name: str, order: list[str], mode: str = "errorifexists") -> None:
+RANGE_BYTES = 256 << 20  # of lines that one task writes
+
+
+def write_named(rows: DataFrame, path: str, name: str, order: list[str], size: int, mode: str = "errorifexists") -> None:
     """One folder `name=value` for each value of the column `name`: its lines in order, LF-ended.
 
-    Rows are dealt by ranges of (name, order), so a value with very many lines becomes several part files, which follow the
-    order, and many small ones share a task."""
+    `rows` are written ones (ranges are found before rows are dealt) of `size` bytes. They are dealt by ranges of (name,
+    order), so a value with very many lines becomes several part files, which follow the order, and small ones share a
+    task."""
     columns = [name, *order]
-    rows = materialize(lines.select(*columns, "line"), "lines")  # written: ranges are found before rows are dealt
-    rows.repartitionByRange(*columns).sortWithinPartitions(*columns).select(name, "line").write.mode(mode).partitionBy(name).text(path)
+    ranges = max(rows.sparkSession.sparkContext.defaultParallelism, -(-size // RANGE_BYTES))
+    rows.repartitionByRange(ranges, *columns).sortWithinPartitions(*columns).select(name, "line").write.mode(mode).partitionBy(name).text(path)
 
 
-def write_region_files(assigned: DataFrame, headers: DataFrame | None, path: str, keys: list[str], every: DataFrame | None = None, mode: str = "errorifexists") -> None:
-    """One folder for each region (`region` = keys joined by _): the full header, then its lines in input order.
+def write_region_files(assigned: DataFrame, headers: DataFrame | None, path: str, keys: list[str], every: DataFrame | None = None, mode: str = "errorifexists", layout: str = "files") -> DataFrame | None:
+    """A file `<keys joined by _>.sam` for each region: the full header, then its lines in input order.
 
-    assigned: keys, line_no, line. `every` (keys): regions that get a folder with the header even if no line is theirs;
-    without a header there is nothing to put in it, so it has none."""
+    assigned: keys, line_no, line. `every` (keys): regions that get a file even if no line is theirs. Returns (name, bytes,
+    lines) of the files. layout 'folders' gives a folder `region=<keys>` of part files instead, for stores that only Spark
+    reaches; there a region without lines and header has none."""
     region = F.concat_ws("_", *(F.col(k).cast("string") for k in keys)).alias("region")
-    rows = materialize(assigned.select(region, F.lit(1).alias("section"), "line_no", "line"), "assigned")
+    rows, seen = measured(assigned.select(region, F.lit(1).alias("section"), "line_no", "line"), "assigned", bytes=F.sum(line_bytes(F.col("line"))))
+    size = seen["bytes"] or 0
     if headers is not None:
         used = rows.select("region") if every is None else rows.select("region").unionByName(every.select(region))
-        head = F.broadcast(headers.select("line_no", "line"))  # a header block: a line a reference name
-        rows = rows.unionByName(used.distinct().crossJoin(head).select("region", F.lit(0).alias("section"), "line_no", "line"))
-    write_named(rows, path, "region", ["section", "line_no"], mode)
+        used = materialize(used.distinct(), "used")  # a row a region
+        head, facts = measured(headers.select("line_no", "line"), "headers", n=F.count(F.lit(1)), bytes=F.sum(line_bytes(F.col("line"))))
+        size += used.count() * (facts["bytes"] or 0)
+        rows = rows.unionByName(used.crossJoin(small(head, facts["n"])).select("region", F.lit(0).alias("section"), "line_no", "line"))
+    if layout == "folders":
+        return write_named(rows, path, "region", ["section", "line_no"], size, mode)
+    from strandwise.sources.named import write_named_files
+
+    file = lambda df: df.withColumn("region", F.concat("region", F.lit(".sam")))
+    return write_named_files(file(rows), path, "region", ["section", "line_no"], mode, None if every is None else file(every.select(region)), size=size)
 
 
 def write_region_list(regions: DataFrame, path: str, sep: str = "\t", mode: str = "errorifexists") -> None:
@@ -70,6 +85,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, label: str, **facts: Column) -> tuple[DataFrame, dict]:
+    """`df` materialised, and aggregates over it that are taken while it is written."""
+    seen = Observation()
+    return materialize(df.observe(seen, *(c.alias(n) for n, c in facts.items())), label), seen.get
+
+
 BROADCAST_ROWS = 1_000_000
 
 

@@ -13,30 +13,48 @@ from strandwise.sources.files import materialize, small
 def read_lines(spark: SparkSession, path: str | list[str], max_file_bytes: int | None = None) -> DataFrame:
     """(file, line_no, line) of every file; lines end at \\n only, so a \\r stays.
 
-    Line numbers come from row ids inside each block and the blocks' line counts, which are counted first and written (a
-    row a block). They are broadcast to the lines, so lines are not shuffled; only beyond BROADCAST_ROWS blocks are they
-    joined by Spark's choice. `max_file_bytes` leaves out larger files. A folder without files gives no lines."""
+    The text is read once, by one scan, and written with the row ids of that scan; line numbers come from the written ids
+    and the written blocks' line counts. Splits, settings and cluster sizes that change later therefore cannot change a
+    number or lose a line, and later uses read the written columns. Lines are not shuffled: the counts, a row a block, are
+    broadcast up to BROADCAST_ROWS blocks and joined by Spark's choice beyond. `max_file_bytes` leaves out larger files.
+    A folder without files gives no lines; one without a readable path raises."""
     raw = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("_metadata.file_size").alias("size"),
         F.monotonically_increasing_id().alias("row"), F.col("value").alias("line"),
     )
     if max_file_bytes is not None:
         raw = raw.where(F.col("size") <= max_file_bytes)
-    raw = raw.withColumn("hash", F.xxhash64("file"))  # 24 bytes a block to broadcast
+    raw = materialize(raw.drop("size").withColumn("hash", F.xxhash64("file")), "text")  # 24 bytes a block to broadcast
     blocks = raw.groupBy("hash", "block").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("hash").orderBy("block")) - F.col("n")
     blocks = materialize(blocks.select("hash", "block", (before - F.col("first")).alias("shift")), "blocks")
     return raw.join(small(blocks), ["hash", "block"]).select("file", (F.col("row") + F.col("shift")).alias("line_no"), "line")
 
 
-def read_region_files(spark: SparkSession, folder: str) -> DataFrame:
+def read_region_files(spark: SparkSession, folder: str, max_file_bytes: int | None = None) -> DataFrame:
     """(file, line_no, line) of the files of a folder whose names hold '.sam'; `file` is the bare name.
 
     What follows '.sam' does not matter; hidden files and folders inside are left out."""
-    lines = read_lines(spark, f"{folder.rstrip('/')}/*.sam*")
+    lines = read_lines(spark, f"{folder.rstrip('/')}/*.sam*", max_file_bytes)
     return lines.withColumn("file", F.substring_index("file", "/", -1))
 
 
+def file_catalog(spark: SparkSession, path: str, containing: str = "", max_file_bytes: int | None = S.MAX_FILE_BYTES) -> DataFrame:
+    """(file, name, bytes, state) of every file below a folder, from Spark's file listing alone: no content is read.
+
+    state: empty, skipped (larger than `max_file_bytes`) or readable. Scans leave out files of no bytes, so names come from
+    the listing (the driver has it for any scan) and sizes from the scan. Names without `containing` and hidden files are
+    left out; a folder without files gives no rows."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    same = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    sizes = found.select(same("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+    names = spark.createDataFrame([(n,) for n in found.inputFiles()], "file string").withColumn("file", same("file"))
+    size = F.coalesce("size", F.lit(0).cast("long"))
+    state = F.when(size == 0, "empty").when(size > (max_file_bytes if max_file_bytes is not None else (1 << 63) - 1), "skipped").otherwise("readable")
+    rows = names.join(sizes, "file", "left").select("file", F.url_decode(F.replace(F.substring_index("file", "/", -1), F.lit("+"), F.lit("%2B"))).alias("name"), size.alias("bytes"), state.alias("state"))
+    return rows.where(F.col("name").contains(containing))
+
+
 def scan_records(lines: DataFrame) -> DataFrame:
     """Lines that duplicate marking reads: no headers, no blank lines; a record ends at \\r as well."""
     cut = lines.where(~X.is_header(F.col("line"))).select(*[c for c in lines.columns if c != "line"], F.posexplode(F.split("line", "\r")).alias("sub", "line"))

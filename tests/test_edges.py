@@ -1,6 +1,10 @@
 """Procedural emulations and hand-written edge cases."""
 
+import os
 import random
+import subprocess
+import sys
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +13,7 @@ from strandwise import schema as S
 from strandwise.functions import fields as C
 from strandwise.operators import checks, duplicates, order, regions
 from strandwise.plans import modes
-from strandwise.sources import files, text
+from strandwise.sources import files, named, text
 from strandwise.streaming.files import running_counts, stream_lines
 
 
@@ -224,7 +228,7 @@ def test_files_are_numbered_split_and_checked(spark, tmp_path):
     one = lines.where(F.col("file").endswith("one.sam")).drop("file")
     head = one.where(C.is_header(F.col("line")))
     out = str(tmp_path / "regions")
-    files.write_region_files(regions.split_by_list(one, listed), head, out, ["chr", "region_start", "region_end"])
+    files.write_region_files(regions.split_by_list(one, listed), head, out, ["chr", "region_start", "region_end"], layout="folders")
     back = spark.read.option("lineSep", "\n").text(out)
     assert back.groupBy("region").count().orderBy("region").collect() == [("chr1_11_20", 2), ("chr1_1_10", 2), ("chr2_1_10", 2)]
     named = back.select(F.concat("region", F.lit(".sam")).alias("file"), F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line"))
@@ -317,7 +321,8 @@ def test_outputs_of_files(spark, tmp_path):
         out = str(tmp_path / mode)
         got = modes.process_files(one.unionByName(two), out, mode).collect()
         assert {(r.file, r.n_lines) for r in got} == {("in/x.sam", 4), ("in/y.sam.bak", 4)}
-        back = [r.line for r in text.read_lines(spark, f"{out}/name={name}").orderBy("file", "line_no").collect()]
+        back = [r.line for r in text.read_lines(spark, f"{out}/{name}").orderBy("line_no").collect()]
+        assert sorted(n for n in os.listdir(out) if n[0] not in "._") == sorted([name, name.replace("x", "y", 1)])
         assert [x.split("\t")[0] for x in back] == (["@HD", "a", "b", "c"] if mode == "markdup" else ["@HD", "b", "c", "a"])
         assert [x.split("\t")[1] for x in back if x[0] == "c"] == [flag]
     with pytest.raises(ValueError, match="x.sorted.sam"):
@@ -330,12 +335,12 @@ def test_tiles_and_region_folders(spark, tmp_path):
     chroms = spark.createDataFrame([("chr1", 10, 0), ("chr2", 10, 1)], "name string, length long, ord long")
     rows = [rec("a", 0, "chr1", 2), rec("b", 0, "chrM", 3), rec("c", 0, "chr2", 9)]
     modes.write_tiles(lines_of(spark, rows), chroms, str(tmp_path / "t"), 4)
-    back = spark.read.text(str(tmp_path / "t/files"))
-    assert sorted((r.region, r.value[0]) for r in back.collect()) == [("chr1_1_5_0", "a"), ("chr2_6_10_3", "c")]
+    written = {p.name: p.read_text() for p in (tmp_path / "t/files").iterdir()}
+    assert written == {"chr1_1_5_0.sam": rows[0] + "\n", "chr1_6_10_1.sam": "", "chr2_1_5_2.sam": "", "chr2_6_10_3.sam": rows[2] + "\n"}
     assert [r.line for r in text.read_lines(spark, str(tmp_path / "t/list")).orderBy("line_no").collect()] == ["chr1 1 5", "chr1 6 10", "chr2 1 5", "chr2 6 10"]
     head = spark.createDataFrame([(0, "@HD")], "line_no long, line string")
     listed = spark.createDataFrame([("chr1", 1, 10), ("chr2", 1, 10), ("chr3", 1, 10)], S.REGIONS)
-    files.write_region_files(regions.split_by_list(lines_of(spark, rows), listed), head, str(tmp_path / "r"), regions.REGION, every=listed)
+    files.write_region_files(regions.split_by_list(lines_of(spark, rows), listed), head, str(tmp_path / "r"), regions.REGION, every=listed, layout="folders")
     counts = {r.region: r["count"] for r in spark.read.text(str(tmp_path / "r")).groupBy("region").count().collect()}
     assert counts == {"chr1_1_10": 2, "chr2_1_10": 2, "chr3_1_10": 1}
     for name, body in (("chr1_1_10.sam.bak", "@HD\n"), ("chr1_1_10_2.sam", "@HD\n" + rows[0] + "\n"), ("notes.txt", "x\n")):
@@ -355,3 +360,127 @@ def test_typed_fields(spark):
     rows = [rec("q", "x", "chr1", 5) + "\tNM:i:0\tXX:Z:a", "@HD"]
     got = text.typed(lines_of(spark, rows)).orderBy("line_no").collect()
     assert (got[0].flag, got[0].pos, got[0].tags, got[0].kind, got[1].tags, got[1].kind) == (None, 5, ["NM:i:0", "XX:Z:a"], "record", [], "header")
+
+
+def test_lines_and_numbers_do_not_depend_on_later_splits(spark, tmp_path):
+    rows = [f"line {k}" for k in range(20_000)]
+    (tmp_path / "a.sam").write_text("\n".join(rows) + "\n")
+    (tmp_path / "b.sam").write_text("\n".join(rows[:77]))
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, "50000")
+        first, planned = text.read_lines(spark, str(tmp_path)), named.read_ranges(spark, str(tmp_path), range_bytes=30_000)
+        for size in ("7000", "90000", before):
+            spark.conf.set(setting, size)
+            for lines in (first, planned):
+                got = lines.where(F.col("file").endswith("a.sam")).orderBy("line_no").collect()
+                assert [r.line for r in got] == rows and [r.line_no for r in got] == list(range(len(rows)))
+                assert lines.count() == len(rows) + 77
+    finally:
+        spark.conf.set(setting, before)
+    (tmp_path / "b.sam").write_text("longer than it was planned\n" * 99)
+    with pytest.raises(Exception, match="has changed"):
+        planned.count()
+
+
+@pytest.mark.parametrize("range_bytes", [40, 300, 1 << 20])
+def test_ranges_cut_lines_anywhere(spark, tmp_path, range_bytes):
+    rng, want = random.Random(3), {}
+    for k in range(5):
+        rows = ["".join(rng.choice("aé\t\r x") for _ in range(rng.choice([0, 1, 5, 40, 300]))) for _ in range([0, 1, 2, 60, 30][k])]
+        body = "\n".join(rows) + ("\n" if k % 2 else "")
+        (tmp_path / f"f{k}.sam").write_bytes(body.encode())
+        want[f"f{k}.sam"] = body.split("\n")[: -1 if body.endswith("\n") or not body else None]
+    (tmp_path / "_hidden.sam").write_text("x\n")
+    (tmp_path / "notes.txt").write_text("x\n")
+    got = named.read_ranges(spark, str(tmp_path), ".sam", range_bytes).collect()
+    for name, rows in want.items():
+        assert sorted((r.line_no, r.line) for r in got if r.file.endswith(name)) == list(enumerate(rows))
+    assert len(got) == sum(map(len, want.values()))
+    assert named.read_ranges(spark, str(tmp_path), ".none").count() == 0
+    with pytest.raises(FileNotFoundError):
+        named.read_ranges(spark, str(tmp_path / "nowhere"))
+
+
+def test_named_files_of_hot_and_empty_names(spark, tmp_path):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot.sam").otherwise(F.concat(F.lit("n"), F.col("id") % 7, F.lit(".sam"))).alias("to"), (-F.col("id")).alias("at"), F.concat(F.lit("é "), "id").alias("line"))
+    every = spark.createDataFrame([("empty.sam",), ("hot.sam",)], "to string")
+    out, want = tmp_path / "out", {"empty.sam": []}
+    for r in sorted(rows.collect(), key=lambda r: r["at"]):
+        want.setdefault(r.to, []).append(r.line + "\n")
+    got = {r.name: (r.bytes, r.lines) for r in named.write_named_files(rows, str(out), "to", ["at"], every=every, range_bytes=2000).collect()}
+    assert {p.name: p.read_text() for p in out.iterdir()} == {n: "".join(x) for n, x in want.items()}
+    assert got == {n: (len("".join(x).encode()), len(x)) for n, x in want.items()}
+    with pytest.raises(Exception, match="has files"):
+        named.write_named_files(rows, str(out), "to", ["at"])
+    one = rows.where("to = 'hot.sam' and at > -10")
+    named.write_named_files(one.withColumn("to", F.lit("more.sam")), str(out), "to", ["at"], "append")
+    assert {p.name for p in out.iterdir()} == {*want, "more.sam"}
+    named.write_named_files(one, str(out), "to", ["at"], "overwrite")
+    assert {p.name: p.read_text() for p in out.iterdir()} == {"hot.sam": "é 9\né 6\né 3\né 0\n"}
+    with pytest.raises(Exception, match="no name for a file"):
+        named.write_named_files(one.withColumn("to", F.lit("a/b")), str(tmp_path / "bad"), "to", ["at"])
+    assert not (tmp_path / "bad").exists() or list((tmp_path / "bad").iterdir()) == []
+    assert named.write_named_files(rows.where("false"), str(tmp_path / "none"), "to", ["at"]).count() == 0
+
+
+def test_a_killed_task_leaves_whole_files(tmp_path):
+    """The first attempt of a writing task dies in the middle of its rows."""
+    code = """
+    import os, sys, time
+    from pyspark.sql import SparkSession, functions as F
+    from strandwise.sources import named
+    base = sys.argv[1]
+    spark = SparkSession.builder.master("local[2,4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", f"file://{base}/shared").getOrCreate()
+    rows = spark.range(40_000).select(F.concat(F.lit("f"), F.col("id") % 3, F.lit(".sam")).alias("name"), F.col("id").alias("at"), F.col("id").cast("string").alias("line"))
+    plain = named.NamedWriter.write
+    def dying(self, batches):
+        def some():
+            for k, b in enumerate(batches):
+                yield b
+                try:
+                    os.close(os.open(f"{base}/died", os.O_CREAT | os.O_EXCL))
+                except FileExistsError:
+                    continue
+                os._exit(7)
+        return plain(self, some())
+    named.NamedWriter.write = dying
+    import cloudpickle
+    from pyspark import cloudpickle as own
+    own.register_pickle_by_value(named)
+    named.write_named_files(rows, f"{base}/out", "name", ["at"], range_bytes=60_000)
+    spark.stop()
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "kill.py"
+    script.write_text(textwrap.dedent(code).replace("    import cloudpickle\n", "").replace("import cloudpickle\n", ""))
+    done = subprocess.run([sys.executable, str(script), str(tmp_path)], env={**os.environ, "PYTHONPATH": root}, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert (tmp_path / "died").exists()
+    assert {p.name: p.read_text() for p in (tmp_path / "out").iterdir()} == {f"f{k}.sam": "".join(f"{n}\n" for n in range(k, 40_000, 3)) for k in range(3)}
+
+
+def test_empty_and_large_files_are_counted(spark, tmp_path):
+    chr1 = rec("a", 0, "chr1", 5) + "\n"
+    for name, body in (("chr1_1_10.sam", chr1), ("chr1_11_20.sam", ""), ("chr2_1_10 +é.sam", chr1), ("chr2_1_10.sam", chr1), ("chr3_1_10.sam", chr1 * 50), ("x.sam", chr1), ("y.txt", "x")):
+        (tmp_path / name).write_text(body)
+    checked, outcomes = modes.check_folder(spark, str(tmp_path), 500)
+    assert {r.file: (r.total, r.ok) for r in checked.collect()} == {"chr1_1_10.sam": (1, True), "chr1_11_20.sam": (0, True), "chr2_1_10.sam": (1, False)}
+    want = {"chr1_1_10.sam": "read", "chr1_11_20.sam": "empty", "chr2_1_10 +é.sam": "unnamed", "chr2_1_10.sam": "failed", "chr3_1_10.sam": "skipped", "x.sam": "unnamed"}
+    assert {r.name: r.outcome for r in outcomes.collect()} == want
+
+
+def test_names_are_parsed_by_file(spark):
+    lines = spark.createDataFrame([("chr1_1_10.sam", 0, rec("a", 0, "chr1", 5))], S.LINES)
+    plan = checks.region_check(lines)._jdf.queryExecution().optimizedPlan().toString()
+    scans = [x for x in plan.splitlines() if "RLIKE" in x and "file" in x.split("RLIKE")[0][-60:]]
+    assert not any("line" in x for x in scans), scans
+
+
+def test_fates_add_up(spark):
+    listed = spark.createDataFrame([("chr1", 1, 10), ("chr1", 21, 30)], S.REGIONS)
+    rows = ["@HD", "", "\r", "x\ty", rec("a", 4, "*", 0), rec("b", 0, "chr1", 0), rec("c", 0, "chr2", 5), rec("d", 0, "chr1", 15), rec("e", 0, "chr1", 25), rec("f", 0, "chr1", 99)]
+    got = regions.fates(lines_of(spark, rows).withColumn("fate", F.lit("own")), listed)
+    assert [r.fate for r in got.orderBy("line_no").collect()] == ["header", "blank", "blank", "malformed", "unplaced", "unplaced", "other_chr", "gap", "placed", "gap"]
+    assert tuple(regions.split_stats(lines_of(spark, rows), listed).first()) == (7, 1)
