@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -188,6 +189,7 @@ def plain_faults(turns):
 
 def plain_repair(turns):
     """(cost, audit, repaired) by a memoised search over all edits."""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
     faults, step = plain_faults(turns), {"": "u", "s": "u", "u": "a", "a": "u"}
 
     @functools.cache
