@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from strandwise.llm import bestfit, minhash, mixing, queries, repetition, rffquality
 from strandwise.llm.common import materialize
 
+SYMBOLS_PER_WORD = 2.0  # the rules drop texts that are mostly symbols; whether fewer are too many is for the classifier to say
 MIN_WORDS = 1  # the rules drop texts without words; whether a short text is good is for the classifier to say
 MIX_SHARE = 0.8  # of all tokens that reach the mixing stage
 CACHE_UNITS = 60_000  # of the packing stage's encoder: workers keep it through later stages
@@ -25,10 +26,10 @@ def _bounded(ids: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the repetition rules reject go: too much repetition, too many symbols, or no word at all.
+    """Documents that the repetition rules reject go: too much repetition, hardly anything but symbols, or no word at all.
 
     Null and empty texts have no word. Copies of a row are judged alike."""
-    return repetition.rule_filter(docs, min_words=MIN_WORDS)
+    return repetition.rule_filter(docs, min_words=MIN_WORDS, symbols_per_word=SYMBOLS_PER_WORD)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,14 +40,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest doc_id; all without doc_id stay."""
+    """One document of each group of near-duplicates stays, the one with the smallest doc_id; all without doc_id stay.
+
+    Rows of one doc_id are one document: of those with different texts the one with the least text stays, null first, and
+    of equal texts that with the least columns, as JSON."""
     found = materialize(minhash.near_duplicates(docs), "near")
     copies = found.where("not kept").select("doc_id").distinct()
     left = docs.join(_bounded(copies), "doc_id", "left_anti").select(*docs.columns)
     ids = found.where("kept and doc_id is not null").agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
     if ids[0] == ids[1]:
         return left
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    least = F.min_by(F.struct(*left.columns), F.struct("text", F.to_json(F.struct(*left.columns))))
+    one = left.where("doc_id is not null").groupBy("doc_id").agg(least.alias("__one"))
+    return one.select(*(F.col("__one")[c].alias(c) for c in left.columns)).unionByName(left.where("doc_id is null"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

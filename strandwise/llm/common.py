@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandwise.sources.files import materialize, scratch_path  # noqa: F401
+from strandwise.sources.files import left_join_counted, materialize, scratch_path  # noqa: F401
 
 #: ASCII blanks: everything else is part of a word.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,8 +56,9 @@ def gapless_rank(df: DataFrame, group: list[str], order: list[str], name: str, r
 def connected_components(edges: DataFrame, label: str = "components", rounds: int = 60) -> DataFrame:
     """(node, component) for every node of `edges` (a, b: long); component is the smallest node reachable.
 
-    Alternates large-star and small-star steps until the edge set is a forest of stars. Each step is a partial
-    aggregate and a join, so a hub is never gathered; each round is written to the shared folder."""
+    Alternates large-star and small-star steps until the edge set is a forest of stars. Each step is a partial aggregate
+    and a join with its rows, a row a node with the node's number of edges: they are broadcast where they are few, else the
+    hubs' are, so that the edges of a hub stay where they are. Each round is written to the shared folder."""
     cur = materialize(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), label
     )
@@ -68,10 +69,11 @@ def connected_components(edges: DataFrame, label: str = "components", rounds: in
             break
         before = tuple(state)
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = left_join_counted(both, materialize(low, label), ["u"], "n").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = materialize(large.distinct(), label)
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), label)
+        small = left_join_counted(large, low, ["u"], "n").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         cur = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), label)
     else:
         raise RuntimeError(f"components of {label} not found in {rounds} rounds")

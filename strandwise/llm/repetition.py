@@ -131,7 +131,7 @@ def repetition_rules(
     return used.mapInArrow(rows, schema)
 
 
-def rule_filter(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def rule_filter(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WORDS, symbols_per_word: float = SYMBOLS_PER_WORD) -> DataFrame:
     """The rows of `docs`, all columns as they are, that repetition_rules keeps; one narrow pass, no shuffle.
 
     Null and empty texts go with a `min_words` of 1 or more; each of repeated rows is judged alike."""
@@ -139,7 +139,7 @@ def rule_filter(docs: DataFrame, text_col: str = "text", min_words: int = MIN_WO
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in lean(batches):
             data, offsets = buffers(batch.column(text_col))
-            parts = [measure(data, offsets[i : j + 1], COVERAGE, LINE_COVERAGE, SYMBOLS_PER_WORD, min_words)["kept"] for i, j in slices(offsets)]
+            parts = [measure(data, offsets[i : j + 1], COVERAGE, LINE_COVERAGE, symbols_per_word, min_words)["kept"] for i, j in slices(offsets)]
             if parts:
                 yield batch.filter(pa.array(np.concatenate(parts)))
 

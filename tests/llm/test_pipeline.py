@@ -1,16 +1,18 @@
 import glob
+import itertools
 import os
 import sys
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(__file__))
 import corpus as B
 
 import corpus_pipeline
-from strandwise.llm import queries
+from strandwise.llm import queries, rffquality
 
 
 def test_stages_keep_the_columns_and_take_effect(spark, sf_dir):
@@ -26,6 +28,55 @@ def test_stages_keep_the_columns_and_take_effect(spark, sf_dir):
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).drop("sequence_id", "offset").collect())) == sorted(map(tuple, docs.drop("sequence_id", "offset").collect()))
 
 
+def test_every_stage_has_an_effect_in_sequence(spark, sf_dir):
+    """Each stage on what its predecessor kept, against plain twins where a twin is short, and the labels."""
+    sf_dir = sf_dir.replace("sf0.001", "sf0.01")
+    first = docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = [{r.doc_id: r for r in docs.collect()}]
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs = corpus_pipeline.materialize(stage(spark, docs, sf_dir), "stage")
+        kept.append({r.doc_id: r for r in docs.collect()})
+    assert all(set(b) < set(a) for a, b in itertools.pairwise(kept)), [len(k) for k in kept]
+    good, bad = ({r.doc_id for r in spark.read.parquet(f"{sf_dir}/labels.parquet").where(f"quality = {q}").collect()} for q in (1, 0))
+    assert bad & (set(kept[1]) - set(kept[2])) and len(good & (set(kept[0]) - set(kept[2]))) <= 0.02 * len(good)
+    # rules: what the base measures reject goes, and no text that neither repeats a word window or line nor has symbols
+    for d, r in kept[0].items():
+        words, _, symbols, lines, repeats, _ = B.repetition(r.text)
+        if not words or 100 * repeats > 50 * words or symbols > 2 * words:
+            assert d not in kept[1]
+        elif not repeats and not lines and not symbols:
+            assert d in kept[1]
+    # classifier: the rows that the scores of the same rows accept
+    left = first.where(F.col("doc_id").isin(list(kept[1])))
+    scores = rffquality.quality_scores(left, spark.read.parquet(f"{sf_dir}/labels.parquet")).collect()
+    assert {r.doc_id for r in scores if r.predicted} == set(kept[2])
+    groups = B.duplicate_groups([(d, r.text) for d, r in kept[2].items()], 5, 80, 100)
+    assert set(kept[3]) == {d for d, (_, _, best) in groups.items() if best}
+    # mixing: the query's SQL over these rows, with the pipeline's share and one epoch
+    con = duckdb.connect()
+    con.register("documents", first.where(F.col("doc_id").isin(list(kept[3]))).toArrow())
+    mixed = queries._mixing_sql().replace(f"{queries.SHARE}::DOUBLE", f"{corpus_pipeline.MIX_SHARE}::DOUBLE").replace(f") * {queries.EPOCHS})::BIGINT AS capacity", ") * 1)::BIGINT AS capacity").replace(f"::BIGINT, {queries.EPOCHS}) AS whole", "::BIGINT, 1) AS whole")
+    assert set(kept[4]) == {d for (d,) in con.sql(f"select doc_id from ({mixed})").fetchall()}
+    packed = corpus_pipeline.packing(spark, docs, sf_dir).collect()
+    tokens = {d: len(Tokenizer.from_file(queries.vocabulary("byte_bpe_50k.json")).encode(r.text or "", add_special_tokens=False).ids) + 1 for d, r in kept[4].items()}
+    held, used = {}, {}
+    for p in packed:
+        held[p.doc_id] = held.get(p.doc_id, 0) + p.length
+        used.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    assert held == tokens
+    for places in used.values():
+        ends = list(itertools.accumulate(n for _, n in sorted(places)))
+        assert [at for at, _ in sorted(places)] == [0, *ends[:-1]] and ends[-1] <= queries.TARGET
+
+
+def test_rows_of_one_id_and_other_texts_are_one_document(spark):
+    rows, _ = stage_corpus(spark)
+    one = [(7, t, "en", "src0") for t in (rows[3][1], rows[5][1], rows[9][1])]
+    for order in (one, one[::-1]):
+        got = corpus_pipeline.near_dedup(spark, B.frame(spark, [*order, *order, (None, None, "en", "src0")]).repartition(3), "").collect()
+        assert sorted((r.doc_id or -1, r.text or "") for r in got) == [(-1, ""), (7, min(t for _, t, *_ in one))]
+
+
 def test_empty_table_passes_through(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
