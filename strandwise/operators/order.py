@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandwise import schema as S
 from strandwise.functions import fields as X
-from strandwise.sources.files import materialize
+from strandwise.sources.files import left_join_counted, materialize
 
 
 def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
@@ -22,6 +22,42 @@ def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
     return rows.join(counts.select("__p", shift.alias("__s")), "__p").withColumn(name, F.col("__m") + F.col("__s")).drop("__p", "__m", "__s")
 
 
+def numbered_in(df: DataFrame, groups: list[str], order: list, name: str) -> DataFrame:
+    """Number the rows of each group from 0 in the order of the columns; no group is brought to one task.
+
+    All rows are numbered by (groups, order); a group's least number, from a partial aggregate, is taken off. Group columns
+    hold no nulls."""
+    rows = numbered(df, [*groups, *order], "__no")
+    first = materialize(rows.groupBy(*groups).agg(F.min("__no").alias("__least"), F.count(F.lit(1)).alias("__size")), "groups")
+    return left_join_counted(rows, first, groups, "__size").withColumn(name, F.col("__no") - F.col("__least")).drop("__no", "__least")
+
+
+_DIGIT = 16  # bits of a level
+
+
+def last_known(df: DataFrame, at: str, value: str, name: str) -> DataFrame:
+    """Add the nearest value that is not null at or above each row, by the row numbers `at` (0 or more, below 2^48).
+
+    Numbers are cut into blocks of 65 536, blocks into blocks of blocks, and those again; each level carries its last known
+    value on inside groups of 65 536 rows at most, so no window and no task gets all rows, whatever the values are."""
+    block, above = F.shiftright(at, _DIGIT), F.shiftright("__b", _DIGIT)
+    rows = df.withColumn("__b", block)
+
+    def closing(level: DataFrame, key: str, up: Column, known: str) -> DataFrame:
+        last = level.where(F.col(known).isNotNull()).groupBy(up.alias("__up")).agg(F.max_by(known, key).alias("__v"))
+        return level.select(up.alias("__up")).distinct().join(last, "__up", "left")
+
+    def before(groups: Column, key: str) -> Column:
+        return F.last("__v", True).over(Window.partitionBy(groups).orderBy(key).rowsBetween(Window.unboundedPreceding, -1))
+
+    blocks = materialize(closing(rows, at, block, value).withColumnRenamed("__up", "__b"), "blocks")  # a row for 65 536
+    supers = closing(blocks, "__b", above, "__v").withColumnRenamed("__up", "__s")
+    supers = supers.select("__s", before(F.shiftright("__s", _DIGIT), "__s").alias("__w"))
+    carried = blocks.select("__b", above.alias("__s"), before(above, "__b").alias("__c")).join(supers, "__s").select("__b", F.coalesce("__c", "__w").alias("__c"))
+    inside = F.last(value, True).over(Window.partitionBy("__b").orderBy(at))
+    return rows.withColumn("__i", inside).join(carried, "__b").withColumn(name, F.coalesce("__i", "__c")).drop("__b", "__i", "__c")
+
+
 def with_coordinates(lines: DataFrame, headers_first: bool = False) -> DataFrame:
     """Add rname, pos and valid by the strict parse; what does not parse has null coordinates.
 
@@ -56,10 +92,6 @@ def reference_dictionary(records: DataFrame, arrival: list[str], most: int | Non
     names = records.select(*files, *arrival, F.explode(F.array(F.struct(F.col("rname").alias("name"), F.lit(0).alias("side")), F.struct(F.col("rnext").alias("name"), F.lit(1).alias("side")))).alias("x"))
     names = names.select(*files, *arrival, "x.name", "x.side").where("name is not null and name <> '*' and not (side = 1 and name = '=')")
     seen = names.groupBy(*files, "name").agg(F.min(first).alias("first"))  # a row a name
-    if files:
-        tid = F.row_number().over(Window.partitionBy(*files).orderBy("first")) - 1
-        seen = materialize(seen, "names").withColumn("tid", tid.cast("long"))
-    else:
-        seen = numbered(seen, ["first"], "tid")
+    seen = numbered_in(seen, files, ["first"], "tid") if files else numbered(seen, ["first"], "tid")
     tid = F.col("tid") if most is None else F.when(F.col("tid") < most, F.col("tid")).otherwise(-1)
     return seen.select(*files, "name", tid.cast("long").alias("tid"))

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from strandwise import schema as S
 from strandwise.functions import fields as X
-from strandwise.operators.order import with_coordinates
-from strandwise.sources.files import materialize, small
+from strandwise.operators.order import last_known, numbered, with_coordinates
+from strandwise.sources.files import BROADCAST_ROWS, materialize, small
 
 
 def placed_reads(lines: DataFrame, chroms: DataFrame) -> DataFrame:
@@ -85,20 +85,43 @@ def overlaps(regions: DataFrame) -> DataFrame:
 REGION = ["chr", "region_start", "region_end"]
 
 
-def assign(points: DataFrame, regions: DataFrame, how: str = "inner", within: tuple[str, str] = ("region_start", "region_end")) -> DataFrame:
+def sweep(points: DataFrame, regions: DataFrame, how: str = "inner", within: tuple[str, str] = ("region_start", "region_end")) -> DataFrame:
+    """What `assign` gives, for lists too long to broadcast: points and regions are put in one order of (chromosome,
+    position), a region before the points at its start, and the last region is carried on to the points behind it.
+
+    Rows are numbered by a range exchange and carried over blocks of numbers, so neither a pile of points at one position
+    nor a region that holds most points is in one task."""
+    low, high = within
+    point = F.struct(*(F.col(c) for c in points.columns))
+    region = F.struct(*(F.col(c) for c in REGION), F.col(high).alias("__high"))
+    rows = points.select(F.col("rname").alias("__chr"), F.col("pos").alias("__pos"), F.lit(1).alias("__kind"), point.alias("__point")).unionByName(
+        regions.select(F.col("chr").alias("__chr"), F.col(low).alias("__pos"), F.lit(0).alias("__kind"), region.alias("__region")), allowMissingColumns=True
+    )
+    rows = last_known(numbered(rows, ["__chr", "__pos", "__kind"], "__no"), "__no", "__region", "__hit").where("__kind = 1")
+    held = (F.col("__hit.chr") == F.col("__chr")) & (F.col("__pos") <= F.col("__hit.__high"))
+    found = rows.withColumn("__hit", F.when(held, F.col("__hit")))
+    found = found if how == "left" else found.where("__hit is not null")
+    return found.select(*(F.col("__point")[c].alias(c) for c in points.columns if c not in REGION), *(F.col("__hit")[c].alias(c) for c in REGION))
+
+
+def assign(points: DataFrame, regions: DataFrame, how: str = "inner", within: tuple[str, str] = ("region_start", "region_end"), most: int = BROADCAST_ROWS) -> DataFrame:
     """Join points (rname, pos) with the region (chr, region_start, region_end) that holds them.
 
     Regions are spread over tiles about as wide as the mean region, so that a point meets a few regions however many
     there are: the join is an equality on (chromosome, tile) with a range check. The spans `within` (the regions' own
-    columns, else further ones) must not overlap. Columns of `points` that are named like a region's are replaced."""
+    columns, else further ones) must not overlap. Columns of `points` that are named like a region's are replaced. A list
+    whose tiles are more than `most` is swept instead."""
     low, high = within
     regions = materialize(regions.select(*REGION, F.col(low).alias("__low"), F.col(high).alias("__high")), "regions")
     span = regions.agg(F.max("__high"), F.count(F.lit(1)), F.count_distinct("chr")).first()
+    tiled = 2 * span[1] + span[2]  # a region meets two tiles on average
+    if tiled > most:
+        return sweep(points, regions, how, ("__low", "__high"))
     width = max(1, math.ceil((span[0] or 1) * max(span[2], 1) / max(span[1], 1)))
     tiles = regions.withColumn("__tile", F.explode(F.sequence(F.floor(F.col("__low") / width), F.floor(F.col("__high") / width))))
     left = points.drop(*REGION).withColumn("__point", F.floor(F.col("pos") / width))
     match = (F.col("rname") == F.col("chr")) & (F.col("__point") == F.col("__tile")) & F.col("pos").between(F.col("__low"), F.col("__high"))
-    return left.join(small(tiles, 2 * span[1] + span[2]), match, how).drop("__tile", "__point", "__low", "__high")  # a region meets two tiles on average
+    return left.join(F.broadcast(tiles), match, how).drop("__tile", "__point", "__low", "__high")
 
 
 def probed(regions: DataFrame, most: int = S.MAX_LISTED_REGIONS) -> DataFrame:

@@ -21,6 +21,11 @@ def sort_lines(lines: DataFrame, policy: str = S.COMPAT) -> DataFrame:
     return O.coordinate_sort(lines, policy)
 
 
+def named_records(parsed: DataFrame) -> DataFrame:
+    """Parsed lines as the dictionary counts them: a name in the last field that an empty one ends is none."""
+    return parsed.withColumns({c: F.when(F.col("n_fields") > k, F.col(c)) for c, k in (("rname", 2), ("rnext", 6))})
+
+
 def mark_lines(lines: DataFrame, policy: str = S.COMPAT, most_names: int | None = None, presorted: bool = False) -> DataFrame:
     """Records with tid, mate_tid, score, is_dup, flag_out and line_out.
 
@@ -31,7 +36,7 @@ def mark_lines(lines: DataFrame, policy: str = S.COMPAT, most_names: int | None
     if presorted:
         parsed = O.with_coordinates(parsed.withColumnsRenamed({"rname": "name", "pos": "place"})).withColumnsRenamed({"rname": "c_rname", "pos": "c_pos", "name": "rname", "place": "pos", "valid": "c_valid"})
         arrival = ["c_valid", "c_rname", "c_pos", "line_no"]
-    names = O.reference_dictionary(parsed.withColumn("rname", F.when(F.col("n_fields") > 2, F.col("rname"))).withColumn("rnext", F.when(F.col("n_fields") > 6, F.col("rnext"))), arrival, most_names)
+    names = O.reference_dictionary(named_records(parsed), arrival, most_names)
     marked = D.mark_duplicates(D.records(parsed), policy, names=names if most_names is not None else None)
     out = D.with_tids(marked, names)
     return out.withColumn("line_out", X.rewritten(F.col("line"), F.col("flag_out")))
@@ -106,5 +111,15 @@ def check_folder(spark: SparkSession, folder: str, max_file_bytes: int | None =
     return checked, C.file_outcomes(catalog, checked)
 
 
+def write_fates(lines: DataFrame, regions: DataFrame, path: str, policy: str = S.COMPAT, mode: str = "errorifexists") -> DataFrame:
+    """Write every line once, in a folder of its fate (see regions.fates) with the region of placed ones, as Parquet; one
+    pass. strict: malformed lines raise once all is written, so that they can be looked at. Returns (fate, n)."""
+    R.fates(lines, regions).select("fate", F.when(F.col("region_start").isNotNull(), F.concat_ws("_", *R.REGION)).alias("region"), "line_no", "line").write.mode(mode).partitionBy("fate").parquet(path)
+    counts = lines.sparkSession.read.schema("region string, line_no long, line string, fate string").parquet(path).groupBy("fate").agg(F.count(F.lit(1)).alias("n"))
+    if policy == S.STRICT and (bad := counts.where("fate = 'malformed'").first()):
+        raise ValueError(f"{bad.n} malformed lines, in {path}/fate=malformed")
+    return counts
+
+
 def tiled_split(lines: DataFrame, chroms: DataFrame, tiles: int = S.TILES) -> DataFrame:
     return R.static_assign(lines, chroms, tiles).where("rid is not null")

@@ -11,8 +11,9 @@ from strandwise import fixtures as X
 from strandwise import schema as S
 from strandwise.functions import fields as C
 from strandwise.operators import checks, duplicates, order, regions
-from strandwise.plans import modes
+from strandwise.plans import modes, report
 from strandwise.sources import files, named, text
+from strandwise.streaming import files as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -176,7 +177,7 @@ def header_block(spark, d):
 @query("ref_dict", _with(SAM, _records("dirty"), _dictionary("line_no"), select="SELECT name, tid FROM dict"))
 def ref_dict(spark, d):
     parsed = text.parse(text.scan_records(dirty(spark, d)))
-    return order.reference_dictionary(parsed.withColumn("rname", F.when(F.col("n_fields") > 2, F.col("rname"))).withColumn("rnext", F.when(F.col("n_fields") > 6, F.col("rnext"))), ["line_no"])
+    return order.reference_dictionary(modes.named_records(parsed), ["line_no"])
 
 
 @query("dup_groups", _with(SAM, _records("dirty"), MARKED, select=f"SELECT {KEY}, count(*)::BIGINT AS group_size, count(*) FILTER (is_dup)::BIGINT AS n_dup FROM marked GROUP BY ALL"))
@@ -427,15 +428,7 @@ def region_path(spark, d):
     ),
 )
 def run_summary(spark, d):
-    lines = dirty(spark, d)
-    parsed = text.parse(text.scan_records(lines))
-    marked = duplicates.mark_duplicates(duplicates.records(parsed))
-    one = lambda df, **kw: df.agg(*(c.alias(n) for n, c in kw.items())).selectExpr(f"stack({len(kw)}, {', '.join(f'{n!r}, {n}' for n in kw)}) AS (metric, value)")
-    return (
-        one(lines, lines=F.count(F.lit(1)), headers=F.count_if(C.is_header(F.col("line"))))
-        .unionByName(one(marked, records=F.count(F.lit(1)), duplicates=F.count_if("is_dup")))
-        .unionByName(one(parsed, dropped=F.count_if(F.col("n_fields") < S.MIN_FIELDS)))
-    )
+    return report.run_counters(dirty(spark, d))
 
 
 @query("write_region_files", _with(*REGIONS, select="SELECT concat_ws('_', chr, region_start, region_end) AS region, (count(*) + 3)::BIGINT AS n_lines FROM placed GROUP BY 1", recursive=True))
@@ -485,13 +478,14 @@ def write_tile_files(spark, d):
     return _file_counts(spark, f"{path}/files")
 
 
-LARGE_FILE = 600
+LARGE_FILE, CHECKED_TILES = 2_700, 2_048
+_FEWER = lambda sql: sql.replace("6144", str(CHECKED_TILES)).replace("6143", str(CHECKED_TILES - 1))
 
 
 @query(
     "file_catalog",
     _with(
-        SAM, CHROMS, _OFFSETS, _LOOSE, _coordinates("dirty", True), _TILES,
+        SAM, CHROMS, _FEWER(_OFFSETS), _FEWER(_LOOSE), _coordinates("dirty", True), _FEWER(_TILES),
         f"""tile_line AS (SELECT tiles.rid, chr, region_start, region_end, pt.rname, pt.pos, pt.valid, pt.line FROM tiled JOIN tiles USING (rid) JOIN pt USING (line_no)),
 tile_size AS (SELECT tiles.rid, coalesce(sum(strlen(line) + 1), 0)::BIGINT AS bytes, coalesce(bool_or(valid AND rname <> '*' AND pos > 0 AND (rname <> tiles.chr OR pos NOT BETWEEN tiles.region_start AND tiles.region_end)), false) AS bad FROM tiles LEFT JOIN tile_line USING (rid) GROUP BY 1)""",
         select=f"SELECT outcome, count(*)::BIGINT AS n, sum(bytes)::BIGINT AS bytes FROM (SELECT bytes, CASE WHEN bytes > {LARGE_FILE} THEN 'skipped' WHEN bytes = 0 THEN 'empty' WHEN bad THEN 'failed' ELSE 'read' END AS outcome FROM tile_size) GROUP BY 1",
@@ -499,7 +493,7 @@ tile_size AS (SELECT tiles.rid, coalesce(sum(strlen(line) + 1), 0)::BIGINT AS by
 )
 def file_catalog(spark, d):
     path = files.scratch_path(spark, "tiles")
-    modes.write_tiles(dirty(spark, d), chroms(spark), path)
+    modes.write_tiles(dirty(spark, d), chroms(spark), path, CHECKED_TILES)
     outcomes = modes.check_folder(spark, f"{path}/files", LARGE_FILE)[1]
     return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
 
@@ -572,6 +566,47 @@ def read_ranges(spark, d):
     return lines.select(F.regexp_extract("file", "file_no=([0-9]+)", 1).cast("long").alias("file_no"), "line_no", "line")
 
 
+@query("stream_sort", ORACLES["process_sort"])
+def stream_sort(spark, d):
+    source, path, checkpoint = (files.scratch_path(spark, x) for x in ("arriving", "sorted", "stream"))
+    lines = dirty(spark, d).withColumn("name", F.concat(F.lit("f"), (F.col("line_no") % 3).cast("string"), F.lit(".sam")))
+    named.write_named_files(lines, source, "name", ["line_no"])
+    for _ in range(2):  # the second run finds nothing left to do
+        streams.process_stream(spark, source, path, "sort", checkpoint, files=2).awaitTermination()
+    return text.read_lines(spark, path).select(F.substring_index("file", "/", -1).alias("name"), F.col("line_no").alias("ord"), "line")
+
+
+_FATES = r"""listed_chr AS (SELECT DISTINCT chr FROM listed),
+fated AS (SELECT pt.line_no, CASE WHEN starts_with(line, '@') THEN 'header' WHEN regexp_replace(line, '\r+$', '') = '' THEN 'blank' WHEN NOT valid THEN 'malformed' WHEN rname = '*' OR pos < 1 THEN 'unplaced'
+  WHEN rname NOT IN (SELECT chr FROM listed_chr) THEN 'other_chr' WHEN spl.line_no IS NULL THEN 'gap' ELSE 'placed' END AS fate FROM pt LEFT JOIN spl ON spl.line_no = pt.line_no)"""
+
+
+@query("line_fates", _with(SAM, X.REGION_LINES_SQL, _LIST, _coordinates("dirty", True), _SPLIT, _FATES, select="SELECT fate, count(*)::BIGINT AS n FROM fated GROUP BY 1"))
+def line_fates(spark, d):
+    return modes.write_fates(dirty(spark, d), _listed(spark).drop("line_no"), files.scratch_path(spark, "fates"))
+
+
+@query("sweep_regions", ORACLES["assign_region"])
+def sweep_regions(spark, d):
+    used = regions.used_reads(dirty(spark, d), chroms(spark))
+    found = modes.weighted_regions(dirty(spark, d), chroms(spark), X.TARGET)
+    return regions.sweep(used.select("line_no", "rname", "pos"), found).select("line_no", *regions.REGION)
+
+
+@query(
+    "file_dicts",
+    _with(
+        SAM, _records("dirty"),
+        """fnames AS (SELECT line_no % 3 AS k, rname AS name, line_no AS a, 0 AS side FROM rec WHERE n_fields > 2 AND rname <> '*' UNION ALL SELECT line_no % 3, rnext, line_no, 1 FROM rec WHERE n_fields > 6 AND rnext NOT IN ('*', '=')),
+ffirst AS (SELECT k, name, min(struct_pack(a := a, side := side)) AS first FROM fnames GROUP BY 1, 2)""",
+        select="SELECT 'f' || k || '.sam' AS file, name, (row_number() OVER (PARTITION BY k ORDER BY first) - 1)::BIGINT AS tid FROM ffirst",
+    ),
+)
+def file_dicts(spark, d):
+    lines = dirty(spark, d).withColumn("file", F.concat(F.lit("f"), (F.col("line_no") % 3).cast("string"), F.lit(".sam")))
+    return order.reference_dictionary(modes.named_records(text.parse(text.scan_records(lines))), ["line_no"])
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

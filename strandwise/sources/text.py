@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandwise import schema as S
 from strandwise.functions import fields as X
+from strandwise.operators.order import last_known
 from strandwise.sources.files import materialize, small
 
 
@@ -86,21 +87,14 @@ def typed(lines: DataFrame) -> DataFrame:
 def fasta_lengths(lines: DataFrame, wanted: Column | None = None, blanks: bool = False) -> DataFrame:
     """(name, length, ord) of FASTA lines (line_no, line): bytes of sequence, by first appearance of the name.
 
-    Blanks and tabs before a name are skipped; it ends at the next one. `blanks`: blanks and tabs inside sequence lines count. Sequence lines before
-    any name are ignored. The name of a line is the nearest one above: names are ranked over blocks of lines, so the
-    sequence is never sorted as a whole."""
+    Blanks and tabs before a name are skipped; it ends at the next one. `blanks`: blanks and tabs inside sequence lines
+    count. Sequence lines before any name are ignored. The name of a line is the nearest one above, carried over blocks of
+    lines, so no task gets all of them."""
     head = F.col("line").startswith(">")
     name = F.regexp_extract("line", r"^>[ \t]*([^ \t\r]*)", 1)
-    skip = r"[\r\n]" if blanks else r"[ \t\r\n]"
-    size = F.octet_length(F.regexp_replace("line", skip, ""))
-    block = F.floor(F.col("line_no") / 65536)
-    rows = lines.select("line_no", block.alias("block"), F.when(head, name).alias("own"), F.when(head, 0).otherwise(size).cast("long").alias("size"))
-    last = rows.where("own is not null").groupBy("block").agg(F.max(F.struct("line_no", "own"))["own"].alias("closing"))
-    blocks = rows.select("block").distinct().join(last, "block", "left")
-    carry = F.last("closing", True).over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1))  # a row for 65536 lines
-    blocks = blocks.select("block", carry.alias("carried"))
-    inside = F.last("own", True).over(Window.partitionBy("block").orderBy("line_no"))
-    named = rows.withColumn("inside", inside).join(blocks, "block").select(F.coalesce("inside", "carried").alias("name"), "size", F.when(F.col("own").isNotNull(), F.col("line_no")).alias("at"))
+    size = F.octet_length(F.regexp_replace("line", r"[\r\n]" if blanks else r"[ \t\r\n]", ""))
+    rows = lines.select("line_no", F.when(head, name).alias("own"), F.when(head, 0).otherwise(size).cast("long").alias("size"))
+    named = last_known(rows, "line_no", "own", "name").withColumn("at", F.when(F.col("own").isNotNull(), F.col("line_no")))
     out = named.where("name is not null").groupBy("name").agg(F.sum("size").alias("length"), F.min("at").alias("ord"))
     return out if wanted is None else out.where(wanted)
 
