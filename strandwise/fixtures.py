@@ -46,9 +46,15 @@ TARGET = 20_000
 REGION_LINES = [
     "# chr start end", "chr1\t1\t10000", "chr1 10001 20000 more columns", "  chr2\t\t5000   30000  ", "", "chr10 1 40000", "chrX\t1\t999", "chrX\t1500\t40000", "   # nothing", "chrM 1 40000",
 ]
-REGION_NAMES = [
-    "chr1_1_10.sam", "chr1_1_10_7.sam.sorted.sam", "chr1_alt_1_10.sam", "x.sam", "chr1_0_5.sam", "chr2_5_4.sam", "chr2_5_40.sam", "chr2_5_40_3.sam", "chr1_1_10", "chrX_1_2x.sam",
-]
+#: A line of a region list for each order: regions of 100 bases that do not overlap, written in all the ways a list allows.
+LIST_SQL = """SELECT CAST(ok AS BIGINT) AS line_no, CASE WHEN ok % 11 = 0 THEN concat('  # order ', ok) WHEN ok % 13 = 0 THEN '' WHEN ok % 5 = 0 THEN concat_ws(chr(9), c, s, e)
+  WHEN ok % 5 = 1 THEN concat('  ', c, chr(9), chr(9), s, '   ', e, '  ') WHEN ok % 5 = 2 THEN concat_ws(' ', c, s, e, 'more', 'columns') WHEN ok % 5 = 3 THEN concat(c, ' +', s, ' ', e, chr(13)) ELSE concat_ws(' ', c, s, e) END AS line
+  FROM (SELECT ok, concat('chr', CAST(1 + ok % 22 AS VARCHAR(20))) AS c, CAST(1 + 100 * ok AS VARCHAR(20)) AS s, CAST(100 * (ok + 1) AS VARCHAR(20)) AS e FROM (SELECT DISTINCT o_orderkey AS ok FROM {src}) t) u"""
+
+#: A name of a region file for each order, a third of them names that declare no region.
+NAMES_SQL = """SELECT CAST(ok AS BIGINT) AS line_no, CASE ok % 10 WHEN 0 THEN concat('chr', k, '_1_', k, '.sam') WHEN 1 THEN concat('chr', k, '_1_', k, '_7.sam.sorted.sam') WHEN 2 THEN concat('chr', k, '_alt_1_10.sam') WHEN 3 THEN concat('x', k, '.sam')
+  WHEN 4 THEN concat('chr', k, '_0_5.sam') WHEN 5 THEN concat('chr', k, '_5_4.sam') WHEN 6 THEN concat('chr2_5_', CAST(5 + ok % 7 AS VARCHAR(20)), '.sam') WHEN 7 THEN concat('chr', k, '_1_10') WHEN 8 THEN concat('chrX_1_', k, 'x.sam')
+  ELSE concat(repeat('n', 130), '_+3_', k, '3.sam') END AS line FROM (SELECT ok, CAST(ok AS VARCHAR(20)) AS k FROM (SELECT DISTINCT o_orderkey AS ok FROM {src}) t) u"""
 
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
@@ -98,13 +104,19 @@ def _values(name: str, rows: list[str]) -> str:
 
 
 REGION_LINES_SQL = _values("region_lines", REGION_LINES)
-REGION_NAMES_SQL = _values("region_names", REGION_NAMES)
+REGION_NAMES_SQL = f"region_names(line_no, line) AS ({NAMES_SQL.format(src='orders')})"
+LONG_LIST_SQL = f"region_lines(line_no, line) AS ({LIST_SQL.format(src='orders')})"
 
 
 def constant_lines(spark: SparkSession, rows: list[str]) -> DataFrame:
     return spark.createDataFrame(list(enumerate(rows)), "line_no long, line string")
 
 
+def order_lines(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """Lines of LIST_SQL or NAMES_SQL."""
+    return spark.sql(sql.format(src="{orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"))
+
+
 def fasta_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(line_no, line): a name line for each document, some with blanks before the name, then its text's lines."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -249,8 +249,7 @@ def fasta_lengths(spark, d):
 
 @query("fasta_offsets", _with(X.FASTA_SQL, _FASTA.format(skip=""), select=f"SELECT name, length, coalesce(sum(length) OVER (ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS \"offset\" FROM flen WHERE {_WANTED.format(plus='[+]?')}"))
 def fasta_offsets(spark, d):
-    lengths = text.fasta_lengths(X.fasta_lines(spark, d), C.wanted_tiled(F.col("name")), blanks=True)
-    return regions.offsets(lengths).select("name", "length", "offset")
+    return regions.offsets(_fasta_chroms(spark, d)).select("name", "length", "offset")
 
 
 @query("bin_weights", _with(SAM, CHROMS, _coordinates("dirty", True), USED, BINS, select="SELECT rname, bin, weight FROM bins"))
@@ -301,9 +300,9 @@ def _listed(spark) -> DataFrame:
     return text.parse_region_list(X.constant_lines(spark, X.REGION_LINES))
 
 
-@query("parse_region_list", _with(X.REGION_LINES_SQL, _LIST, select="SELECT chr, region_start, region_end FROM listed"))
+@query("parse_region_list", _with(X.LONG_LIST_SQL, _LIST, select="SELECT chr, region_start, region_end FROM listed"))
 def parse_region_list(spark, d):
-    return _listed(spark).select("chr", "region_start", "region_end")
+    return text.parse_region_list(X.order_lines(spark, d, X.LIST_SQL), most=None).select("chr", "region_start", "region_end")
 
 
 @query("split_by_list", _with(SAM, X.REGION_LINES_SQL, _LIST, _coordinates("dirty", True), _SPLIT, select="SELECT line_no, region FROM spl"))
@@ -325,19 +324,19 @@ fn2 AS (SELECT *, coalesce(sam AND s > 0 AND s <= e, false) AS ok FROM fn1),
 rn AS (SELECT name, ok, CASE WHEN ok THEN f[1] END AS chr, CASE WHEN ok THEN s END AS region_start, CASE WHEN ok THEN e END AS region_end FROM fn2)"""
 
 
-def _names(spark) -> DataFrame:
-    return X.constant_lines(spark, X.REGION_NAMES).select(F.col("line").alias("name"))
+def _names(spark, d) -> DataFrame:
+    return X.order_lines(spark, d, X.NAMES_SQL).select(F.col("line").alias("name"))
 
 
 @query("parse_region_filename", _with(X.REGION_NAMES_SQL, _NAMES, select="SELECT name, chr, region_start, region_end, ok, suffix(name, '.sam') AS ends_so FROM rn"))
 def parse_region_filename(spark, d):
-    rows = _names(spark).withColumn("r", text.region_of_name(F.col("name")))
+    rows = _names(spark, d).withColumn("r", text.region_of_name(F.col("name")))
     return rows.select("name", "r.chr", "r.region_start", "r.region_end", F.col("r").isNotNull().alias("ok"), C.has_suffix(F.col("name"), ".sam").alias("ends_so"))
 
 
 @query("region_catalog", _with(X.REGION_NAMES_SQL, _NAMES, select="SELECT DISTINCT chr, region_start, region_end FROM rn WHERE ok"))
 def region_catalog(spark, d):
-    return checks.region_catalog(_names(spark))
+    return checks.region_catalog(_names(spark, d))
 
 
 _CHECK = f"""{_coordinates("dirty", True)},
@@ -373,17 +372,25 @@ lp AS (SELECT line_no, CASE WHEN len(f) >= 4 THEN f[3] END AS rname, CASE WHEN l
 tiled AS (SELECT line_no, CASE WHEN rname <> '*' AND pos > 0 THEN o + pos - 1 END AS g, CASE WHEN o IS NOT NULL AND rname <> '*' AND pos > 0 THEN least((o + pos - 1) // width, 6143)::BIGINT END AS rid FROM lp LEFT JOIN off ON name = rname CROSS JOIN tot)"""
 
 
+#: Chromosomes by the FASTA made of documents.
+_FASTA_CHROMS = (X.FASTA_SQL, _FASTA.format(skip=""), f"chroms AS (SELECT name, length, ord FROM flen WHERE {_WANTED.format(plus='[+]?')})")
+
+
+def _fasta_chroms(spark, d) -> DataFrame:
+    return text.fasta_lengths(X.fasta_lines(spark, d), C.wanted_tiled(F.col("name")), blanks=True)
+
+
 @query(
     "static_regions",
     _with(
-        CHROMS,
+        *_FASTA_CHROMS,
         _OFFSETS,
         """t AS (SELECT r AS rid, least(r * width, total - 1) AS a, least((r + 1) * width, total) - 1 AS b FROM range(6144) x(r), tot)""",
         select="SELECT rid::BIGINT AS rid, name AS chr, (a - o + 1)::BIGINT AS region_start, least(b - o + 1, length)::BIGINT AS region_end FROM t JOIN off ON a >= o AND a < o + length",
     ),
 )
 def static_regions(spark, d):
-    return regions.static_regions(chroms(spark))
+    return regions.static_regions(_fasta_chroms(spark, d))
 
 
 @query("global_coord", _with(SAM, CHROMS, _OFFSETS, _LOOSE, select="SELECT line_no, g::BIGINT AS g FROM tiled WHERE g IS NOT NULL"))
@@ -407,7 +414,7 @@ _MODES = {"sort": ".sorted.sam", "markdup": ".markdup.sam", "all": ".sorted.mark
 
 @query("output_name", _with(X.REGION_NAMES_SQL, "m(mode, suffix) AS (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in _MODES.items()) + ")", select="SELECT line AS input, mode, left(string_split(line, '.sam')[1], 127) || suffix AS name FROM region_names, m"))
 def output_name(spark, d):
-    named = [_names(spark).select(F.col("name").alias("input"), F.lit(m).alias("mode"), C.output_name(F.col("name"), m).alias("name")) for m in _MODES]
+    named = [_names(spark, d).select(F.col("name").alias("input"), F.lit(m).alias("mode"), C.output_name(F.col("name"), m).alias("name")) for m in _MODES]
     return named[0].unionByName(named[1]).unionByName(named[2]).unionByName(named[3])
 
 
@@ -502,10 +509,10 @@ def _read_list(spark, path: str) -> DataFrame:
     return text.parse_region_list(text.read_lines(spark, path), S.TILES).select("line_no", "chr", "region_start", "region_end")
 
 
-@query("write_tile_list", _with(CHROMS, _OFFSETS, _TILES, select="SELECT rid::BIGINT AS line_no, chr, region_start, region_end FROM tiles"))
+@query("write_tile_list", _with(*_FASTA_CHROMS, _OFFSETS, _TILES, select="SELECT rid::BIGINT AS line_no, chr, region_start, region_end FROM tiles"))
 def write_tile_list(spark, d):
     path = files.scratch_path(spark, "tile-list")
-    files.write_region_list(regions.static_regions(chroms(spark)), path, sep=" ")
+    files.write_region_list(regions.static_regions(_fasta_chroms(spark, d)), path, sep=" ")
     return _read_list(spark, path)
 
 

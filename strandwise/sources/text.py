@@ -99,8 +99,9 @@ def fasta_lengths(lines: DataFrame, wanted: Column | None = None, blanks: bool =
     return out if wanted is None else out.where(wanted)
 
 
-def parse_region_list(lines: DataFrame, most: int = S.MAX_LISTED_REGIONS) -> DataFrame:
-    """(line_no, chr, region_start, region_end) of a region list; any bad line fails the load.
+def parse_region_list(lines: DataFrame, most: int | None = S.MAX_LISTED_REGIONS) -> DataFrame:
+    """(line_no, chr, region_start, region_end) of a region list; any bad line fails the load, as do more than `most` regions
+    (None: any number).
 
     Blank lines and lines that start with # are skipped; columns beyond the third are ignored."""
     rows = lines.withColumn("t", F.regexp_replace("line", r"^[ \t\r\n]+|[ \t\r\n]+\z", "")).where((F.col("t") != "") & ~F.col("t").startswith("#"))
@@ -111,7 +112,7 @@ def parse_region_list(lines: DataFrame, most: int = S.MAX_LISTED_REGIONS) -> Dat
     bad = rows.where(~good).select("line").take(1)
     if bad:
         raise ValueError(f"bad region line: {bad[0][0]!r}")
-    if checked.limit(most + 1).count() > most:
+    if most is not None and checked.limit(most + 1).count() > most:
         raise ValueError(f"more than {most} regions")
     return checked.select("line_no", "chr", "region_start", "region_end")
 

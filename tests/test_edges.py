@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from strandwise import schema as S
 from strandwise.functions import fields as C
 from strandwise.operators import checks, duplicates, order, regions
-from strandwise.plans import modes
+from strandwise.plans import modes, report
 from strandwise.sources import files, named, text
+from strandwise.streaming import files as streams
 from strandwise.streaming.files import running_counts, stream_lines
 
 
@@ -484,3 +485,134 @@ def test_fates_add_up(spark):
     got = regions.fates(lines_of(spark, rows).withColumn("fate", F.lit("own")), listed)
     assert [r.fate for r in got.orderBy("line_no").collect()] == ["header", "blank", "blank", "malformed", "unplaced", "unplaced", "other_chr", "gap", "placed", "gap"]
     assert tuple(regions.split_stats(lines_of(spark, rows), listed).first()) == (7, 1)
+
+
+@pytest.mark.parametrize("digit", [1, 2, 16])
+def test_last_known_values_are_carried_over_blocks(spark, monkeypatch, digit):
+    monkeypatch.setattr(order, "_DIGIT", digit)
+    rng = random.Random(digit)
+    n = 1 << min(3 * digit, 7)  # what three levels hold
+    rows = [(k, f"v{k}" if rng.random() < 0.1 else None) for k in range(3, n)]
+    got = order.last_known(spark.createDataFrame(rows, "at long, v string").repartition(3), "at", "v", "known")
+    want, last = {}, None
+    for k, v in rows:
+        last = v or last
+        want[k] = last
+    assert {r["at"]: r.known for r in got.collect()} == want
+    assert order.last_known(spark.createDataFrame([], "at long, v string"), "at", "v", "known").count() == 0
+
+
+def test_fasta_has_no_single_task(spark):
+    plan = text.fasta_lengths(lines_of(spark, [">a", "AC"]))
+    plan.collect()
+    assert "SinglePartition" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_sweep_is_the_tiled_join(spark, how):
+    rng, spans = random.Random(6), []
+    for name in ("chr1", "chr2", "chr9"):
+        at = 1
+        while at < 3000:
+            size = rng.choice([1, 5, 40, 700])
+            spans.append((name, at, at + size - 1))
+            at += size + rng.choice([0, 0, 3, 100])
+    listed = spark.createDataFrame(spans, S.REGIONS)
+    points = [(k, rng.choice(["chr1", "chr2", "chr3", None]), rng.choice([rng.randrange(-3, 3200), 50, None])) for k in range(2000)]
+    points = spark.createDataFrame(points, "line_no long, rname string, pos long").withColumn("chr", F.lit("own"))
+    tiled = sorted(map(tuple, regions.assign(points, listed, how).collect()), key=repr)
+    assert sorted(map(tuple, regions.sweep(points, listed, how).collect()), key=repr) == tiled
+    assert sorted(map(tuple, regions.assign(points, listed, how, most=10).collect()), key=repr) == tiled
+    assert regions.sweep(points.where("false"), listed).count() == 0 and regions.sweep(points, listed.where("false")).count() == 0
+
+
+def test_numbers_inside_groups(spark):
+    rows = [("a" if k % 3 else "b", -k, k) for k in range(500)]
+    got = order.numbered_in(spark.createDataFrame(rows, "g string, o long, k long").repartition(5), ["g"], ["o"], "no").collect()
+    for g in "ab":
+        mine = sorted((r.o, r.no) for r in got if r.g == g)
+        assert [n for _, n in mine] == list(range(len(mine)))
+
+
+def test_a_stream_that_starts_again_writes_each_file_once(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    os.mkdir(source)
+
+    def add(*names):
+        for k, n in enumerate(names):
+            with open(f"{source}/{n}.sam", "w") as f:
+                f.write("@HD\n" + rec("b", 0, "chr2", k + 1) + "\n" + rec("a", 0, "chr1", 9) + "\n")
+
+    def run():
+        query = streams.process_stream(spark, source, out, "sort", checkpoint, files=2)
+        query.awaitTermination(120)
+        assert query.exception() is None
+
+    add("one", "two", "three")
+    run()
+    written = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "out").glob("*.sam")}
+    assert set(written) == {f"{n}.sorted.sam" for n in ("one", "two", "three")}
+    run()  # nothing new
+    # a batch whose end never reached the checkpoint comes again under its number
+    for commit in (tmp_path / "check/commits").iterdir():
+        if commit.name.strip(".").startswith("1"):
+            commit.unlink()
+    run()
+    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "out").glob("*.sam")} == written
+    add("four")
+    run()
+    done = sorted((r.batch, r.name, r.n_lines) for r in streams.batches_done(spark, out).collect())
+    assert [n for _, n, _ in sorted(done, key=lambda r: r[1])] == [f"{n}.sorted.sam" for n in ("four", "one", "three", "two")]
+    assert all(n == 3 for _, _, n in done) and len({b for b, _, _ in done}) == 3
+    assert (tmp_path / "out/four.sorted.sam").read_text().split("\n")[1].startswith("a\t")
+
+
+def test_a_batch_without_manifest_is_done_again(spark, tmp_path):
+    (tmp_path / "x.sam").write_text(rec("a", 0, "chr1", 9) + "\n")
+    out, batch = str(tmp_path / "out"), spark.createDataFrame([(f"file://{tmp_path}/x.sam",)], "file string")
+    streams.process_batch(batch, 0, out, "sort")
+    manifest = next((tmp_path / "out/_batches/000000000").glob("_SUCCESS"))
+    manifest.unlink()  # as if the driver had died before the batch's end
+    (tmp_path / "out/x.sorted.sam").write_text("half")
+    streams.process_batch(batch, 0, out, "sort")
+    assert (tmp_path / "out/x.sorted.sam").read_text() == rec("a", 0, "chr1", 9) + "\n"
+    assert [tuple(r)[2:] for r in streams.batches_done(spark, out).collect()] == [("x.sorted.sam", 1)]
+
+
+def test_reports_count_in_the_writing_pass(spark):
+    rows = ["@HD", "", "short\t0", rec("a", 0, "chr1", 5), rec("b", 0, "chr1", 5), "@CO"]
+    run = report.Report()
+    with run.step("mark"):
+        got = {r.metric: r.value for r in report.run_counters(lines_of(spark, rows)).collect()}
+    assert got == {"lines": 6, "headers": 2, "dropped": 1, "records": 2, "duplicates": 1}
+    with run.step("write"), run.step("mark"):
+        run.counted(lines_of(spark, rows), n=F.count(F.lit(1))).write.format("noop").mode("overwrite").save()
+    times = run.times(spark).collect()
+    assert [r.step for r in times] == ["mark", "write"] and abs(sum(r.percent for r in times) - 100) < 1e-6 and run.counters() == {"n": 6}
+    assert {r.metric: r.value for r in report.run_counters(lines_of(spark, [])).collect()} == dict.fromkeys(got, 0)
+
+
+def test_counters_take_one_scan(spark, tmp_path):
+    lines_of(spark, ["@HD", rec("a", 0, "chr1", 5)]).write.parquet(str(tmp_path / "l"))
+    lines = spark.read.parquet(str(tmp_path / "l"))
+    chroms = spark.createDataFrame([("chr1", 10, 0)], "name string, length long, ord long")
+    listed = spark.createDataFrame([("chr1", 1, 10)], S.REGIONS)
+    for df in (checks.load_stats(lines, chroms), regions.split_stats(lines, listed)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("line#") and str(df._jdf.queryExecution().executedPlan()).count(f"{tmp_path}/l") == 1
+        assert tuple(df.first()) == (1, 1)
+
+
+def test_lines_written_by_fate(spark, tmp_path):
+    listed = spark.createDataFrame([("chr1", 1, 10)], S.REGIONS)
+    lines = lines_of(spark, ["@HD", "x", rec("a", 0, "chr1", 5), rec("b", 0, "chr2", 5)])
+    got = {r.fate: r.n for r in modes.write_fates(lines, listed, str(tmp_path / "f")).collect()}
+    assert got == {"header": 1, "malformed": 1, "placed": 1, "other_chr": 1}
+    with pytest.raises(ValueError, match="1 malformed"):
+        modes.write_fates(lines, listed, str(tmp_path / "g"), S.STRICT)
+    assert [r.region for r in spark.read.parquet(str(tmp_path / "g")).where("fate = 'placed'").collect()] == ["chr1_1_10"]
+    assert modes.write_fates(lines.where("line_no <> 1"), listed, str(tmp_path / "h"), S.STRICT).count() == 3
+    with pytest.raises(ValueError, match="overlap"):
+        regions.fates(lines, listed.union(listed))
+    # regions of a chromosome in the order of start and end
+    spans = [("chr1", 5, 9), ("chr1", 5, 7), ("chr1", 1, 4)]
+    assert [tuple(r) for r in regions.overlaps(spark.createDataFrame(spans, S.REGIONS)).collect()] == [("chr1", 5, 9)]
