@@ -496,7 +496,7 @@ def test_toxicity_on_held_out_labels(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     got = ordinal.toxicity(docs, labels.where(~held)).join(labels.where(held & F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").alias("label")), "doc_id").collect()
-    assert np.mean([r.toxic for r in got if r.label == 1]) >= 0.85
+    assert np.mean([r.toxic for r in got if r.label == 1]) >= 0.9
     assert np.mean([r.toxic for r in got if r.label == 0]) <= 0.02
 
 
