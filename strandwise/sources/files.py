@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strandwise.functions.fields import line_bytes
@@ -74,9 +77,30 @@ def scratch_path(spark, label: str) -> str:
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return path
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Folders that scratch_path gives inside are deleted at the end, so that a long session keeps no intermediate tables.
+
+    For work that ends in written outputs: frames that were made inside cannot be read afterwards."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once in the shared folder and read it again: later uses neither recompute it nor read more columns
     than they need, and a lost executor costs a re-read."""

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from strandwise import schema as S
 from strandwise.operators.order import with_coordinates
 from strandwise.plans.modes import process_files
+from strandwise.sources.files import scratch_scope
 from strandwise.sources.text import read_lines
 
 BATCH_FILES = 64
@@ -50,8 +51,9 @@ def process_batch(batch: DataFrame, number: int, path: str, mode: str, policy: s
         return
     names = [r.file for r in batch.select("file").distinct().collect()]  # BATCH_FILES of them
     if names:
-        done = process_files(read_lines(spark, names), path, mode, policy, "append")
-        done.select(F.lit(number).cast("long").alias("batch"), "file", "name", "n_lines").coalesce(1).write.mode("overwrite").parquet(manifest)
+        with scratch_scope(spark):
+            done = process_files(read_lines(spark, names), path, mode, policy, "append")
+            done.select(F.lit(number).cast("long").alias("batch"), "file", "name", "n_lines").coalesce(1).write.mode("overwrite").parquet(manifest)
 
 
 def process_stream(spark: SparkSession, source: str, path: str, mode: str, checkpoint: str, files: int = BATCH_FILES, policy: str = S.COMPAT) -> StreamingQuery:

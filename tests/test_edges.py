@@ -570,7 +570,10 @@ def test_a_stream_that_starts_again_writes_each_file_once(spark, tmp_path):
 def test_a_batch_without_manifest_is_done_again(spark, tmp_path):
     (tmp_path / "x.sam").write_text(rec("a", 0, "chr1", 9) + "\n")
     out, batch = str(tmp_path / "out"), spark.createDataFrame([(f"file://{tmp_path}/x.sam",)], "file string")
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir").removeprefix("file://")
+    kept = set(os.listdir(shared)) if os.path.isdir(shared) else set()
     streams.process_batch(batch, 0, out, "sort")
+    assert {n for n in os.listdir(shared) if not n.startswith(".")} <= kept  # a batch leaves no intermediate table
     manifest = next((tmp_path / "out/_batches/000000000").glob("_SUCCESS"))
     manifest.unlink()  # as if the driver had died before the batch's end
     (tmp_path / "out/x.sorted.sam").write_text("half")
