@@ -76,6 +76,60 @@ def greedy_regions(bins: DataFrame, chroms: DataFrame, target: int = S.TARGET_BY
     return rows.groupBy("rname").applyInPandas(fold, S.REGIONS)
 
 
+def _running(bins: DataFrame) -> DataFrame:
+    """(rname, bin, total): bytes up to each bin in use. Sums inside blocks of 65 536 bins, then over a row a block."""
+    rows = numbered(bins.where("weight > 0").select("rname", "bin", "weight"), ["rname", "bin"], "__no").withColumn("__b", F.shiftright("__no", 16))
+    blocks = rows.groupBy("rname", "__b").agg(F.sum("weight").alias("__w"))
+    before = F.sum("__w").over(Window.partitionBy("rname").orderBy("__b")) - F.col("__w")
+    inside = F.sum("weight").over(Window.partitionBy("rname", "__b").orderBy("__no"))
+    summed = rows.withColumn("__i", inside).join(blocks.select("rname", "__b", before.alias("__s")), ["rname", "__b"])
+    return summed.select("rname", "bin", (F.col("__i") + F.col("__s")).cast("long").alias("total"))
+
+
+def _first_reaching(sums: DataFrame, asked: DataFrame) -> DataFrame:
+    """`asked` (rname, bytes and more) with `next`, the first bin up to which there are so many bytes; others go.
+
+    Sums and questions are put in one order, the largest first; the last sum carried on to a question is its answer."""
+    more = [c for c in asked.columns if c not in ("rname", "bytes")]
+    rows = asked.select("rname", (-F.col("bytes")).alias("__v"), F.lit(1).alias("__kind"), *more).unionByName(
+        sums.select("rname", (-F.col("total")).alias("__v"), F.lit(0).alias("__kind"), F.struct("rname", "bin").alias("__hit")), allowMissingColumns=True
+    )
+    found = last_known(numbered(rows, ["rname", "__v", "__kind"], "__no"), "__no", "__hit", "__next").where("__kind = 1 and __next.rname = rname")
+    return found.select("rname", *more, F.col("__next.bin").alias("next"))
+
+
+def greedy_by_pointers(bins: DataFrame, chroms: DataFrame, target: int = S.TARGET_BYTES, width: int = S.BIN_WIDTH, carry: bool = False) -> DataFrame:
+    """What greedy_regions gives, with no group a chromosome: for assemblies whose chromosomes have very many bins in use.
+
+    Each bin points to the one that closes the next region after it; the bins met from the start are marked by doubling
+    the pointers, in as many rounds as the logarithm of the most regions of a chromosome. With `carry` the k-th region
+    closes where k times `target` is reached, without pointers."""
+    sums = materialize(_running(bins), "sums")
+    if carry:
+        tops = sums.groupBy("rname").agg(F.max("total").alias("top")).where(F.col("top") >= target)
+        asked = tops.select("rname", F.explode(F.sequence(F.lit(1).cast("long"), F.floor(F.col("top") / target))).alias("k"))
+        cuts = _first_reaching(sums, asked.withColumn("bytes", F.col("k") * target)).select("rname", F.col("next").alias("bin"), "k")
+    else:
+        starts = sums.select("rname").distinct().select("rname", F.lit(-1).cast("long").alias("bin"), F.lit(0).cast("long").alias("total"))
+        asked = sums.unionByName(starts).select("rname", "bin", (F.col("total") + target).alias("bytes"))
+        hop = materialize(_first_reaching(sums, asked), "pointers")
+        marked = materialize(starts.select("rname", "bin"), "marked")
+        while True:
+            met = materialize(marked.join(hop, ["rname", "bin"]).select("rname", F.col("next").alias("bin")), "met")
+            if met.isEmpty():
+                break
+            marked = materialize(marked.unionByName(met).distinct(), "marked")
+            hop = materialize(hop.join(hop.select("rname", F.col("bin").alias("next"), F.col("next").alias("later")), ["rname", "next"]).select("rname", "bin", F.col("later").alias("next")), "pointers")
+        cuts = marked.where("bin >= 0").withColumn("k", F.lit(0).cast("long"))
+    sizes = chroms.select(F.col("name").alias("rname"), F.col("length").cast("long").alias("length"))
+    ends = cuts.join(small(sizes), "rname").select("rname", "bin", "k", F.least((F.col("bin") + 1) * width, F.col("length")).alias("region_end"))
+    ends = materialize(ends, "ends")  # a row a region
+    closed = ends.select(F.col("rname").alias("chr"), (F.coalesce(F.lag("region_end").over(Window.partitionBy("rname").orderBy("bin", "k")), F.lit(0)) + 1).alias("region_start"), "region_end")
+    last = ends.groupBy("rname").agg(F.max("region_end").alias("at"))
+    rest = sizes.join(last, "rname", "left").select(F.col("rname").alias("chr"), (F.coalesce("at", F.lit(0)) + 1).cast("long").alias("region_start"), F.col("length").alias("region_end"))
+    return closed.unionByName(rest.where("region_start <= region_end"))
+
+
 def overlaps(regions: DataFrame) -> DataFrame:
     """Regions that begin before the one before them on the chromosome ends."""
     before = F.max("region_end").over(Window.partitionBy("chr").orderBy("region_start", "region_end").rowsBetween(Window.unboundedPreceding, -1))

@@ -600,6 +600,14 @@ def sweep_regions(spark, d):
     return regions.sweep(used.select("line_no", "rname", "pos"), found).select("line_no", *regions.REGION)
 
 
+def _pointers(carry: bool) -> Query:
+    return lambda spark, d: regions.greedy_by_pointers(regions.bin_weights(regions.used_reads(dirty(spark, d), chroms(spark))), chroms(spark), X.TARGET, carry=carry)
+
+
+for _name, _carry in (("greedy_regions", False), ("greedy_carry", True)):
+    query(_name + "_pointers", ORACLES[_name])(_pointers(_carry))
+
+
 @query(
     "file_dicts",
     _with(

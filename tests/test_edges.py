@@ -176,6 +176,10 @@ def test_greedy_cut_follows_the_walk(spark):
     for name, length, _ in chroms:
         mine = sorted((r.region_start, r.region_end) for r in got if r.chr == name)
         assert mine == greedy({b: w for n, b, w in bins if n == name}, length, 100)
+    for carry in (False, True):
+        plain, pointers = (sorted(map(tuple, f(spark.createDataFrame(bins, "rname string, bin long, weight long"), table, 100, carry=carry).collect())) for f in (regions.greedy_regions, regions.greedy_by_pointers))
+        assert pointers == plain
+    assert len(regions.greedy_by_pointers(spark.createDataFrame([], "rname string, bin long, weight long"), table).collect()) == 7
     heavy = spark.createDataFrame([("c5", 3, 1000)], "rname string, bin long, weight long")
     carried = regions.greedy_regions(heavy, table.where("name = 'c5'"), 400, carry=True)
     assert sorted((r.region_start, r.region_end) for r in carried.collect()) == [(1, 4000), (4001, 4000), (4001, 40000)]
