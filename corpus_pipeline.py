@@ -72,7 +72,8 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every token of what stayed, in few sequences; a null text is its end token alone, and each row has pieces of its own."""
+    """Every token of what stayed, in few sequences; a null text is its end token alone, and each row has pieces of its own,
+    rows of one doc_id too. Pieces of one length are interchangeable: a tie may take either place."""
     return bestfit.best_fit(docs, queries.vocabulary("byte_bpe_50k.json"), 0, queries.TARGET, cache_units=CACHE_UNITS, run_bytes=RUN_BYTES)
 
 

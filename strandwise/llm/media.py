@@ -270,7 +270,8 @@ SUFFIX = (b"", b"", b"\x00end of carrier GIF89a")
 def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, blob, declared): each whole text padded with blanks to a multiple of ROW and stored as media.
 
-    The text alone decides the format, the bytes around the medium and the declared type, which is wrong for some."""
+    The text alone decides the format, the bytes around the medium and the declared type, which is wrong for some. A null
+    text is an empty one. Repeated rows, rows of one doc_id and rows without one each get a row; no rows give none."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, 1):
@@ -290,7 +291,7 @@ def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def carved(sniffed: DataFrame) -> DataFrame:
     """Digest of each row's first medium, carved from its blob and read back (see queries.op5); for media as `store` writes
-    them. Rows without media have nulls."""
+    them. Rows without media have nulls; each row has its own, also repeated ones and those without doc_id."""
     names = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

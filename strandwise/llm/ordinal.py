@@ -7,6 +7,7 @@ fitted on a bounded sample of labelled rows (SAMPLE_ROWS); every whole text is t
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -118,9 +119,12 @@ def _train(rows: DataFrame, levels: int, most_words: int, least_rows: int, least
     counts = seen.select(F.explode("words").alias("word"), "half", "y").groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("p"), *halves).fillna(0)
     base = toxic / n
     z = (F.col("p") - F.col("n") * base) / F.sqrt(F.col("n") * base * (1 - base))
-    found = counts.where(F.col("n") >= least_rows).withColumn("z", z).where(F.abs("z") >= least_z).orderBy(F.abs("z").desc(), "word").limit(most_words).collect()
+    found = counts.where(F.col("n") >= least_rows).withColumn("z", z).where(F.abs("z") >= least_z).orderBy(F.abs("z").desc(), "word").limit(most_words + 1).collect()
     if not found:
         return none
+    if len(found) > most_words:
+        warnings.warn(f"more than {most_words} words tell toxic rows apart; those that tell least are not used", stacklevel=3)
+        found = found[:most_words]
     found.sort(key=lambda r: r.word % (1 << 64))
     words = np.array([r.word for r in found], np.int64).view(np.uint64)
     # toxic by the rows of one half: above that half's base rate
@@ -155,7 +159,7 @@ def toxicity(
     """(doc_id, severity, grade, p_toxic, toxic) of every row: expected grade, likeliest grade and whether p_toxic >= FLAG.
 
     `sample_rows` labelled rows at most, drawn by a hash of doc_id, choose `most_words` words at most, each in `least_rows` rows
-    and `least_z` deviations from the base rate, and fit the weights; every whole text is scored. Grades go from 0 (not toxic) to levels - 1. Null and empty texts have no words and get the grades' base rates;
+    and `least_z` deviations from the base rate, and fit the weights; a warning says when more would qualify. Every whole text is scored. Grades go from 0 (not toxic) to levels - 1. Null and empty texts have no words and get the grades' base rates;
     null labels are left out, the highest counts where an id has several; repeated rows each get a row. Without both
     kinds of labels nothing is toxic."""
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y is not null")

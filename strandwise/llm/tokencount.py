@@ -1,7 +1,8 @@
 """Token counts by a two-tier lookup on the map side.
 
 Tier one is a table of the lengths of frequent units, broadcast once; tier two is each worker's own cache, which
-encodes what the table lacks. Units are never shuffled."""
+encodes what the table lacks. Units of texts that are counted are never shuffled; the sums of the sample that chooses the
+table are, a row a unit and task."""
 
 from __future__ import annotations
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(__file__))
 import corpus as B
 
-from strandwise.llm import kdshard, media, mixing, ordinal, queries, repetition, rffquality, tokencount
+from strandwise.llm import bestfit, kdshard, media, mixing, ordinal, queries, repetition, rffquality, tokencount
 from strandwise.llm.common import buffers
 
 ROWS = [r for r in B.corpus(4, 50) if r[0] != 2001] + [(3000, "ab " * 4000, "en", "src0"), (3001, "Line one.\nLine one.\n\n Line one.\nx#y|z 12 É!", "fr", None)]
@@ -139,6 +139,39 @@ def test_toxicity_features_are_words_and_their_beginnings():
         assert {names[h]: n for h, n in zip(feature[mine].tolist(), times[mine].tolist(), strict=True)} == dict(want)
 
 
+def test_a_bound_on_words_is_told(spark):
+    rows = [(k, f"plain{k % 7} " + ("vile nasty awful" if k % 5 == 0 else "kind"), "en", "s") for k in range(300)]
+    table = spark.createDataFrame([(k, int(k % 5 == 0)) for k in range(300)], "doc_id long, toxic int")
+    with pytest.warns(UserWarning, match="more than 2 words"):
+        got = ordinal.toxicity(B.frame(spark, rows), table, most_words=2).collect()
+    assert sum(r.toxic for r in got) == 60
+
+
+# ---- packing by ranges -------------------------------------------------------------------------------------------------
+
+
+def test_packing_query_over_many_ranges(spark, sf_dir, monkeypatch):
+    """The query's rows where a task sweeps 300 pieces and gaps: every piece as in one task, and about as few sequences."""
+    sf_dir = sf_dir.replace("sf0.001", "sf0.01")
+    monkeypatch.setattr(bestfit.best_fit, "__defaults__", tuple(300 if d == bestfit.ROWS_A_TASK else d for d in bestfit.best_fit.__defaults__))
+    got = queries.op6(spark, sf_dir).collect()
+    monkeypatch.undo()
+    one = queries.op6(spark, sf_dir).collect()
+    piece = lambda r: (r.doc_id, r.piece, r.start, r.length, r.ids_crc32)
+    assert sorted(map(piece, got)) == sorted(map(piece, one))
+    places = {}
+    for r in got:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for found in places.values():
+        end = 0
+        for at, n in sorted(found):
+            assert at == end
+            end += n
+        assert end <= queries.TARGET
+    bound = -(-sum(r.length for r in got) // queries.TARGET)
+    assert len(places) <= 1.01 * bound + 1 and len({r.sequence_id for r in one}) <= 1.01 * bound + 1
+
+
 # ---- ids that repeat or are not there ----------------------------------------------------------------------------------
 
 OPERATORS = {
