@@ -58,7 +58,8 @@ def test_every_stage_has_an_effect_in_sequence(spark, sf_dir):
     mixed = queries._mixing_sql().replace(f"{queries.SHARE}::DOUBLE", f"{corpus_pipeline.MIX_SHARE}::DOUBLE").replace(f") * {queries.EPOCHS})::BIGINT AS capacity", ") * 1)::BIGINT AS capacity").replace(f"::BIGINT, {queries.EPOCHS}) AS whole", "::BIGINT, 1) AS whole")
     assert set(kept[4]) == {d for (d,) in con.sql(f"select doc_id from ({mixed})").fetchall()}
     packed = corpus_pipeline.packing(spark, docs, sf_dir).collect()
-    tokens = {d: len(Tokenizer.from_file(queries.vocabulary("byte_bpe_50k.json")).encode(r.text or "", add_special_tokens=False).ids) + 1 for d, r in kept[4].items()}
+    library = Tokenizer.from_file(queries.vocabulary("byte_bpe_50k.json"))
+    tokens = {d: len(library.encode(r.text or "", add_special_tokens=False).ids) + 1 for d, r in kept[4].items()}
     held, used = {}, {}
     for p in packed:
         held[p.doc_id] = held.get(p.doc_id, 0) + p.length
