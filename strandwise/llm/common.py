@@ -90,8 +90,18 @@ def utf8_crc32(text: Column) -> Column:
 
 _SEP = np.zeros(256, bool)
 _SEP[[32, 9, 10, 11, 12, 13]] = True
-_MULT = np.uint64(0x9E3779B97F4A7C15)
-_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_MULT = 0x9E3779B97F4A7C15
+BLOCK = 1 << 18  # bytes of a text that are worked on at once
+
+
+def _powers(base: int) -> np.ndarray:
+    """1, base, base ** 2, ... for the places of a block, modulo 2 ** 64."""
+    out = np.full(BLOCK + 1, np.uint64(base), np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+_POWER, _INVERSE = _powers(_MULT), _powers(pow(_MULT, -1, 1 << 64))
 _BYTES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
@@ -124,7 +134,7 @@ def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.default_memory_pool().release_unused()
 
 
-def slices(offsets: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, most: int = BLOCK) -> Iterator[tuple[int, int]]:
     """Ranges of documents of about `most` bytes (one document at least), so that memory stays small."""
     i, n = 0, len(offsets) - 1
     while i < n:
@@ -133,8 +143,25 @@ def slices(offsets: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]
         i = min(j, n)
 
 
+def trues_before(mask: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The number of true bytes of `mask` before each of the ascending places `at`, block by block."""
+    out, total, done = np.zeros(len(at), np.int64), 0, 0
+    for low in range(0, len(mask), BLOCK):
+        count = np.zeros(min(BLOCK, len(mask) - low) + 1, np.int64)
+        np.cumsum(mask[low : low + BLOCK], out=count[1:])
+        end = int(np.searchsorted(at, low + BLOCK))
+        inside = at[done:end]
+        out[done:end] = total + count[inside - low]
+        total, done = total + int(count[-1]), end
+    out[done:] = total
+    return out
+
+
 class Hashed:
-    """Words of a run of documents with 64-bit hashes, all from prefix sums over the bytes."""
+    """Words of a run of documents with 64-bit hashes, all from prefix sums over the bytes.
+
+    The sums are taken over blocks, so that a very long text needs memory for its words and a block, not some eight-byte
+    numbers for each of its bytes."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, separators: np.ndarray = _SEP):
         base = int(offsets[0])
@@ -142,31 +169,51 @@ class Hashed:
         self.offsets = offsets - base
         n, docs = len(self.data), len(offsets) - 1
         self.docs = docs
-        table = _BYTES[_LOWER] if lower else _BYTES
-        power = np.full(n + 1, _MULT, np.uint64)
-        power[0] = 1
-        power = np.cumprod(power)
-        self._inverse = np.full(n + 1, _INV, np.uint64)
-        self._inverse[0] = 1
-        self._inverse = np.cumprod(self._inverse)
-        self._prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(table[self.data] * power[:n], out=self._prefix[1:])
+        self._table = _BYTES[_LOWER] if lower else _BYTES
+        self._whole = self._prefix(0, n) if n <= BLOCK else None
         blank = separators[self.data]
         edge = np.zeros(n + 1, bool)
         edge[self.offsets] = True
-        before = np.ones(n, bool)
-        before[1:] = blank[:-1]
-        self.starts = np.flatnonzero(~blank & (before | edge[:n]))
-        after = np.ones(n, bool)
-        after[:-1] = blank[1:]
-        self.ends = np.flatnonzero(~blank & (after | edge[1:])) + 1
+        near = np.ones(n, bool)
+        near[1:] = blank[:-1]
+        self.starts = np.flatnonzero(~blank & (near | edge[:n]))
+        near[:] = True
+        near[:-1] = blank[1:]
+        self.ends = np.flatnonzero(~blank & (near | edge[1:])) + 1
+        del blank, edge, near
         self.first = np.searchsorted(self.starts, self.offsets)  # word number at each document's start
         self.words = self.span(self.starts, self.ends)
-        self.doc = np.repeat(np.arange(docs), np.diff(self.first))
+        self.doc = np.repeat(np.arange(docs, dtype=np.int32), np.diff(self.first))
+
+    def _prefix(self, low: int, high: int) -> np.ndarray:
+        """Sums of the weighted bytes from low (at most a block) up to each place."""
+        out = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(self._table[self.data[low:high]] * _POWER[: high - low], out=out[1:])
+        return out
+
+    def _long(self, start: int, end: int) -> int:
+        """The weighted sum of more bytes than a block."""
+        total = 0
+        for low in range(start, end, BLOCK):
+            total += int(self._prefix(low, min(low + BLOCK, end))[-1]) * pow(_MULT, low - start, 1 << 64)
+        return total % (1 << 64)
 
     def span(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Hash of the bytes from start to end, with the length."""
-        h = (self._prefix[ends] - self._prefix[starts]) * self._inverse[starts]
+        """Hash of the bytes from start to end, with the length; starts and ends ascend."""
+        if self._whole is not None:
+            h = (self._whole[ends] - self._whole[starts]) * _INVERSE[starts]
+        else:
+            h, i = np.empty(len(starts), np.uint64), 0
+            while i < len(starts):
+                low = int(starts[i])
+                j = int(np.searchsorted(ends, low + BLOCK, "right"))
+                if j <= i:
+                    h[i] = self._long(low, int(ends[i]))
+                    j = i + 1
+                else:
+                    sums, s, e = self._prefix(low, int(ends[j - 1])), starts[i:j] - low, ends[i:j] - low
+                    h[i:j] = (sums[e] - sums[s]) * _INVERSE[s]
+                i = j
         return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -181,10 +228,8 @@ class Hashed:
         return at, mix(h[at])
 
     def per_doc(self, values: np.ndarray) -> np.ndarray:
-        """Sums per document of a value for each byte."""
-        total = np.zeros(len(values) + 1, np.int64)
-        np.cumsum(values, out=total[1:])
-        return total[self.offsets[1:]] - total[self.offsets[:-1]]
+        """The number of true ones per document of a flag for each byte."""
+        return np.diff(trues_before(values, self.offsets))
 
     def per_doc_words(self, values: np.ndarray) -> np.ndarray:
         """Sums per document of a value for each word."""

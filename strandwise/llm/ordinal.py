@@ -29,15 +29,22 @@ _SPLIT = np.ones(256, bool)
 _SPLIT[list(range(48, 58)) + list(range(65, 91)) + list(range(97, 123)) + list(range(128, 256))] = False
 
 
-def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, feature) of every occurrence."""
+def _kinds(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(document, feature) of every occurrence: of the words, then of the beginnings of each length."""
     run = Hashed(data, offsets, lower=True, separators=_SPLIT)
-    doc, feature, size = [run.doc], [run.words], run.ends - run.starts
+    yield run.doc, run.words
+    size = run.ends - run.starts
     for k in PREFIXES:
         longer = np.flatnonzero(size > k)
-        doc.append(run.doc[longer])
-        feature.append(mix(run.span(run.starts[longer], run.starts[longer] + k) + np.uint64(k)))
-    return np.concatenate(doc), np.concatenate(feature)
+        yield run.doc[longer], mix(run.span(run.starts[longer], run.starts[longer] + k) + np.uint64(k))
+
+
+def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, feature, occurrences), sorted by document and feature; kinds are counted one by one, so that a very long
+    text needs memory for one kind of its features."""
+    doc, feature, times = (np.concatenate(c) for c in zip(*(_distinct(*kind) for kind in _kinds(data, offsets))))
+    order = np.lexsort((feature, doc))
+    return doc[order], feature[order], times[order]
 
 
 def _distinct(doc: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,8 +62,7 @@ def word_rows(rows: DataFrame) -> DataFrame:
         for batch in batches:
             data, offsets = buffers(batch.column(2))
             for i, j in slices(offsets):
-                doc, word = _features(data, offsets[i : j + 1])
-                doc, word, times = _distinct(doc, word)
+                doc, word, times = _features(data, offsets[i : j + 1])
                 ends = pa.array(np.searchsorted(doc, np.arange(j - i + 1)).astype(np.int32))
                 columns = [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.ListArray.from_arrays(ends, pa.array(word.view(np.int64))), pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32)))]
                 yield pa.RecordBatch.from_arrays(columns, names=["y", "half", "words", "times"])
@@ -174,12 +180,14 @@ def toxicity(
         for batch in batches:
             data, offsets = buffers(batch.column(1))
             for i, j in slices(offsets):
-                doc, word = _features(data, offsets[i : j + 1])
                 s = np.zeros(j - i)
-                if len(model.words) and len(word):
-                    at = np.minimum(np.searchsorted(model.words, word), len(model.words) - 1)
-                    hit = np.flatnonzero(model.words[at] == word)
-                    doc, at, times = _distinct(doc[hit], at[hit])
+                if len(model.words):
+                    hits = []
+                    for doc, word in _kinds(data, offsets[i : j + 1]):
+                        at = np.minimum(np.searchsorted(model.words, word), len(model.words) - 1)
+                        hit = np.flatnonzero(model.words[at] == word)
+                        hits.append((doc[hit], at[hit]))
+                    doc, at, times = _distinct(*(np.concatenate(c) for c in zip(*hits)))
                     s = np.bincount(doc, weights=model.weights[at] * (1 + np.log(times)), minlength=j - i)
                 above = model.above(s)
                 each = -np.diff(np.column_stack([np.ones(j - i), above, np.zeros(j - i)]), axis=1)

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import Hashed, buffers, lean, slices, small_batches
+from .common import Hashed, buffers, lean, slices, small_batches, trues_before
 
 SYMBOLS = b"#*$%&|<>"
 #: n-gram length -> largest share of word characters inside n-grams said before (the published thresholds of Gopher's rules).
@@ -62,10 +62,9 @@ def _covered(run: Hashed, n: int, repeats=_repeated) -> np.ndarray:
 def measure(data: np.ndarray, offsets: np.ndarray, coverage: dict[int, float], line_coverage: float, symbols: float, min_words: int = MIN_WORDS) -> dict[str, np.ndarray]:
     """All measures of a run of documents (bytes and offsets)."""
     run = Hashed(data, offsets)
-    body, n = run.data, len(run.data)
-    points = np.zeros(n + 1, np.int64)
-    np.cumsum((body & 0xC0) != 0x80, out=points[1:])
-    chars = points[run.ends] - points[run.starts]
+    body = run.data
+    points = (body & 0xC0) != 0x80
+    chars = trues_before(points, run.ends) - trues_before(points, run.starts)
     n_words, word_chars = np.diff(run.first), run.per_doc_words(chars)
     total = np.maximum(word_chars, 1)
     # lines: from a document's start or after \n, to the next \n or the document's end

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hashed, buffers, lean, materialize, slices, small_batches
+from .common import BLOCK, Hashed, buffers, lean, materialize, slices, small_batches
 from .repetition import measure
 
 FEATURES = 256
@@ -44,10 +44,15 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     m = measure(data, offsets, {5: 1.0}, 1.0, 1e9)
     run = Hashed(data, offsets, lower=True)
     n = np.diff(run.offsets)
-    doc = np.repeat(np.arange(run.docs), n)
     size = np.maximum(n, 1)
-    share = np.bincount(doc * 8 + _CLASS[run.data], minlength=run.docs * 8).reshape(-1, 8) / size[:, None]
-    each = np.bincount(doc * 256 + run.data, minlength=run.docs * 256).reshape(-1, 256) / size[:, None]
+    counts = np.zeros(run.docs * 256, np.int64)
+    for low in range(0, len(run.data), BLOCK):
+        piece = run.data[low : low + BLOCK]
+        doc = np.repeat(np.arange(run.docs), np.diff(np.clip(run.offsets, low, low + len(piece))))
+        counts += np.bincount(doc * 256 + piece, minlength=len(counts))
+    counts = counts.reshape(-1, 256)
+    share = counts @ (_CLASS[:, None] == np.arange(8)) / size[:, None]
+    each = counts / size[:, None]
     entropy = -(each * np.log2(np.where(each > 0, each, 1))).sum(1)
     words, kinds = np.maximum(m["n_words"], 1), np.unique(run.words + run.doc.astype(np.uint64) * np.uint64(0xA0761D6478BD642F), return_index=True)[1]
     distinct = np.bincount(run.doc[kinds], minlength=run.docs) / words

@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 import corpus as B
 
 from strandwise.llm import bestfit, kdshard, media, mixing, ordinal, queries, repetition, rffquality, tokencount
-from strandwise.llm.common import buffers
+from strandwise.llm.common import BLOCK, Hashed, buffers, trues_before
 
 ROWS = [r for r in B.corpus(4, 50) if r[0] != 2001] + [(3000, "ab " * 4000, "en", "src0"), (3001, "Line one.\nLine one.\n\n Line one.\nx#y|z 12 É!", "fr", None)]
 
@@ -122,7 +122,7 @@ def plain_features(text):
 def test_toxicity_features_are_words_and_their_beginnings():
     texts = [t for _, t, *_ in ROWS] + ["Nasty, nastily NASTINESS nastiest é´abcdefghi", None]
     data, offsets = buffers(pa.array(texts, pa.string()))
-    doc, feature, times = ordinal._distinct(*ordinal._features(data, offsets))
+    doc, feature, times = ordinal._features(data, offsets)
     names, hashes = {}, {}
     for k, text in enumerate(texts):
         want, mine = plain_features(text), np.flatnonzero(doc == k)
@@ -131,7 +131,7 @@ def test_toxicity_features_are_words_and_their_beginnings():
         for name in want:
             one, _ = buffers(pa.array([name[1].decode("utf-8", "ignore")])) if name[0] == "word" else (None, None)
             if one is not None and name not in hashes:
-                d, f = ordinal._features(*buffers(pa.array([name[1].decode()])))
+                f = np.concatenate([h for _, h in ordinal._kinds(*buffers(pa.array([name[1].decode()])))])
                 hashes[name] = int(f[0])
                 assert names.setdefault(int(f[0]), name) == name
                 for size, h in zip([s for s in ordinal.PREFIXES if len(name[1]) > s], f[1:].tolist(), strict=True):
@@ -200,3 +200,78 @@ def test_rows_of_one_id_and_rows_without(spark, name):
     assert len(same) == 4 and len(texts) <= 2  # three rows of one text, one of another
     assert {str(x) for x in of(ROWS[2][0])} <= texts
     assert len([x for x in of(None) if str(x) in texts]) >= 2
+
+
+# ---- very long texts -------------------------------------------------------------------------------------------------
+
+
+def long_text():
+    """More than five blocks: a word and a line longer than a block, words and code points over blocks' edges."""
+    rng = np.random.default_rng(3)
+    words = [f"w{k}É" if k % 7 == 0 else f"W{k}" for k in rng.integers(0, 5000, 100_000).tolist()]
+    line = "é" * (BLOCK - 3) + "x"  # one word of twice a block
+    return " ".join(words) + "\n" + line + "\n" + " ".join(words[:60_000]) + "\n" + line + "\n" + "a " * 200_000 + "# end!"
+
+
+def test_blocks_of_a_long_text_do_not_show():
+    text = long_text()
+    raw = text.encode()
+    assert len(raw) > 5 * BLOCK
+    for lower in (False, True):
+        run = Hashed(*buffers(pa.array(["short one", text, None, "tail of it"])), lower=lower)
+        assert np.diff(run.first).tolist() == [2, len(raw.split()), 0, 3]
+        # every word has the hash that it has in a text of its own, the one longer than a block the sum of its bytes
+        mine = dict(zip(raw.split(), run.words[run.first[1] : run.first[2]].tolist()))
+        kinds = [w for w in mine if len(w) < BLOCK]
+        alone = Hashed(*buffers(pa.array([w.decode() for w in kinds[:3000]])), lower=lower)
+        assert [mine[w] for w in kinds[:3000]] == alone.words.tolist()
+        again = Hashed(*buffers(pa.array([next(w.decode() for w in mine if len(w) > BLOCK), "x"])), lower=lower)
+        assert [mine[w] for w in mine if len(w) > BLOCK] == again.words[:1].tolist()
+        assert again.words[0] != again.words[1]
+
+
+def test_marks_are_counted_over_blocks():
+    mask = np.random.default_rng(5).random(2 * BLOCK) < 0.5
+    at = np.sort(np.concatenate([[0, 0, BLOCK - 1, BLOCK, BLOCK, BLOCK + 1, 2 * BLOCK, 2 * BLOCK], np.random.default_rng(6).integers(0, 2 * BLOCK, 99)]))
+    assert trues_before(mask, at).tolist() == [int(mask[:k].sum()) for k in at]
+    assert trues_before(np.zeros(0, bool), np.zeros(3, np.int64)).tolist() == [0, 0, 0]
+
+
+def test_a_long_text_is_measured_as_a_short_one(spark):
+    text = long_text()
+    rows = [(1, text, "en", "s"), (2, "short", "en", "s")]
+    got = {r.doc_id: r.x for r in rffquality.document_statistics(B.frame(spark, rows), "doc_id", "text").collect()}
+    wrong = [(n, a, b) for n, a, b in zip(rffquality.STATISTICS, got[1], plain_statistics(text), strict=True) if abs(a - b) > 1e-9]
+    assert not wrong
+    facts = {r.doc_id: r for r in repetition.repetition_rules(B.frame(spark, rows), carry=["doc_id"]).collect()}[1]
+    assert (facts.n_words, facts.word_chars, facts.n_symbols, facts.n_dup_lines, facts.n_repeat_words) == tuple(B.repetition(text)[:5])
+    _, feature, times = ordinal._features(*buffers(pa.array([text])))
+    assert sorted(times.tolist()) == sorted(plain_features(text).values()) and len(set(feature.tolist())) == len(feature)
+
+
+MEASURED = """
+import resource, sys
+import numpy as np, pyarrow as pa
+from strandwise.llm import minhash, ordinal, repetition, rffquality
+from strandwise.llm.common import Hashed, buffers
+names = np.array([f"w{k:x}" for k in np.random.default_rng(1).integers(0, 1 << 24, 200_000)])
+data, offsets = buffers(pa.array([" ".join(" ".join(np.random.default_rng(k).permutation(names)) for k in range(12))]))
+peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss * 1024
+before = peak()
+{
+    "rules": lambda: repetition.measure(data, offsets, repetition.COVERAGE, 0.3, 0.1),
+    "statistics": lambda: rffquality.statistics(data, offsets),
+    "shingles": lambda: minhash.shingles(Hashed(data, offsets, lower=True), 3),
+    "features": lambda: ordinal._features(data, offsets),
+}[sys.argv[1]]()
+print((peak() - before) / len(data))
+"""
+
+
+@pytest.mark.parametrize("work", ["rules", "statistics", "shingles", "features"])
+def test_memory_of_a_long_text(work):
+    """Of a text of 18 MB in common words; before it was taken in blocks the rules took some 50 bytes a byte."""
+    import subprocess
+
+    done = subprocess.run([sys.executable, "-c", MEASURED, work], capture_output=True, text=True, timeout=300, check=True)
+    assert float(done.stdout) < 20
