@@ -254,15 +254,16 @@ def static_regions(chroms: DataFrame, tiles: int = S.TILES) -> DataFrame:
     """(rid, chr, region_start, region_end) of equal tiles over all chromosomes in a row.
 
     A tile that crosses a chromosome's end is named by its first chromosome, to that one's end; tiles beyond the end
-    stand for the last base."""
+    stand for the last base. Each chromosome gives the numbers of the tiles that begin on it, so nothing is joined."""
     total, width = tile_width(chroms, tiles)
-    at = materialize(offsets(chroms), "offsets")
-    spread = chroms.sparkSession.range(tiles).select(
-        F.col("id").alias("rid"), F.least(F.col("id") * width, F.lit(total - 1)).alias("first"), (F.least((F.col("id") + 1) * width, F.lit(total)) - 1).alias("last")
-    )
-    hit = spread.join(F.broadcast(at), (F.col("first") >= F.col("offset")) & (F.col("first") < F.col("offset") + F.col("length")))  # a row a chromosome, against the tiles
-    end = F.least(F.col("last") - F.col("offset") + 1, F.col("length"))
-    return hit.select("rid", F.col("name").alias("chr"), (F.col("first") - F.col("offset") + 1).alias("region_start"), end.alias("region_end"))
+    start, end = F.col("offset"), F.col("offset") + F.col("length")
+    last = F.when(end == total, tiles - 1).otherwise(F.least(F.floor((end - 1) / width), F.lit(tiles - 1))).cast("long")
+    low = F.ceil(start / width).cast("long")
+    rids = F.when(low <= last, F.sequence(low, last))  # else no tile begins on the chromosome
+    spread = offsets(chroms).where("length > 0").withColumn("rid", F.explode(rids))
+    first = F.least(F.col("rid") * width, F.lit(total - 1))
+    to = F.least((F.col("rid") + 1) * width, F.lit(total)) - start
+    return spread.select("rid", F.col("name").alias("chr"), (first - start + 1).alias("region_start"), F.least(to, F.col("length")).alias("region_end"))
 
 
 def loose_reads(lines: DataFrame) -> DataFrame:

@@ -129,6 +129,23 @@ def markdup_fields(spark, d):
     return duplicates.records(text.parse(text.scan_records(dirty(spark, d)))).select("line_no", "flag", "rname", "pos", "rnext", "pnext", "score")
 
 
+_TYPED = r"""ty AS (SELECT line_no, line, string_split(regexp_replace(line, '\r+$', ''), chr(9)) AS f, regexp_replace(line, '\r+$', '') AS body FROM dirty)"""
+_INT = lambda k, of="BIGINT": f"TRY_CAST({STRICT.format(x=f'f[{k}]')} AS {of})"
+
+
+@query(
+    "typed_fields",
+    _with(
+        SAM,
+        _TYPED,
+        select=f"""SELECT line_no, (strlen(line) + 1)::BIGINT AS line_bytes, f[1] AS qname, {_INT(2, "INT")} AS flag, f[3] AS rname, {_INT(4)} AS pos, {_INT(5, "INT")} AS mapq, f[6] AS cigar, f[7] AS rnext, {_INT(8)} AS pnext, {_INT(9)} AS tlen, f[10] AS seq, f[11] AS qual,
+  coalesce(array_to_string(f[12:], chr(9)), '') AS tags, CASE WHEN starts_with(line, '@') THEN 'header' WHEN body = '' THEN 'blank' WHEN len(f) - CASE WHEN f[-1] = '' THEN 1 ELSE 0 END < 11 THEN 'malformed' ELSE 'record' END AS kind FROM ty""",
+    ),
+)
+def typed_fields(spark, d):
+    return text.typed(dirty(spark, d).select("line_no", "line")).drop("line").withColumn("tags", F.array_join("tags", "\t"))
+
+
 def _value(column: str) -> Query:
     return lambda spark, d: duplicates.records(text.parse(text.scan_records(dirty(spark, d)))).select("line_no", F.col(column).alias("value"))
 
@@ -310,6 +327,23 @@ def split_by_list(spark, d):
     return regions.split_by_list(dirty(spark, d), _listed(spark).drop("line_no")).select("line_no", F.concat_ws("_", "chr", "region_start", "region_end").alias("region"))
 
 
+#: Forty spans a chromosome, of one to three steps with gaps between some, so that they overlap.
+_OVERLAPPING = f"""SELECT name AS chr, CAST(1 + k * {X.CHROM_LENGTH // 40} AS BIGINT) AS region_start, CAST(least({X.CHROM_LENGTH}, (k + 1 + k % 3) * {X.CHROM_LENGTH // 40}) AS BIGINT) AS region_end FROM {{chroms}} CROSS JOIN range(40) AS r(k) WHERE k % 7 < 5"""
+_PROBE = f"""ol AS (SELECT *, row_number() OVER (PARTITION BY chr ORDER BY region_start, region_end) - 1 AS k, count(*) OVER (PARTITION BY chr) AS n FROM ({_OVERLAPPING.format(chroms="chroms")})),
+probe(line_no, chr, pos, lo, hi) AS (SELECT line_no, rname, pos, 0::BIGINT, n - 1 FROM pt JOIN (SELECT DISTINCT chr, n FROM ol) ON chr = rname WHERE valid AND pos > 0 UNION ALL
+  SELECT line_no, p.chr, pos, CASE WHEN pos > region_end THEN k + 1 ELSE lo END, CASE WHEN pos < region_start THEN k - 1 ELSE hi END FROM probe p JOIN ol ON ol.chr = p.chr AND k = (lo + hi) // 2 WHERE lo <= hi AND pos NOT BETWEEN region_start AND region_end)"""
+
+
+@query(
+    "split_by_list_compat",
+    _with(SAM, CHROMS, _coordinates("dirty", True), _PROBE, select="SELECT line_no, concat_ws('_', ol.chr, region_start, region_end) AS region FROM probe p JOIN ol ON ol.chr = p.chr AND k = (lo + hi) // 2 WHERE lo <= hi AND pos BETWEEN region_start AND region_end", recursive=True),
+)
+def split_by_list_compat(spark, d):
+    spans = spark.sql(_OVERLAPPING.format(chroms="{chroms}").replace("range(40) AS r(k)", "(SELECT id AS k FROM range(40)) r"), chroms=chroms(spark))
+    found = regions.split_by_list(dirty(spark, d), spans, S.COMPAT)
+    return found.select("line_no", F.concat_ws("_", "chr", "region_start", "region_end").alias("region"))
+
+
 @query(
     "split_stats",
     _with(SAM, X.REGION_LINES_SQL, _LIST, _coordinates("dirty", True), _SPLIT, select=r"SELECT (SELECT count(*) FROM dirty WHERE NOT starts_with(line, '@') AND regexp_replace(line, '\r+$', '') <> '')::BIGINT AS total, (SELECT count(*) FROM spl)::BIGINT AS assigned"),

@@ -74,12 +74,12 @@ def parse(lines: DataFrame) -> DataFrame:
 
 
 def typed(lines: DataFrame) -> DataFrame:
-    """Every field of a line with its type; numbers that do not parse are null."""
+    """Every field of a line with its type; numbers that do not parse, or do not fit the type, are null."""
     f = F.split(X.without_cr(F.col("line")), "\t", -1)
     at = lambda k: F.get("f", F.lit(k))
     return lines.withColumn("f", f).select(
-        *lines.columns, X.line_bytes(F.col("line")).alias("line_bytes"), at(0).alias("qname"), X.strict_integer(at(1)).cast("int").alias("flag"), at(2).alias("rname"),
-        X.strict_integer(at(3)).alias("pos"), X.strict_integer(at(4)).cast("int").alias("mapq"), at(5).alias("cigar"), at(6).alias("rnext"), X.strict_integer(at(7)).alias("pnext"),
+        *lines.columns, X.line_bytes(F.col("line")).alias("line_bytes"), at(0).alias("qname"), X.strict_integer(at(1)).try_cast("int").alias("flag"), at(2).alias("rname"),
+        X.strict_integer(at(3)).alias("pos"), X.strict_integer(at(4)).try_cast("int").alias("mapq"), at(5).alias("cigar"), at(6).alias("rnext"), X.strict_integer(at(7)).alias("pnext"),
         X.strict_integer(at(8)).alias("tlen"), at(9).alias("seq"), at(10).alias("qual"), F.slice("f", F.lit(12), F.greatest(F.size("f"), F.lit(1))).alias("tags"), X.line_kind(F.col("line")).alias("kind"),
     )
 

@@ -367,6 +367,27 @@ def test_typed_fields(spark):
     assert (got[0].flag, got[0].pos, got[0].tags, got[0].kind, got[1].tags, got[1].kind) == (None, 5, ["NM:i:0", "XX:Z:a"], "record", [], "header")
 
 
+def test_typed_numbers_beyond_their_type_are_null(spark):
+    row = text.typed(lines_of(spark, [rec("q", 99999999999, "chr1", 5)])).first()
+    assert row.flag is None and row.pos == 5
+
+
+@pytest.mark.parametrize("tiles", [1, 3, 8, 50])
+def test_tiles_are_those_of_a_walk_over_all_bases(spark, tiles):
+    sizes = [("chr1", 7), ("chr2", 0), ("chr3", 1), ("chr4", 13), ("chr5", 0)]
+    bases = [(name, k + 1) for name, n in sizes for k in range(n)]
+    ends, width = dict(sizes), -(-len(bases) // tiles)
+    want = []
+    for rid in range(tiles):
+        name, start = bases[min(rid * width, len(bases) - 1)]
+        last = bases[min((rid + 1) * width, len(bases)) - 1]
+        want.append((rid, name, start, last[1] if last[0] == name else ends[name]))
+    chroms = spark.createDataFrame([(n, length, k) for k, (n, length) in enumerate(sizes)], S.CHROMS)
+    found = regions.static_regions(chroms, tiles)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in found.collect()) == want
+
+
 def test_lines_and_numbers_do_not_depend_on_later_splits(spark, tmp_path):
     rows = [f"line {k}" for k in range(20_000)]
     (tmp_path / "a.sam").write_text("\n".join(rows) + "\n")
