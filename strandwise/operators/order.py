@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 
 from strandwise import schema as S
 from strandwise.functions import fields as X
-from strandwise.sources.files import left_join_counted, materialize
+from strandwise.sources.files import left_join_counted, materialize, sort_ranges
 
 
-def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+def numbered(df: DataFrame, order: list, name: str, keep: list[str] | None = None) -> DataFrame:
     """Number all rows from 0 in the order of the columns, without a single-task window.
 
-    Rows are range-partitioned, sorted and written with their partition and place, so that both are fixed; the
-    partitions' counts (a row a partition) give the offsets."""
-    rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    Rows are counted, range-partitioned into as many ranges as their number asks for, sorted and written with their
+    partition and place, so that both are fixed; the partitions' counts (a row a partition) are broadcast and give the
+    offsets. `keep`: the columns that are written, where not all are."""
+    rows = df.repartitionByRange(sort_ranges(df.sparkSession, df.count()), *order).sortWithinPartitions(*order).select(*keep or df.columns)
     rows = materialize(rows.withColumn("__p", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id()), "numbered")
     counts = rows.groupBy("__p").agg(F.min("__m").alias("__first"), F.count(F.lit(1)).alias("__n"))
     shift = F.sum("__n").over(Window.orderBy("__p")) - F.col("__n") - F.col("__first")
-    return rows.join(counts.select("__p", shift.alias("__s")), "__p").withColumn(name, F.col("__m") + F.col("__s")).drop("__p", "__m", "__s")
+    return rows.join(F.broadcast(counts.select("__p", shift.alias("__s"))), "__p").withColumn(name, F.col("__m") + F.col("__s")).drop("__p", "__m", "__s")
 
 
 def numbered_in(df: DataFrame, groups: list[str], order: list, name: str) -> DataFrame:

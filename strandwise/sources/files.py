@@ -109,6 +109,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SORT_ROWS = 500_000  # rows that one task sorts: 100 to 200 MB
+FEW_ROWS = 10_000  # rows that are not worth a task of their own
+
+
+def sort_ranges(spark: SparkSession, rows: int) -> int:
+    """Partitions in which so many rows are sorted. Spark merges partitions by their compressed bytes unless their number is
+    given, and a sort of 64 MB of those takes several times as much memory, or spills."""
+    return max(1, -(-rows // SORT_ROWS), min(spark.sparkContext.defaultParallelism, -(-rows // FEW_ROWS)))
+
+
 def measured(df: DataFrame, label: str, **facts: Column) -> tuple[DataFrame, dict]:
     """`df` materialised, and aggregates over it that are taken while it is written."""
     seen = Observation()
