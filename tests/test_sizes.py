@@ -1,7 +1,10 @@
 """Tasks stay small and rows are moved and written no more often than needed, whatever the session's settings."""
 
+import os
+
 from pyspark.sql import functions as F
 
+from strandwise import fixtures as X
 from strandwise.operators import order
 from strandwise.sources import files
 
@@ -24,3 +27,18 @@ def test_numbered_rows_are_not_shuffled_again(spark):
     finally:
         spark.conf.set(setting, before)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_lines_are_written_once_and_their_items_without_what_only_orders(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(X, "_WRITTEN", {})
+    monkeypatch.setattr(X, "_NUMBERED", {}, raising=False)
+    wide = X.sam_lines(spark, sf_dir)
+    assert [k[2] for k in X._WRITTEN] == []
+    [source] = {os.path.dirname(p) for p in wide.inputFiles()}
+    assert not {"l_extendedprice", "l_shipdate"} & set(spark.read.parquet(source).columns)
+    assert X.dirty_lines(spark, sf_dir).count() == wide.count() and [k[2] for k in X._WRITTEN] == ["dirty"]
+
+
+def test_numbered_keeps_some_columns(spark):
+    rows = order.numbered(spark.range(100).select("id", (-F.col("id")).alias("by")), ["by"], "no", ["id"])
+    assert rows.columns == ["id", "no"] and all(r.id + r.no == 99 for r in rows.collect())
