@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandwise.operators.order import numbered, with_coordinates
-from strandwise.sources.files import scratch_path
+from strandwise.sources.files import scratch_path, sort_ranges
 
 ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
 
@@ -155,6 +155,6 @@ def text_folder(spark: SparkSession, sf_dir: str) -> str:
     if key not in _WRITTEN:
         path = scratch_path(spark, "text")
         rows = dirty_lines(spark, sf_dir).withColumn("file_no", F.floor(F.col("line_no") / TEXT_LINES))
-        rows.repartition("file_no").sortWithinPartitions("file_no", "line_no").select("file_no", "line").write.partitionBy("file_no").text(path)
+        rows.repartition(sort_ranges(spark, rows.count()), "file_no").sortWithinPartitions("file_no", "line_no").select("file_no", "line").write.partitionBy("file_no").text(path)
         _WRITTEN[key] = path
     return _WRITTEN[key]

@@ -42,3 +42,12 @@ def test_lines_are_written_once_and_their_items_without_what_only_orders(spark,
 def test_numbered_keeps_some_columns(spark):
     rows = order.numbered(spark.range(100).select("id", (-F.col("id")).alias("by")), ["by"], "no", ["id"])
     assert rows.columns == ["id", "no"] and all(r.id + r.no == 99 for r in rows.collect())
+
+
+def test_text_files_are_dealt_in_bounded_numbers_of_rows(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(X, "_WRITTEN", {})
+    monkeypatch.setattr(X, "TEXT_LINES", 100)
+    monkeypatch.setattr(files, "SORT_ROWS", 500, raising=False)
+    written = [os.path.join(at, f) for at, _, found in os.walk(X.text_folder(spark, sf_dir).removeprefix("file:")) for f in found if f.startswith("part-")]
+    assert len(written) == len({os.path.dirname(f) for f in written}) == 60
+    assert len({os.path.basename(f)[:10] for f in written}) > 6
