@@ -2,11 +2,12 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strandwise import fixtures as X
 from strandwise.operators import order
-from strandwise.sources import files
+from strandwise.sources import files, named
 
 
 def test_numbered_sorts_a_bounded_number_of_rows_in_a_task(spark, monkeypatch):
@@ -51,3 +52,15 @@ def test_text_files_are_dealt_in_bounded_numbers_of_rows(spark, sf_dir, monkeypa
     written = [os.path.join(at, f) for at, _, found in os.walk(X.text_folder(spark, sf_dir).removeprefix("file:")) for f in found if f.startswith("part-")]
     assert len(written) == len({os.path.dirname(f) for f in written}) == 60
     assert len({os.path.basename(f)[:10] for f in written}) > 6
+
+
+@pytest.mark.parametrize("layout", ["files", "folders"])
+def test_writers_sort_at_most_64_mb_of_lines_in_a_task(spark, tmp_path, monkeypatch, layout):
+    rows, asked = spark.range(160).select(F.lit("a.sam").alias("to"), F.col("id").alias("at"), F.col("id").cast("string").alias("line")), []
+    deal = type(rows).repartitionByRange
+    monkeypatch.setattr(type(rows), "repartitionByRange", lambda self, n, *by: asked.append(n) or deal(self, n, *by))
+    write = named.write_named_files if layout == "files" else files.write_named
+    write(rows, str(tmp_path / "out"), "to", ["at"], size=1 << 30)
+    assert asked == [16]
+    written = sorted(p for p in (tmp_path / "out").rglob("*") if p.is_file() and p.name[0] not in "._")
+    assert "".join(p.read_text() for p in written) == "".join(f"{k}\n" for k in range(160))
