@@ -87,12 +87,13 @@ def coordinate_sort(lines: DataFrame, policy: str = S.COMPAT) -> DataFrame:
 def reference_dictionary(records: DataFrame, arrival: list[str], most: int | None = None) -> DataFrame:
     """([file,] name, tid): names of RNAME and RNEXT numbered by first appearance, from 0.
 
-    records: rname, rnext and the `arrival` columns. '*' and '=' are no names. Beyond `most` names the tid is -1."""
+    records: rname, rnext and the `arrival` columns. '*' and '=' are no names. Beyond `most` names the tid is -1. Records are
+    read once: the first of each pair of names by a partial aggregate, then the names of the pairs."""
     files = [c for c in ("file",) if c in records.columns]
-    first = F.struct(*arrival, F.col("side"))
-    names = records.select(*files, *arrival, F.explode(F.array(F.struct(F.col("rname").alias("name"), F.lit(0).alias("side")), F.struct(F.col("rnext").alias("name"), F.lit(1).alias("side")))).alias("x"))
-    names = names.select(*files, *arrival, "x.name", "x.side").where("name is not null and name <> '*' and not (side = 1 and name = '=')")
-    seen = names.groupBy(*files, "name").agg(F.min(first).alias("first"))  # a row a name
+    pairs = records.groupBy(*files, "rname", "rnext").agg(F.min(arrival[0] if len(arrival) == 1 else F.struct(*arrival)).alias("at"))
+    names = pairs.select(*files, "at", F.explode(F.array(F.struct(F.col("rname").alias("name"), F.lit(0).alias("side")), F.struct(F.col("rnext").alias("name"), F.lit(1).alias("side")))).alias("x"))
+    names = names.select(*files, "at", "x.name", "x.side").where("name is not null and name <> '*' and not (side = 1 and name = '=')")
+    seen = materialize(names.groupBy(*files, "name").agg(F.min(F.struct("at", "side")).alias("first")), "names")  # a row a name
     seen = numbered_in(seen, files, ["first"], "tid") if files else numbered(seen, ["first"], "tid")
     tid = F.col("tid") if most is None else F.when(F.col("tid") < most, F.col("tid")).otherwise(-1)
     return seen.select(*files, "name", tid.cast("long").alias("tid"))

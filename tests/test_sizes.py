@@ -64,3 +64,23 @@ def test_writers_sort_at_most_64_mb_of_lines_in_a_task(spark, tmp_path, monkeypa
     assert asked == [16]
     written = sorted(p for p in (tmp_path / "out").rglob("*") if p.is_file() and p.name[0] not in "._")
     assert "".join(p.read_text() for p in written) == "".join(f"{k}\n" for k in range(160))
+
+
+@pytest.mark.parametrize("arrival", [["line_no"], ["place", "line_no"]])
+def test_dictionary_is_that_of_a_walk_and_reads_the_records_once(spark, arrival):
+    rows = [("*", "=", 9, 0), ("b", "a", 3, 1), ("a", "c", 3, 2), (None, "d", 1, 3), ("c", "*", 0, 4), ("b", "=", 0, 5), ("e", None, 2, 6)]
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(x):
+        reads.add(1)
+        return x
+
+    records = spark.createDataFrame(rows, "rname string, rnext string, place long, line_no long").repartition(2)
+    got = {r.name: r.tid for r in order.reference_dictionary(records.withColumn("rname", read("rname")), arrival).collect()}
+    want: dict[str, int] = {}
+    for r in sorted(rows, key=lambda r: r[3] if len(arrival) == 1 else (r[2], r[3])):
+        for name in (r[0], None if r[1] == "=" else r[1]):
+            if name not in (None, "*"):
+                want.setdefault(name, len(want))
+    assert got == want and reads.value == len(rows)
