@@ -101,10 +101,10 @@ def write_tiles(lines: DataFrame, chroms: DataFrame, path: str, tiles: int = S.T
     return found
 
 
-def check_folder(spark: SparkSession, folder: str, max_file_bytes: int | None = S.MAX_FILE_BYTES) -> tuple[DataFrame, DataFrame]:
+def check_folder(spark: SparkSession, folder: str, max_file_bytes: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Counters of each region file of a folder, also of empty ones, and the outcome of every file there.
 
-    Files above `max_file_bytes` are not read and have no counters."""
+    Files of any size are read. Where `max_file_bytes` is given, larger ones are not, and have no counters."""
     catalog = materialize(file_catalog(spark, folder, ".sam", max_file_bytes), "catalog")
     lines = read_region_files(spark, folder, max_file_bytes)
     checked = materialize(C.region_check(lines, C.declared_files(catalog.where("state <> 'skipped'"))), "checked")

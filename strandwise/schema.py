@@ -20,7 +20,6 @@ MIN_FIELDS = 11
 BIN_WIDTH = 1000
 TARGET_BYTES = 64 << 20
 TILES = 6144
-MAX_FILE_BYTES = 100 << 20
 MAX_LISTED_REGIONS = 2999
 MAX_NAMES = 256
 MAX_MESSAGES = 10

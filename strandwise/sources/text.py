@@ -40,12 +40,12 @@ def read_region_files(spark: SparkSession, folder: str, max_file_bytes: int | No
     return lines.withColumn("file", F.substring_index("file", "/", -1))
 
 
-def file_catalog(spark: SparkSession, path: str, containing: str = "", max_file_bytes: int | None = S.MAX_FILE_BYTES) -> DataFrame:
+def file_catalog(spark: SparkSession, path: str, containing: str = "", max_file_bytes: int | None = None) -> DataFrame:
     """(file, name, bytes, state) of every file below a folder, from Spark's file listing alone: no content is read.
 
-    state: empty, skipped (larger than `max_file_bytes`) or readable. Scans leave out files of no bytes, so names come from
-    the listing (the driver has it for any scan) and sizes from the scan. Names without `containing` and hidden files are
-    left out; a folder without files gives no rows."""
+    state: empty, skipped (larger than `max_file_bytes`, where it is given) or readable. Scans leave out files of no bytes,
+    so names come from the listing (the driver has it for any scan) and sizes from the scan. Names without `containing` and
+    hidden files are left out; a folder without files gives no rows."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     same = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
     sizes = found.select(same("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))

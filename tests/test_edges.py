@@ -497,6 +497,18 @@ def test_empty_and_large_files_are_counted(spark, tmp_path):
     assert {r.name: r.outcome for r in outcomes.collect()} == want
 
 
+def test_files_of_any_size_are_checked_unless_a_limit_is_given(spark, tmp_path):
+    good, bad = rec("q" * 1_000_000, 0, "chr1", 5) + "\n", rec("b", 0, "chr1", 11) + "\n"
+    with open(tmp_path / "chr1_1_10.sam", "w") as out:
+        out.writelines([good] * 105 + [bad])
+    assert (tmp_path / "chr1_1_10.sam").stat().st_size > 100 << 20
+    (tmp_path / "chr1_11_20.sam").write_text(bad)
+    checked, outcomes = modes.check_folder(spark, str(tmp_path))
+    assert {r.file: (r.total, r.checked, r.bad_range, r.ok) for r in checked.collect()} == {"chr1_1_10.sam": (106, 106, 1, False), "chr1_11_20.sam": (1, 1, 0, True)}
+    assert {r.name: r.outcome for r in outcomes.collect()} == {"chr1_1_10.sam": "failed", "chr1_11_20.sam": "read"}
+    assert {r.state for r in text.file_catalog(spark, str(tmp_path)).collect()} == {"readable"}
+
+
 def test_names_are_parsed_by_file(spark):
     lines = spark.createDataFrame([("chr1_1_10.sam", 0, rec("a", 0, "chr1", 5))], S.LINES)
     plan = checks.region_check(lines)._jdf.queryExecution().optimizedPlan().toString()
